@@ -1,0 +1,53 @@
+"""Joins with a size-checked broadcast.
+
+A side is broadcast only when its optimized-plan size estimate is within a
+limit (default: the session's ``spark.sql.autoBroadcastJoinThreshold``).
+Beyond it the join is left to Catalyst, which plans a sort-merge or
+shuffled-hash join and lets AQE split skewed partitions at run time.
+"""
+
+from __future__ import annotations
+
+import logging
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+log = logging.getLogger(__name__)
+
+_DEFAULT_LIMIT = 10 * 1024 * 1024
+
+
+def _to_bytes(text: str) -> int:
+    t = text.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if t.endswith(suffix):
+            return int(float(t[: -len(suffix)]) * units[suffix])
+    return int(t)
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    try:
+        return _to_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_LIMIT)))
+    except ValueError:
+        return _DEFAULT_LIMIT
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (after pruning and filters), or None if unavailable."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(stats.sizeInBytes().toString())
+    except Exception:  # Spark Connect or an unresolved estimate
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is known and ≤ the limit, else ``df``."""
+    limit = broadcast_limit(df) if max_bytes is None else max_bytes
+    size = estimated_bytes(df)
+    if size is not None and 0 <= size <= limit:
+        return F.broadcast(df)
+    log.debug("not broadcasting: estimate %s > limit %s", size, limit)
+    return df
