@@ -30,3 +30,29 @@ def union_sources(frames: dict[str, DataFrame], source_column: str = "source") -
     for other in tagged[1:]:
         out = out.unionByName(other)
     return out
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow extract over the cluster before it is landed.
+
+    A JDBC read without a partition column, or a file with one row group,
+    arrives as a single partition, and every later narrow step (text
+    staging, typing, the writes) would run in that one task. Such a frame is
+    repartitioned round-robin to as many partitions as Spark's own file
+    splitting would give it (one per ``spark.sql.files.maxPartitionBytes`` of
+    estimated size, at most the default parallelism). A JDBC relation has no
+    size estimate, so it gets the full parallelism. A frame that already has
+    enough partitions is returned unchanged (no shuffle).
+    """
+    from landfall.operators.joins import _to_bytes, estimated_bytes
+
+    spark = df.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
+    if min_partitions is None:
+        split = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+        size = estimated_bytes(df)
+        wanted = parallelism if size is None else -(-size // split)
+        min_partitions = max(1, min(parallelism, wanted))
+    if df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    return df.repartition(min_partitions)

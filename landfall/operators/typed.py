@@ -37,46 +37,48 @@ class ColumnSpec:
 
 
 def _entry(spec: ColumnSpec, raw: Column, typed: Column) -> Column:
+    """A one-element array with the reject entry when the value is bad, else empty."""
     bad = ~is_blank(raw) & typed.isNull()
     if not spec.nullable:
         bad = bad | is_blank(raw)
     expected = spec.type if spec.nullable else f"{spec.type} not null"
-    return F.when(
-        bad,
-        F.struct(
-            F.lit(spec.name).alias("column_name"),
-            raw.cast("string").alias("raw_value"),
-            F.lit(expected).alias("expected_type"),
-        ),
+    entry = F.struct(
+        F.lit(spec.name).alias("column_name"),
+        raw.cast("string").alias("raw_value"),
+        F.lit(expected).alias("expected_type"),
     )
+    return F.when(bad, F.array(entry)).otherwise(F.array().cast(f"array<{REJECT_ENTRY}>"))
 
 
 def apply_types(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     """Typed columns in place of their text, other columns unchanged, plus
-    ``_rejects`` (array of entries) and ``_rejected`` (boolean)."""
+    ``_rejects`` (array of entries) and ``_rejected`` (boolean).
+
+    Two projections: the first parses every value once, the second compares
+    typed and raw values. Catalyst keeps them apart (a parsed value is used
+    twice, so collapsing would parse it twice) and both stay inside whole-stage
+    codegen: the entries are joined with ``concat``, not a lambda, because
+    higher-order functions are evaluated outside generated code.
+    """
     by_name = {s.name: s for s in specs}
     missing = set(by_name) - set(df.columns)
     if missing:
         raise ValueError(f"specs name columns not in the frame: {sorted(missing)}")
-    projected = []
-    entries = []
-    for c in df.columns:
-        spec = by_name.get(c)
-        if spec is None:
-            projected.append(F.col(c))
-            continue
-        raw = F.col(c)
-        typed = parse_as(raw, spec.type, spec.formats)
-        projected.append(typed.alias(c))
-        entries.append(_entry(spec, raw, typed))
-    if entries:
-        rejects = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    else:
-        rejects = F.array().cast(f"array<{REJECT_ENTRY}>")
-    return (
-        df.select(*projected, rejects.alias(REJECTS))
-        .withColumn(REJECTED, F.size(F.col(REJECTS)) > 0)
+    parsed = df.select(
+        *[
+            parse_as(F.col(c), by_name[c].type, by_name[c].formats).alias(c) if c in by_name else F.col(c)
+            for c in df.columns
+        ],
+        *[F.col(c).alias(f"__raw_{c}") for c in df.columns if c in by_name],
     )
+    entries = [_entry(by_name[c], F.col(f"__raw_{c}"), F.col(c)) for c in df.columns if c in by_name]
+    if not entries:
+        rejects = F.array().cast(f"array<{REJECT_ENTRY}>")
+    elif len(entries) == 1:
+        rejects = entries[0]
+    else:
+        rejects = F.concat(*entries)
+    return parsed.select(*df.columns, rejects.alias(REJECTS)).withColumn(REJECTED, F.size(F.col(REJECTS)) > 0)
 
 
 def accepted_rows(typed: DataFrame) -> DataFrame:

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.operators.dedup import duplicate_groups, keep_latest
-from landfall.operators.staging import to_text
-from landfall.operators.typed import apply_types, accepted_rows
+from landfall.operators.staging import spread, to_text
 from landfall.plans import fixtures as fx
 from landfall.plans.layers import (
     accepted,
@@ -180,8 +179,14 @@ def stage_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_text(_t(spark, sf_dir, "lineitem"))
 
 
-def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.dirty_lineitem(_t(spark, sf_dir, "lineitem"))
+def _dirty(spark: SparkSession, sf_dir: str, spread_first: bool = False) -> DataFrame:
+    lines = _t(spark, sf_dir, "lineitem")
+    return fx.dirty_lineitem(spread(lines) if spread_first else lines)
+
+
+def _land_dirty(store: TableStore, spark: SparkSession, sf_dir: str) -> None:
+    """The dirty text lands in staging the way an extract does (spread, then written)."""
+    store.refresh(_dirty(spark, sf_dir, spread_first=True), staging_table("dirty", "lineitem"), source="dirty", layer="stg")
 
 
 def _cast_column(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
@@ -221,7 +226,7 @@ def cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _typed_dirty(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
     store = _store(spark, label)
-    store.refresh(_dirty(spark, sf_dir), staging_table("dirty", "lineitem"), source="dirty", layer="stg")
+    _land_dirty(store, spark, sf_dir)
     type_table(store, "dirty", fx.LINEITEM_RULE)
     return store
 
@@ -244,9 +249,9 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "reconcile")
-    store.refresh(_dirty(spark, sf_dir), staging_table("dirty", "lineitem"), source="dirty", layer="stg")
+    _land_dirty(store, spark, sf_dir)
     for t in ("orders", "customer"):
-        store.refresh(to_text(_t(spark, sf_dir, t)), staging_table("dirty", t), source="dirty", layer="stg")
+        store.refresh(spread(to_text(_t(spark, sf_dir, t))), staging_table("dirty", t), source="dirty", layer="stg")
     transform_source(store, "dirty", [fx.LINEITEM_RULE, fx.ORDERS_RULE, fx.CUSTOMER_RULE])
     audit = store.audit().filter((F.col("layer") == "tf") & ~F.col("table_name").endswith("__typed"))
     return reconcile_audit(audit).drop("load_id")

@@ -14,7 +14,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.operators.staging import stage
+from landfall.operators.staging import spread, stage
 from landfall.tables.store import LoadResult, TableStore
 
 
@@ -55,7 +55,7 @@ def stage_catalog(
     results = []
     for table, query in catalog.items():
         def frame(q=query):
-            df = source.extract(spark, q)
+            df = spread(source.extract(spark, q))
             return stage(df) if as_text else df
 
         results.append(

@@ -1,0 +1,82 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from landfall.tables.audit import reconcile
+from landfall.tables.store import NoVisibleVersion
+
+
+def customer(spark):
+    return spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+
+
+def test_refresh_twice_equals_once(spark, store):
+    c = customer(spark)
+    store.refresh(c, "t.customer")
+    store.refresh(c, "t.customer")
+    got = store.read("t.customer")
+    assert got.count() == c.count() and got.exceptAll(c).count() == 0
+
+
+def test_append_adds_and_refresh_replaces(spark, store):
+    c = customer(spark)
+    store.append(c.filter("c_custkey % 2 = 0"), "t.c")
+    store.append(c.filter("c_custkey % 2 = 1"), "t.c")
+    assert store.read("t.c").count() == c.count()
+    store.refresh(c.limit(10), "t.c")
+    assert store.read("t.c").count() == 10
+    store.append(c.limit(5), "t.c")
+    assert store.read("t.c").count() == 15
+
+
+def test_failed_load_keeps_previous_version_and_logs_status_0(spark, store):
+    c = customer(spark)
+    first = store.refresh(c, "t.c")
+    bad = c.select("c_custkey", F.assert_true(F.col("c_custkey") < 0).alias("boom"))
+    with pytest.raises(Exception):
+        store.refresh(bad, "t.c")
+    assert store.read("t.c").count() == c.count()
+    audit = {(r["status"], r["load_id"]) for r in store.audit().filter("table_name = 't.c'").collect()}
+    assert (1, first.load_id) in audit and any(s == 0 for s, _ in audit)
+
+
+def test_analysis_error_is_logged(spark, store):
+    with pytest.raises(Exception):
+        store.refresh(lambda: spark.sql("select no_such_column from range(3)"), "t.bad")
+    rows = store.audit().filter("table_name = 't.bad'").collect()
+    assert [r["status"] for r in rows] == [0]
+    assert "no_such_column" in rows[0]["comment"]
+    with pytest.raises(NoVisibleVersion):
+        store.read("t.bad")
+
+
+def test_counts_come_from_the_write(spark, store):
+    c = customer(spark)
+    res = store.refresh(c, "t.c", observe={"rows_rejected": F.sum(F.lit(0))})
+    assert res.rows_written == c.count()
+    row = store.audit().filter("table_name = 't.c'").first()
+    assert row["rows_written"] == c.count() and row["rows_read"] == c.count()
+    assert reconcile(store.audit()).filter(~F.col("balanced")).count() == 0
+
+
+def test_upsert_replaces_by_key(spark, store):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    store.refresh(o, "t.o")
+    changes = o.filter("o_orderkey % 10 = 0").withColumn("o_orderstatus", F.lit("X"))
+    store.upsert(changes, "t.o", ["o_orderkey"])
+    got = store.read("t.o")
+    assert got.count() == o.count()
+    assert got.filter("o_orderstatus = 'X'").count() == changes.count()
+
+
+def test_high_water_never_moves_back(spark, store):
+    from landfall.sources.incremental import load_increment
+    import datetime as dt
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    kw = dict(keys=["event_id"], column="ts", lookback=dt.timedelta(days=3))
+    load_increment(store, ev, "t.ev", **kw)
+    mark = store.high_water("t.ev")
+    load_increment(store, ev.filter("ts < '2024-01-05'"), "t.ev", **kw)
+    assert store.high_water("t.ev") == mark
+    assert store.read("t.ev").count() == ev.count()
