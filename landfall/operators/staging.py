@@ -39,9 +39,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     arrives as a single partition, and every later narrow step (text
     staging, typing, the writes) would run in that one task. Such a frame is
     repartitioned round-robin to as many partitions as Spark's own file
-    splitting would give it (one per ``spark.sql.files.maxPartitionBytes`` of
-    estimated size, at most the default parallelism). A JDBC relation has no
-    size estimate, so it gets the full parallelism. A frame that already has
+    splitting would give a splittable input of the same estimated size (at
+    most the default parallelism). A JDBC relation has no size estimate, so it
+    gets the full parallelism. A frame that already has
     enough partitions is returned unchanged (no shuffle).
     """
     from landfall.operators.joins import _to_bytes, estimated_bytes
@@ -49,9 +49,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
     if min_partitions is None:
-        split = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
         size = estimated_bytes(df)
-        wanted = parallelism if size is None else -(-size // split)
+        if size is None:
+            wanted = parallelism
+        else:
+            # Spark's own split size for files: min(maxPartitionBytes, max(openCost, bytes per core)).
+            max_bytes = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+            open_cost = _to_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m"))
+            split = min(max_bytes, max(open_cost, size // parallelism))
+            wanted = -(-size // max(split, 1))
         min_partitions = max(1, min(parallelism, wanted))
     if df.rdd.getNumPartitions() >= min_partitions:
         return df

@@ -110,12 +110,19 @@ def dedup_table(store: TableStore, source: str, rule: TableRule, typed: LoadResu
     )
 
 
-def transform_source(store: TableStore, source: str, rules: Sequence[TableRule]) -> list[LoadResult]:
-    results = []
-    for rule in rules:
-        t = type_table(store, source, rule)
-        results += [t, dedup_table(store, source, rule, t)]
-    return results
+def transform_table(store: TableStore, source: str, rule: TableRule) -> list[LoadResult]:
+    typed = type_table(store, source, rule)
+    return [typed, dedup_table(store, source, rule, typed)]
+
+
+def transform_source(
+    store: TableStore, source: str, rules: Sequence[TableRule], max_workers: int = 4
+) -> list[LoadResult]:
+    """Type and deduplicate every table of a source; tables run as concurrent jobs."""
+    from landfall.plans.concurrency import run_all
+
+    per_table = run_all([lambda r=r: transform_table(store, source, r) for r in rules], max_workers)
+    return [res for pair in per_table for res in pair]
 
 
 def run_pipeline(

@@ -46,19 +46,25 @@ def stage_catalog(
     *,
     mode: str = "refresh",
     as_text: bool = True,
+    max_workers: int = 4,
 ) -> list[LoadResult]:
-    """Extract every query and publish it as a staging table; first failure stops.
+    """Extract every query and publish it as a staging table.
 
     Each load writes its own audit row (status 1 with the observed row count,
-    or status 0 with the error) before the next starts.
+    or status 0 with the error). Loads run as concurrent Spark jobs (at most
+    ``max_workers``); a failure stops loads not yet started and is re-raised.
     """
-    results = []
-    for table, query in catalog.items():
-        def frame(q=query):
-            df = spread(source.extract(spark, q))
+    from landfall.plans.concurrency import run_all
+
+    prepare = getattr(source, "register", None)
+    if prepare is not None:
+        prepare(spark)
+
+    def load(table: str, query: str) -> LoadResult:
+        def frame():
+            df = spread(source.extract(spark, query, registered=True) if prepare else source.extract(spark, query))
             return stage(df) if as_text else df
 
-        results.append(
-            store.publish(frame, staging_table(source.name, table), mode, source=source.name, layer="stg")
-        )
-    return results
+        return store.publish(frame, staging_table(source.name, table), mode, source=source.name, layer="stg")
+
+    return run_all([lambda t=t, q=q: load(t, q) for t, q in catalog.items()], max_workers)

@@ -29,8 +29,9 @@ class ParquetSource:
         for view, path in self.tables.items():
             spark.read.parquet(path).createOrReplaceTempView(view)
 
-    def extract(self, spark: SparkSession, query: str) -> DataFrame:
-        self.register(spark)
+    def extract(self, spark: SparkSession, query: str, registered: bool = False) -> DataFrame:
+        if not registered:
+            self.register(spark)
         return spark.sql(clean_query(query))
 
 

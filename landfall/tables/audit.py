@@ -1,12 +1,13 @@
 """The load log: one row per load attempt, success or failure, append only.
 
 The first six columns are the reference's monitoring table; the rest are ours.
-Rows are appended as one small Parquet file each; readers filter by table and
-status, so the log stays cheap however many loads it holds.
+Rows are appended as one small Parquet folder each (so concurrent loads never
+share an output folder); readers filter by table and status.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -74,14 +75,28 @@ def audit_row(
     )
 
 
+def audit_frame(spark: SparkSession, row: Row) -> DataFrame:
+    """The row as a one-row frame of literals (no Python worker is involved)."""
+    values = row.asDict()
+    return spark.range(1).select(
+        *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields]
+    )
+
+
 def append_audit(spark: SparkSession, path: str, row: Row) -> None:
-    """Write one audit row as its own file; independent of the load's own job."""
-    spark.createDataFrame([tuple(row)], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    """Write one audit row into its own new folder, independent of the load's job.
+
+    Two jobs must never write into the same folder at once (their commit
+    protocols share a ``_temporary`` directory), and loads may run
+    concurrently, so every row gets a folder named by its load and status.
+    """
+    name = f"{row['load_id'] or uuid.uuid4().hex}-s{row['status']}"
+    audit_frame(spark, row).write.mode("errorifexists").parquet(f"{path}/{name}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+        return spark.read.schema(AUDIT_SCHEMA).parquet(f"{path}/*")
     except Exception as exc:  # nothing logged yet
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return spark.createDataFrame([], AUDIT_SCHEMA)
