@@ -27,7 +27,9 @@ def merge_latest(
     keys = list(keys)
     changes = changes.select(*target.columns)
     latest = keep_latest(changes, keys, order)
-    change_keys = broadcast_if_small(changes.select(*keys))
+    # Keys of the deduplicated change set: one row per key, so a key repeated
+    # across many change rows cannot pile up in one shuffle partition.
+    change_keys = broadcast_if_small(latest.select(*keys))
     kept = target.join(change_keys, keys, "left_anti")
     return kept.unionByName(latest)
 

@@ -60,7 +60,9 @@ def load_increment(
     mark = store.high_water(table)
     if mark is None:
         observe = {"high_water": F.max(F.col(column)).cast("string")}
-        return store.publish(source_df, table, "refresh", source=source, layer=layer, observe=observe)
+        return store.publish(
+            source_df, table, "refresh", source=source, layer=layer, observe=observe, cluster_by=[column]
+        )
 
     # greatest() skips NULL, so an empty increment keeps the old mark.
     observe = {"high_water": F.greatest(F.max(F.col(column)), F.lit(mark).cast(col_type)).cast("string")}
@@ -69,7 +71,11 @@ def load_increment(
         current = store.read(table)
         window = current.filter(since_filter(current, column, mark, lookback))
         new_rows = insert_new(window, batch, keys, order)
-        return store.publish(new_rows, table, "append", source=source, layer=layer, observe=observe)
+        return store.publish(
+            new_rows, table, "append", source=source, layer=layer, observe=observe, cluster_by=[column]
+        )
     if merge == "upsert":
-        return store.upsert(batch, table, keys, order, source=source, layer=layer, observe=observe)
+        return store.upsert(
+            batch, table, keys, order, source=source, layer=layer, observe=observe, cluster_by=[column]
+        )
     raise ValueError("merge must be 'insert_new' or 'upsert'")

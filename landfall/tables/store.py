@@ -75,6 +75,7 @@ class TableStore:
         source: str | None = None,
         layer: str | None = None,
         partition_by: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
         observe: Mapping[str, Column] | None = None,
         counts: Mapping[str, int | None | Callable[[dict], int]] | None = None,
         high_water: str | None = None,
@@ -87,8 +88,10 @@ class TableStore:
         rejected rows, the max of a high-water column); metrics named like
         audit columns (``rows_read``, ``rows_rejected``, ``rows_duplicate``,
         ``high_water``) are stored there. ``counts`` gives such values known
-        from earlier loads, or as functions of this load's metrics. ``data`` may be a callable so that SQL analysis
-        errors are logged as failed loads too.
+        from earlier loads, or as functions of this load's metrics.
+        ``cluster_by`` sorts rows within each write task so Parquet row-group
+        statistics let later filters on those columns skip data. ``data`` may
+        be a callable so that SQL analysis errors are logged as failed loads.
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
@@ -100,7 +103,11 @@ class TableStore:
             obs = Observation(f"load_{load_id}")
             exprs = [F.count(F.lit(1)).alias("rows")]
             exprs += [c.alias(name) for name, c in (observe or {}).items()]
-            writer = df.observe(obs, *exprs).write.mode("errorifexists")
+            observed = df.observe(obs, *exprs)
+            if cluster_by:
+                # Local sort, no shuffle: tight row-group min/max for later range filters.
+                observed = observed.sortWithinPartitions(*cluster_by)
+            writer = observed.write.mode("errorifexists")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
@@ -177,6 +184,11 @@ class TableStore:
         )
         return None if row is None else row[0]
 
+    def compact(self, table: str, **kw) -> LoadResult:
+        """Fold the visible versions (a refresh plus many appends) into one refresh."""
+        current = self.read(table)
+        return self.publish(current, table, "refresh", comment="compaction", **kw)
+
     def upsert(
         self,
         changes: DataFrame,

@@ -80,3 +80,24 @@ def test_high_water_never_moves_back(spark, store):
     load_increment(store, ev.filter("ts < '2024-01-05'"), "t.ev", **kw)
     assert store.high_water("t.ev") == mark
     assert store.read("t.ev").count() == ev.count()
+
+
+def test_compact_folds_appends_into_one_version(spark, store):
+    c = customer(spark)
+    for k in range(3):
+        store.append(c.filter(f"c_custkey % 3 = {k}"), "t.c")
+    assert len(store.visible_load_ids("t.c")) == 3
+    store.compact("t.c")
+    assert len(store.visible_load_ids("t.c")) == 1
+    got = store.read("t.c")
+    assert got.count() == c.count() and got.exceptAll(c).count() == 0
+
+
+def test_concurrent_loads_all_logged(spark, store):
+    from landfall.plans.concurrency import run_all
+
+    c = customer(spark)
+    results = run_all([lambda k=k: store.refresh(c.filter(f"c_custkey % 4 = {k}"), f"t.part{k}") for k in range(4)])
+    assert [r.status for r in results] == [1, 1, 1, 1]
+    assert sum(store.read(f"t.part{k}").count() for k in range(4)) == c.count()
+    assert store.audit().count() == 4
