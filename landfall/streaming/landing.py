@@ -46,8 +46,8 @@ def load_landed_files(
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
         marker = batch_marker(stream, batch_id)
         seen = (
-            store.audit()
-            .filter((F.col("table_name") == table) & (F.col("status") == STATUS_OK) & (F.col("comment") == marker))
+            store.audit(table)
+            .filter((F.col("status") == STATUS_OK) & (F.col("comment") == marker))
             .limit(1)
             .count()
         )

@@ -88,19 +88,23 @@ def append_audit(spark: SparkSession, path: str, row: Row) -> None:
 
     Two jobs must never write into the same folder at once (their commit
     protocols share a ``_temporary`` directory), and loads may run
-    concurrently, so every row gets a folder named by its load and status.
+    concurrently, so every row gets a folder named by its load and status,
+    under a folder per table: a table's readers list only its own loads.
     """
     name = f"{row['load_id'] or uuid.uuid4().hex}-s{row['status']}"
-    audit_frame(spark, row).write.mode("errorifexists").parquet(f"{path}/{name}")
+    audit_frame(spark, row).write.mode("errorifexists").parquet(f"{path}/{row['table_name']}/{name}")
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
+def read_audit(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """The whole log, or only the rows of ``table`` (listing only its folder)."""
+    pattern = f"{path}/*/*" if table is None else f"{path}/{table}/*"
     try:
-        return spark.read.schema(AUDIT_SCHEMA).parquet(f"{path}/*")
+        df = spark.read.schema(AUDIT_SCHEMA).parquet(pattern)
     except Exception as exc:  # nothing logged yet
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return spark.createDataFrame([], AUDIT_SCHEMA)
         raise
+    return df if table is None else df.filter(F.col("table_name") == table)
 
 
 def reconcile(audit: DataFrame) -> DataFrame:

@@ -62,8 +62,8 @@ class TableStore:
     def table_path(self, table: str) -> str:
         return f"{self.root}/" + table.replace(".", "/")
 
-    def audit(self) -> DataFrame:
-        return read_audit(self.spark, self.audit_path)
+    def audit(self, table: str | None = None) -> DataFrame:
+        return read_audit(self.spark, self.audit_path, table)
 
     # -- writing -------------------------------------------------------
     def publish(
@@ -153,7 +153,7 @@ class TableStore:
 
     # -- reading -------------------------------------------------------
     def _ok_loads(self, table: str) -> DataFrame:
-        return self.audit().filter((F.col("table_name") == table) & (F.col("status") == STATUS_OK))
+        return self.audit(table).filter(F.col("status") == STATUS_OK)
 
     def visible_load_ids(self, table: str) -> list[str]:
         """Newest full version plus later appends (a list bounded by loads, not rows)."""
