@@ -47,7 +47,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     from landfall.operators.joins import _to_bytes, estimated_bytes
 
     spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; leave partitioning to the server
+        return df
     if min_partitions is None:
         size = estimated_bytes(df)
         if size is None:
@@ -59,6 +63,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
             split = min(max_bytes, max(open_cost, size // parallelism))
             wanted = -(-size // max(split, 1))
         min_partitions = max(1, min(parallelism, wanted))
-    if df.rdd.getNumPartitions() >= min_partitions:
+    if current >= min_partitions:
         return df
     return df.repartition(min_partitions)

@@ -22,17 +22,22 @@ _CONF_KEY = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder, creating a local one only if unset."""
     configured = spark.conf.get(_CONF_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the session conf is visible
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get(_CONF_KEY, None)
     if not configured:
-        configured = spark.sparkContext.getConf().get(_CONF_KEY, None)
-    if not configured:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir() if sc is not None else None
         if current:
             return current.rstrip("/")
         configured = tempfile.mkdtemp(prefix="landfall-ckpt-")
         log.warning("spark.checkpoint.dir is unset; using local %s (tests only)", configured)
-        spark.sparkContext.setCheckpointDir(configured)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 

@@ -100,6 +100,8 @@ class TableStore:
         path = f"{self.table_path(table)}/load_id={load_id}"
         try:
             df = data() if callable(data) else data
+            if mode == "append":
+                self._check_append_schema(table, df)
             obs = Observation(f"load_{load_id}")
             exprs = [F.count(F.lit(1)).alias("rows")]
             exprs += [c.alias(name) for name, c in (observe or {}).items()]
@@ -145,6 +147,18 @@ class TableStore:
         )
         return LoadResult(table, load_id, STATUS_OK, int(metrics["rows"]), merged)
 
+    def _check_append_schema(self, table: str, df: DataFrame) -> None:
+        """An append must match the visible version column for column, or
+        readers would get a mix of shapes; fail before anything is written."""
+        ids = self.visible_load_ids(table)
+        if not ids:
+            return
+        current = self.read(table).schema
+        got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+        want = [(f.name, f.dataType.simpleString()) for f in current.fields]
+        if sorted(got) != sorted(want):
+            raise ValueError(f"append to {table}: columns {got} do not match the table's {want}")
+
     def refresh(self, df: DataFrame, table: str, **kw) -> LoadResult:
         return self.publish(df, table, "refresh", **kw)
 

@@ -101,3 +101,12 @@ def test_concurrent_loads_all_logged(spark, store):
     assert [r.status for r in results] == [1, 1, 1, 1]
     assert sum(store.read(f"t.part{k}").count() for k in range(4)) == c.count()
     assert store.audit().count() == 4
+
+
+def test_append_with_other_columns_fails_before_writing(spark, store):
+    c = customer(spark)
+    store.append(c, "t.c")
+    with pytest.raises(ValueError):
+        store.append(c.withColumn("extra", F.lit(1)), "t.c")
+    assert store.read("t.c").count() == c.count()
+    assert sorted(r["status"] for r in store.audit("t.c").collect()) == [0, 1]
