@@ -202,13 +202,14 @@ li as (select (select count(*) from typed) as rows_read,
               (select count(*) from (select distinct l_orderkey, l_linenumber from acc)) as rows_written,
               (select count(*) from typed where rejected) as rows_rejected)
 select 'dirty' as source, 'dirty_tf.lineitem' as table_name, rows_read, rows_written, rows_rejected,
-       rows_read - rows_written - rows_rejected as rows_duplicate, true as balanced from li
+       rows_read - rows_written - rows_rejected as rows_duplicate,
+       (select count(*) from lineitem) as staged_rows, true as balanced from li
 union all
 select 'dirty', 'dirty_tf.orders', count(*), count(distinct o_orderkey), 0,
-       count(*) - count(distinct o_orderkey), true from orders
+       count(*) - count(distinct o_orderkey), count(*), true from orders
 union all
 select 'dirty', 'dirty_tf.customer', count(*), count(distinct c_custkey), 0,
-       count(*) - count(distinct c_custkey), true from customer
+       count(*) - count(distinct c_custkey), count(*), true from customer
 """
 
 _FACT = f"""

@@ -253,8 +253,9 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     for t in ("orders", "customer"):
         store.refresh(spread(to_text(_t(spark, sf_dir, t))), staging_table("dirty", t), source="dirty", layer="stg")
     transform_source(store, "dirty", [fx.LINEITEM_RULE, fx.ORDERS_RULE, fx.CUSTOMER_RULE])
-    audit = store.audit().filter((F.col("layer") == "tf") & ~F.col("table_name").endswith("__typed"))
-    return reconcile_audit(audit).drop("load_id")
+    checked = reconcile_audit(store.audit())
+    final = F.col("table_name").contains("_tf.") & ~F.col("table_name").endswith("__typed")
+    return checked.filter(final).drop("load_id")
 
 
 # -- steps ------------------------------------------------------------------

@@ -108,16 +108,36 @@ def read_audit(spark: SparkSession, path: str, table: str | None = None) -> Data
 
 
 def reconcile(audit: DataFrame) -> DataFrame:
-    """Count check per successful load: read = written + rejected + duplicate."""
-    ok = audit.filter(F.col("status") == STATUS_OK).filter(F.col("rows_read").isNotNull())
+    """Count check per successful load.
+
+    * read = written + rejected + duplicate, and
+    * for a transformed table ``<src>_tf.<t>``, read = rows written by the
+      newest successful staging load of ``<src>_stg.<t>`` (``staged_rows``):
+      the two counts come from different jobs, so a row lost between the
+      layers shows up here.
+    """
+    ok = audit.filter(F.col("status") == STATUS_OK)
+    staged = (
+        ok.filter(F.col("layer") == "stg")
+        .groupBy(F.col("table_name").alias("_stg_table"))
+        .agg(F.max_by("rows_written", "load_id").alias("staged_rows"))
+    )
+    loads = ok.filter(F.col("rows_read").isNotNull()).withColumn(
+        "_stg_table", F.regexp_replace("table_name", r"_tf\.", "_stg.")
+    )
+    loads = loads.join(staged, "_stg_table", "left")
     parts = [F.coalesce(F.col(c), F.lit(0)) for c in ("rows_written", "rows_rejected", "rows_duplicate")]
-    return ok.select(
+    counts_add_up = F.col("rows_read") == parts[0] + parts[1] + parts[2]
+    is_tf = F.col("layer") == "tf"
+    matches_staging = ~is_tf | F.col("staged_rows").isNull() | (F.col("rows_read") == F.col("staged_rows"))
+    return loads.select(
         "source",
         "table_name",
         "load_id",
         "rows_read",
-        F.coalesce(F.col("rows_written"), F.lit(0)).alias("rows_written"),
-        F.coalesce(F.col("rows_rejected"), F.lit(0)).alias("rows_rejected"),
-        F.coalesce(F.col("rows_duplicate"), F.lit(0)).alias("rows_duplicate"),
-        (F.col("rows_read") == parts[0] + parts[1] + parts[2]).alias("balanced"),
+        parts[0].alias("rows_written"),
+        parts[1].alias("rows_rejected"),
+        parts[2].alias("rows_duplicate"),
+        F.when(is_tf, F.col("staged_rows")).alias("staged_rows"),
+        (counts_add_up & matches_staging).alias("balanced"),
     )
