@@ -33,3 +33,16 @@ def test_orphans_anti_join_reads_only_keys(spark):
 def test_small_dimensions_broadcast(spark):
     p = plan(q.dwh_report(spark, SF_SMALL))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+
+
+def test_typed_sides_prune_partitions_and_columns(spark):
+    from landfall.plans import fixtures as fx
+    from landfall.plans.layers import accepted, rejects
+
+    store = q._typed_dirty(spark, SF_SMALL, "plan-prune")
+    acc = plan(accepted(store, "dirty", "lineitem"))
+    rej = plan(rejects(store, "dirty", fx.LINEITEM_RULE))
+    assert "PartitionFilters: [isnotnull(_rejected" in acc and "= false)]" in acc
+    assert "_rejects" not in acc.split("ReadSchema")[1]
+    assert "= true)]" in rej
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,_rejects:" in rej
