@@ -86,7 +86,7 @@ def accepted_rows(typed: DataFrame) -> DataFrame:
 
 
 def reject_entries(typed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per bad value: the row's keys (as staged text), column, raw text, expected type."""
+    """One row per bad value: the row's (typed) keys, column, raw text, expected type."""
     return (
         typed.filter(F.col(REJECTED))
         .select(*[F.col(k) for k in keys], F.explode(REJECTS).alias("_e"))
@@ -102,13 +102,8 @@ def split_typed(
     Writing both re-reads the input; the typed layer instead writes the
     output of :func:`apply_types` once, partitioned by ``_rejected``, and
     reads each side back with partition pruning
-    (see :func:`landfall.plans.layers.type_table`).
+    (see :func:`landfall.plans.layers.type_table`). Keys in the rejects are
+    typed; a key that itself failed is NULL there and has its own entry.
     """
-    key_text = [k for k in keys]
-    raw_keys = df.select(*[F.col(k).cast("string").alias(f"__key_{k}") for k in key_text], *df.columns)
-    typed = apply_types(raw_keys, specs)
-    accepted = accepted_rows(typed).drop(*[f"__key_{k}" for k in key_text])
-    rejects = reject_entries(typed, [f"__key_{k}" for k in key_text])
-    for k in key_text:
-        rejects = rejects.withColumnRenamed(f"__key_{k}", k)
-    return accepted, rejects
+    typed = apply_types(df, specs)
+    return accepted_rows(typed), reject_entries(typed, keys)

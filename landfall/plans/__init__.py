@@ -3,6 +3,7 @@ from landfall.plans.layers import (
     accepted,
     dedup_table,
     rejects,
+    run_layer,
     run_pipeline,
     transform_source,
     transformed_table,
@@ -29,6 +30,7 @@ __all__ = [
     "orphans",
     "rejects",
     "revenue_by_nation_year",
+    "run_layer",
     "run_pipeline",
     "run_steps",
     "segment_month_report",

@@ -125,6 +125,16 @@ def transform_source(
     return [res for pair in per_table for res in pair]
 
 
+def run_layer(
+    spark: SparkSession,
+    store: TableStore,
+    layer: str,
+    **kw,
+) -> list[LoadResult]:
+    """Run one layer (``"stg"``, ``"tf"`` or ``"dwh"``) on what the layer before published."""
+    return run_pipeline(spark, store, layers=(layer,), **kw).get(layer, [])
+
+
 def run_pipeline(
     spark: SparkSession,
     store: TableStore,
