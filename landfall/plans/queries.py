@@ -357,11 +357,14 @@ def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders kept by order year; the change set rewrites only the years it touches."""
     store = _store(spark, "upsert_latest")
+    by_year = lambda df: df.withColumn("o_year", F.year("o_orderdate"))
     orders = _t(spark, sf_dir, "orders")
-    store.refresh(orders, "dwh.orders", layer="dwh")
-    store.upsert(fx.order_changes(orders), "dwh.orders", ["o_orderkey"], layer="dwh")
-    return store.read("dwh.orders")
+    store.refresh(by_year(orders), "dwh.orders", layer="dwh", partition_by=["o_year"])
+    store.upsert(by_year(fx.order_changes(orders)), "dwh.orders", ["o_orderkey"], layer="dwh",
+                 partition_column="o_year")
+    return store.read("dwh.orders").drop("o_year")
 
 
 QUERIES: dict[str, Query] = {

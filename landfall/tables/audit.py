@@ -31,6 +31,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("rows_rejected", T.LongType()),
         T.StructField("rows_duplicate", T.LongType()),
         T.StructField("high_water", T.StringType()),
+        T.StructField("partitions", T.StringType()),
     ]
 )
 
@@ -55,6 +56,7 @@ def audit_row(
     rows_rejected: int | None = None,
     rows_duplicate: int | None = None,
     high_water: str | None = None,
+    partitions: str | None = None,
 ) -> Row:
     return Row(
         database_name=database_name,
@@ -72,6 +74,7 @@ def audit_row(
         rows_rejected=rows_rejected,
         rows_duplicate=rows_duplicate,
         high_water=high_water,
+        partitions=partitions,
     )
 
 

@@ -8,13 +8,20 @@ versions after it. A failed load appends a status 0 row and changes nothing
 for readers; the previous version stays readable. Row counts come from an
 ``Observation`` on the write itself, so the data is scanned once.
 
+A table written with one partition column can also take ``replace_partitions``
+versions: they hold only the partitions a change set touched, and hide those
+partitions in every earlier visible version. An upsert then rewrites only the
+touched partitions instead of the whole table.
+
 ``load_id`` sorts in time order; one job at a time may load a given table.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import traceback
+from functools import reduce
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -25,7 +32,8 @@ from pyspark.sql import functions as F
 
 from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, read_audit
 
-MODES = ("refresh", "append", "upsert")
+MODES = ("refresh", "append", "upsert", "replace_partitions")
+FULL_MODES = ("refresh", "upsert")
 
 _counter = itertools.count()
 
@@ -79,6 +87,7 @@ class TableStore:
         observe: Mapping[str, Column] | None = None,
         counts: Mapping[str, int | None | Callable[[dict], int]] | None = None,
         high_water: str | None = None,
+        replaces: Sequence | None = None,
         comment: str = "Table operation successful.",
         raise_on_error: bool = True,
     ) -> LoadResult:
@@ -95,6 +104,13 @@ class TableStore:
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
+        partitions = None
+        if mode == "replace_partitions":
+            if len(partition_by) != 1 or replaces is None:
+                raise ValueError("replace_partitions needs one partition column and the replaced values")
+            partitions = json.dumps({"column": partition_by[0], "values": list(replaces)}, default=str)
+        elif len(partition_by) == 1:
+            partitions = json.dumps({"column": partition_by[0]})
         start = datetime.now(timezone.utc)
         load_id = new_load_id()
         path = f"{self.table_path(table)}/load_id={load_id}"
@@ -143,6 +159,7 @@ class TableStore:
                 rows_rejected=_int(merged.get("rows_rejected")),
                 rows_duplicate=_int(merged.get("rows_duplicate")),
                 high_water=None if hw is None else str(hw),
+                partitions=partitions,
             ),
         )
         return LoadResult(table, load_id, STATUS_OK, int(metrics["rows"]), merged)
@@ -169,22 +186,43 @@ class TableStore:
     def _ok_loads(self, table: str) -> DataFrame:
         return self.audit(table).filter(F.col("status") == STATUS_OK)
 
-    def visible_load_ids(self, table: str) -> list[str]:
-        """Newest full version plus later appends (a list bounded by loads, not rows)."""
-        loads = {r[0]: r[1] for r in self._ok_loads(table).select("load_id", "mode").collect()}
-        full = [i for i, m in loads.items() if m != "append"]
+    def _visible(self, table: str) -> list[tuple[str, str, dict | None]]:
+        """(load_id, mode, partitions) of the newest full version and every later one."""
+        rows = self._ok_loads(table).select("load_id", "mode", "partitions").collect()
+        loads = {r[0]: (r[1], json.loads(r[2]) if r[2] else None) for r in rows}
+        full = [i for i, (m, _) in loads.items() if m in FULL_MODES]
         start = max(full) if full else ""
-        return sorted(i for i in loads if i >= start)
+        return [(i, *loads[i]) for i in sorted(loads) if i >= start]
+
+    def visible_load_ids(self, table: str) -> list[str]:
+        """Newest full version plus later ones (a list bounded by loads, not rows)."""
+        return [i for i, _, _ in self._visible(table)]
 
     def exists(self, table: str) -> bool:
         return bool(self.visible_load_ids(table))
 
+    def partition_column(self, table: str) -> str | None:
+        """The single partition column of the newest full version, if any."""
+        vis = self._visible(table)
+        return (vis[0][2] or {}).get("column") if vis else None
+
     def read(self, table: str, with_load_id: bool = False) -> DataFrame:
-        ids = self.visible_load_ids(table)
-        if not ids:
+        vis = self._visible(table)
+        if not vis:
             raise NoVisibleVersion(table)
         base = self.table_path(table)
-        df = self.spark.read.option("basePath", base).parquet(*[f"{base}/load_id={i}" for i in ids])
+        reader = self.spark.read.option("basePath", base)
+        if not any(mode == "replace_partitions" for _, mode, _ in vis):
+            df = reader.parquet(*[f"{base}/load_id={i}" for i, _, _ in vis])
+        else:
+            parts = []
+            for idx, (load_id, _, _) in enumerate(vis):
+                part = reader.parquet(f"{base}/load_id={load_id}")
+                for _, mode, info in vis[idx + 1 :]:
+                    if mode == "replace_partitions":
+                        part = part.filter(~partition_in(info["column"], info["values"]))
+                parts.append(part)
+            df = reduce(lambda a, b: a.unionByName(b), parts)
         return df if with_load_id else df.drop("load_id")
 
     def high_water(self, table: str) -> str | None:
@@ -201,6 +239,8 @@ class TableStore:
     def compact(self, table: str, **kw) -> LoadResult:
         """Fold the visible versions (a refresh plus many appends) into one refresh."""
         current = self.read(table)
+        column = self.partition_column(table)
+        kw.setdefault("partition_by", [column] if column else [])
         return self.publish(current, table, "refresh", comment="compaction", **kw)
 
     def upsert(
@@ -209,15 +249,47 @@ class TableStore:
         table: str,
         keys: Sequence[str],
         order: Sequence[str] = (),
+        partition_column: str | None = None,
         **kw,
     ) -> LoadResult:
-        """Merge ``changes`` into the visible version by key; writes a new full version."""
+        """Merge ``changes`` into the visible table by key.
+
+        Without ``partition_column`` the whole table is rewritten as a new
+        version. With it (and a table published with that one partition
+        column) only the partitions the change set touches are read, merged
+        and written, as a ``replace_partitions`` version. The touched values
+        are collected on the driver: one per partition, never per row. A
+        key's partition value must not change between loads.
+        """
         from landfall.operators.upsert import merge_latest
 
+        part_by = [partition_column] if partition_column else []
         if not self.exists(table):
-            return self.publish(changes, table, "refresh", **kw)
+            return self.publish(changes, table, "refresh", partition_by=part_by, **kw)
+        if partition_column and self.partition_column(table) == partition_column:
+            touched = [r[0] for r in changes.select(partition_column).distinct().collect()]
+            current = self.read(table).filter(partition_in(partition_column, touched))
+            return self.publish(
+                lambda: merge_latest(current, changes, keys, order),
+                table,
+                "replace_partitions",
+                partition_by=part_by,
+                replaces=touched,
+                **kw,
+            )
         current = self.read(table)
-        return self.publish(lambda: merge_latest(current, changes, keys, order), table, "upsert", **kw)
+        return self.publish(
+            lambda: merge_latest(current, changes, keys, order), table, "upsert", partition_by=part_by, **kw
+        )
+
+
+def partition_in(column: str, values: Sequence) -> Column:
+    """``column`` in ``values``, compared as text (values come back from JSON), NULL-aware."""
+    text = [str(v) for v in values if v is not None]
+    cond = F.col(column).cast("string").isin(text) if text else F.lit(False)
+    if any(v is None for v in values):
+        cond = cond | F.col(column).isNull()
+    return F.coalesce(cond, F.lit(False))
 
 
 def _int(v) -> int | None:
