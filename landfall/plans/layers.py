@@ -30,6 +30,7 @@ from landfall.operators.typed import (
     apply_types,
     reject_entries,
 )
+from landfall.plans.steps import Step, run_steps
 from landfall.sources.catalog import Source, stage_catalog, staging_table
 from landfall.tables.store import LoadResult, TableStore
 
@@ -142,13 +143,23 @@ def run_pipeline(
     sources: Sequence[Source] = (),
     catalogs: Mapping[str, Mapping[str, str]] | None = None,
     rules: Mapping[str, Sequence[TableRule]] | None = None,
+    tf_steps: Mapping[str, Sequence[Step]] | None = None,
+    dwh_steps: Sequence[Step] = (),
     final: Callable[[SparkSession, TableStore], list[LoadResult]] | None = None,
     layers: Sequence[str] = ("stg", "tf", "dwh"),
 ) -> dict[str, list[LoadResult]]:
     """Run the layers in order; a layer starts only if the one before succeeded.
 
-    Start from any layer by leaving earlier ones out of ``layers``: the later
-    layers then read what is already published.
+    * ``stg``: every source's catalog of extracts, landed as text.
+    * ``tf``: per source, typing rules (:class:`TableRule`) and/or a folder of
+      SQL steps (published as ``<source>_tf.<step>``).
+    * ``dwh``: SQL steps (published as ``dwh.<step>``) and/or a ``final``
+      callable.
+
+    SQL steps see every published table as a temporary view named
+    ``<schema>_<table>`` (``s29_stg.orders`` → ``s29_stg_orders``) and the
+    steps before them by name. Start from any layer by leaving earlier ones
+    out of ``layers``: the later layers then read what is already published.
     """
     out: dict[str, list[LoadResult]] = {}
     if "stg" in layers:
@@ -159,6 +170,14 @@ def run_pipeline(
         out["tf"] = []
         for src_name, src_rules in (rules or {}).items():
             out["tf"] += transform_source(store, src_name, src_rules)
-    if "dwh" in layers and final is not None:
-        out["dwh"] = final(spark, store)
+        for src_name, steps in (tf_steps or {}).items():
+            store.register_views()
+            out["tf"] += run_steps(spark, store, steps, layer="tf", source=src_name, prefix=f"{src_name}_tf.")
+    if "dwh" in layers:
+        out["dwh"] = []
+        if dwh_steps:
+            store.register_views()
+            out["dwh"] += run_steps(spark, store, dwh_steps, layer="dwh", prefix="dwh.")
+        if final is not None:
+            out["dwh"] += final(spark, store)
     return out

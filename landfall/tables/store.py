@@ -201,6 +201,19 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return bool(self.visible_load_ids(table))
 
+    def tables(self) -> list[str]:
+        """Names of the tables with at least one successful load (one row per table)."""
+        ok = self.audit().filter(F.col("status") == STATUS_OK)
+        return sorted(r[0] for r in ok.select("table_name").distinct().collect())
+
+    def register_views(self, view_name: Callable[[str], str] = lambda t: t.replace(".", "_")) -> list[str]:
+        """Every published table as a temporary view (``s29_stg.orders`` → ``s29_stg_orders``)."""
+        names = []
+        for table in self.tables():
+            self.read(table).createOrReplaceTempView(view_name(table))
+            names.append(view_name(table))
+        return names
+
     def partition_column(self, table: str) -> str | None:
         """The single partition column of the newest full version, if any."""
         vis = self._visible(table)

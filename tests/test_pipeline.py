@@ -54,3 +54,26 @@ def test_failing_extract_stops_and_is_logged(spark, store):
                       max_workers=1)
     status = {r["table_name"]: r["status"] for r in store.audit().collect()}
     assert status == {"s1_stg.good": 1, "s1_stg.bad": 0}
+
+
+def test_sql_step_folders_per_layer(tmp_path, spark, store):
+    from landfall.plans.steps import steps_from_dir
+
+    tf_dir = tmp_path / "tf" / "s1"
+    tf_dir.mkdir(parents=True)
+    (tf_dir / "01_orders.sql").write_text(
+        "select cast(o_orderkey as bigint) as o_orderkey, cast(o_custkey as bigint) as o_custkey,\n"
+        "       try_cast(o_totalprice as decimal(12,2)) as o_totalprice from s1_stg_orders;")
+    dwh_dir = tmp_path / "dwh"
+    dwh_dir.mkdir()
+    (dwh_dir / "01_customer_value.sql").write_text(
+        "select o_custkey, count(*) as order_count, sum(o_totalprice) as total from s1_tf_01_orders group by o_custkey")
+    src = ParquetSource.from_dir("s1", SF_SMALL, ["orders"])
+    out = run_pipeline(spark, store, sources=[src], catalogs={"s1": {"orders": "select * from orders"}},
+                       tf_steps={"s1": steps_from_dir(str(tf_dir))}, dwh_steps=steps_from_dir(str(dwh_dir)))
+    assert [r.table for r in out["tf"]] == ["s1_tf.01_orders"]
+    assert [r.table for r in out["dwh"]] == ["dwh.01_customer_value"]
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    got = store.read("dwh.01_customer_value")
+    assert got.agg(F.sum("order_count")).first()[0] == orders.count()
+    assert got.count() == orders.select("o_custkey").distinct().count()
