@@ -32,6 +32,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("rows_duplicate", T.LongType()),
         T.StructField("high_water", T.StringType()),
         T.StructField("partitions", T.StringType()),
+        T.StructField("schema_json", T.StringType()),
     ]
 )
 
@@ -57,6 +58,7 @@ def audit_row(
     rows_duplicate: int | None = None,
     high_water: str | None = None,
     partitions: str | None = None,
+    schema_json: str | None = None,
 ) -> Row:
     return Row(
         database_name=database_name,
@@ -75,6 +77,7 @@ def audit_row(
         rows_duplicate=rows_duplicate,
         high_water=high_water,
         partitions=partitions,
+        schema_json=schema_json,
     )
 
 

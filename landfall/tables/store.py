@@ -29,6 +29,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, read_audit
 
@@ -104,13 +105,25 @@ class TableStore:
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
+        if mode in ("append", "replace_partitions"):
+            # Every version of a table must share its partition layout.
+            existing = self.partition_columns(table)
+            if existing is not None:
+                if partition_by and list(partition_by) != existing:
+                    raise ValueError(f"{table} is partitioned by {existing}, not {list(partition_by)}")
+                partition_by = existing
         partitions = None
         if mode == "replace_partitions":
             if len(partition_by) != 1 or replaces is None:
                 raise ValueError("replace_partitions needs one partition column and the replaced values")
-            partitions = json.dumps({"column": partition_by[0], "values": list(replaces)}, default=str)
-        elif len(partition_by) == 1:
-            partitions = json.dumps({"column": partition_by[0]})
+            partitions = json.dumps(
+                {"columns": list(partition_by), "column": partition_by[0], "values": list(replaces)}, default=str
+            )
+        elif partition_by:
+            info = {"columns": list(partition_by)}
+            if len(partition_by) == 1:
+                info["column"] = partition_by[0]
+            partitions = json.dumps(info)
         start = datetime.now(timezone.utc)
         load_id = new_load_id()
         path = f"{self.table_path(table)}/load_id={load_id}"
@@ -160,6 +173,7 @@ class TableStore:
                 rows_duplicate=_int(merged.get("rows_duplicate")),
                 high_water=None if hw is None else str(hw),
                 partitions=partitions,
+                schema_json=df.schema.json(),
             ),
         )
         return LoadResult(table, load_id, STATUS_OK, int(metrics["rows"]), merged)
@@ -186,17 +200,17 @@ class TableStore:
     def _ok_loads(self, table: str) -> DataFrame:
         return self.audit(table).filter(F.col("status") == STATUS_OK)
 
-    def _visible(self, table: str) -> list[tuple[str, str, dict | None]]:
-        """(load_id, mode, partitions) of the newest full version and every later one."""
-        rows = self._ok_loads(table).select("load_id", "mode", "partitions").collect()
-        loads = {r[0]: (r[1], json.loads(r[2]) if r[2] else None) for r in rows}
-        full = [i for i, (m, _) in loads.items() if m in FULL_MODES]
+    def _visible(self, table: str) -> list[tuple[str, str, dict | None, str | None]]:
+        """(load_id, mode, partitions, schema) of the newest full version and every later one."""
+        rows = self._ok_loads(table).select("load_id", "mode", "partitions", "schema_json").collect()
+        loads = {r[0]: (r[1], json.loads(r[2]) if r[2] else None, r[3]) for r in rows}
+        full = [i for i, (m, _, _) in loads.items() if m in FULL_MODES]
         start = max(full) if full else ""
         return [(i, *loads[i]) for i in sorted(loads) if i >= start]
 
     def visible_load_ids(self, table: str) -> list[str]:
         """Newest full version plus later ones (a list bounded by loads, not rows)."""
-        return [i for i, _, _ in self._visible(table)]
+        return [i for i, *_ in self._visible(table)]
 
     def exists(self, table: str) -> bool:
         return bool(self.visible_load_ids(table))
@@ -214,10 +228,17 @@ class TableStore:
             names.append(view_name(table))
         return names
 
-    def partition_column(self, table: str) -> str | None:
-        """The single partition column of the newest full version, if any."""
+    def partition_columns(self, table: str) -> list[str] | None:
+        """Partition columns of the visible table ([] if unpartitioned, None if no version)."""
         vis = self._visible(table)
-        return (vis[0][2] or {}).get("column") if vis else None
+        if not vis:
+            return None
+        return list((vis[0][2] or {}).get("columns", []))
+
+    def partition_column(self, table: str) -> str | None:
+        """The single partition column of the visible table, if it has exactly one."""
+        cols = self.partition_columns(table) or []
+        return cols[0] if len(cols) == 1 else None
 
     def read(self, table: str, with_load_id: bool = False) -> DataFrame:
         vis = self._visible(table)
@@ -225,13 +246,20 @@ class TableStore:
             raise NoVisibleVersion(table)
         base = self.table_path(table)
         reader = self.spark.read.option("basePath", base)
-        if not any(mode == "replace_partitions" for _, mode, _ in vis):
-            df = reader.parquet(*[f"{base}/load_id={i}" for i, _, _ in vis])
+        schema = vis[-1][3]
+        if schema:
+            # The written schema, so partition values keep their types (no
+            # inference turning text like "2024-01-01" into a date) and no
+            # footer has to be read to plan the scan.
+            fields = StructType.fromJson(json.loads(schema)).fields
+            reader = reader.schema(StructType(fields + [StructField("load_id", StringType())]))
+        if not any(mode == "replace_partitions" for _, mode, *_ in vis):
+            df = reader.parquet(*[f"{base}/load_id={i}" for i, *_ in vis])
         else:
             parts = []
-            for idx, (load_id, _, _) in enumerate(vis):
+            for idx, (load_id, *_) in enumerate(vis):
                 part = reader.parquet(f"{base}/load_id={load_id}")
-                for _, mode, info in vis[idx + 1 :]:
+                for _, mode, info, _ in vis[idx + 1 :]:
                     if mode == "replace_partitions":
                         part = part.filter(~partition_in(info["column"], info["values"]))
                 parts.append(part)

@@ -153,3 +153,13 @@ def test_partition_scoped_upsert_rewrites_only_touched_partitions(spark, store):
     assert len(store.visible_load_ids("t.o")) == 1
     assert store.read("t.o").exceptAll(before).count() == 0
     assert store.partition_column("t.o") == "o_year"
+
+
+def test_partition_values_keep_their_written_type(spark, store):
+    df = spark.createDataFrame([(1, "2024-01-01", "7"), (2, "2024-01-02", "8")], "id int, day string, code string")
+    store.refresh(df, "t.typed", partition_by=["code"])
+    got = store.read("t.typed")
+    assert dict((f.name, f.dataType.simpleString()) for f in got.schema.fields) == {
+        "id": "int", "day": "string", "code": "string"}
+    store.append(df, "t.typed")  # same columns and types: accepted
+    assert store.read("t.typed").count() == 4
