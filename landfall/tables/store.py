@@ -105,29 +105,12 @@ class TableStore:
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
-        if mode in ("append", "replace_partitions"):
-            # Every version of a table must share its partition layout.
-            existing = self.partition_columns(table)
-            if existing is not None:
-                if partition_by and list(partition_by) != existing:
-                    raise ValueError(f"{table} is partitioned by {existing}, not {list(partition_by)}")
-                partition_by = existing
-        partitions = None
-        if mode == "replace_partitions":
-            if len(partition_by) != 1 or replaces is None:
-                raise ValueError("replace_partitions needs one partition column and the replaced values")
-            partitions = json.dumps(
-                {"columns": list(partition_by), "column": partition_by[0], "values": list(replaces)}, default=str
-            )
-        elif partition_by:
-            info = {"columns": list(partition_by)}
-            if len(partition_by) == 1:
-                info["column"] = partition_by[0]
-            partitions = json.dumps(info)
         start = datetime.now(timezone.utc)
         load_id = new_load_id()
         path = f"{self.table_path(table)}/load_id={load_id}"
+        partitions = None
         try:
+            partition_by, partitions = self._layout(table, mode, partition_by, replaces)
             df = data() if callable(data) else data
             if mode == "append":
                 self._check_append_schema(table, df)
@@ -190,6 +173,28 @@ class TableStore:
         if sorted(got) != sorted(want):
             raise ValueError(f"append to {table}: columns {got} do not match the table's {want}")
 
+    def _layout(self, table: str, mode: str, partition_by: Sequence[str], replaces) -> tuple[list[str], str | None]:
+        """Partition columns for this version and the audit's ``partitions`` text."""
+        partition_by = list(partition_by)
+        if mode in ("append", "replace_partitions"):
+            # Every version of a table must share its partition layout.
+            existing = self.partition_columns(table)
+            if existing is not None:
+                if partition_by and partition_by != existing:
+                    raise ValueError(f"{table} is partitioned by {existing}, not {partition_by}")
+                partition_by = existing
+        if mode == "replace_partitions":
+            if len(partition_by) != 1 or replaces is None:
+                raise ValueError("replace_partitions needs one partition column and the replaced values")
+            info = {"columns": partition_by, "column": partition_by[0], "values": list(replaces)}
+            return partition_by, json.dumps(info, default=str)
+        if partition_by:
+            info = {"columns": partition_by}
+            if len(partition_by) == 1:
+                info["column"] = partition_by[0]
+            return partition_by, json.dumps(info)
+        return partition_by, None
+
     def refresh(self, df: DataFrame, table: str, **kw) -> LoadResult:
         return self.publish(df, table, "refresh", **kw)
 
