@@ -20,14 +20,34 @@ from landfall.operators.dedup import drop_exact, duplicate_groups, keep_first_co
 from landfall.operators.staging import stage, to_text
 from landfall.operators.typed import ColumnSpec, apply_types, split_typed
 from landfall.operators.upsert import merge_latest
+from landfall.plans.layers import TableRule, run_layer, run_pipeline
+from landfall.plans.steps import Step, run_steps, steps_from_dir
+from landfall.sources.catalog import catalog_from_dir, stage_catalog
+from landfall.sources.incremental import load_increment
+from landfall.sources.jdbc import JdbcPartitioning, JdbcSource
+from landfall.sources.lake import ParquetSource
+from landfall.streaming.landing import load_landed_files
 from landfall.tables.audit import AUDIT_SCHEMA, reconcile
 from landfall.tables.store import LoadResult, TableStore
 
 __all__ = [
     "AUDIT_SCHEMA",
     "ColumnSpec",
+    "JdbcPartitioning",
+    "JdbcSource",
     "LoadResult",
+    "ParquetSource",
+    "Step",
+    "TableRule",
     "TableStore",
+    "catalog_from_dir",
+    "load_increment",
+    "load_landed_files",
+    "run_layer",
+    "run_pipeline",
+    "run_steps",
+    "stage_catalog",
+    "steps_from_dir",
     "apply_types",
     "drop_exact",
     "duplicate_groups",
