@@ -77,3 +77,15 @@ def test_sql_step_folders_per_layer(tmp_path, spark, store):
     got = store.read("dwh.01_customer_value")
     assert got.agg(F.sum("order_count")).first()[0] == orders.count()
     assert got.count() == orders.select("o_custkey").distinct().count()
+
+
+def test_run_layer_one_at_a_time(spark, store):
+    from landfall.plans.layers import run_layer
+
+    src = ParquetSource.from_dir("tpch", SF_SMALL, TABLES)
+    stg = run_layer(spark, store, "stg", sources=[src], catalogs={"tpch": {t: f"select * from {t}" for t in TABLES}})
+    assert len(stg) == 4 and all(r.status == 1 for r in stg)
+    tf = run_layer(spark, store, "tf", rules=RULES)
+    assert len(tf) == 8
+    dwh = run_layer(spark, store, "dwh", final=final)
+    assert [r.table for r in dwh] == ["dwh.report"]
