@@ -110,10 +110,11 @@ class TableStore:
         path = f"{self.table_path(table)}/load_id={load_id}"
         partitions = None
         try:
-            partition_by, partitions = self._layout(table, mode, partition_by, replaces)
+            vis = self._visible(table) if mode in ("append", "replace_partitions") else []
+            partition_by, partitions = self._layout(table, mode, partition_by, replaces, vis)
             df = data() if callable(data) else data
-            if mode == "append":
-                self._check_append_schema(table, df)
+            if mode == "append" and vis:
+                self._check_append_schema(table, df, vis)
             obs = Observation(f"load_{load_id}")
             exprs = [F.count(F.lit(1)).alias("rows")]
             exprs += [c.alias(name) for name, c in (observe or {}).items()]
@@ -161,28 +162,26 @@ class TableStore:
         )
         return LoadResult(table, load_id, STATUS_OK, int(metrics["rows"]), merged)
 
-    def _check_append_schema(self, table: str, df: DataFrame) -> None:
+    def _check_append_schema(self, table: str, df: DataFrame, vis: list) -> None:
         """An append must match the visible version column for column, or
         readers would get a mix of shapes; fail before anything is written."""
-        ids = self.visible_load_ids(table)
-        if not ids:
-            return
-        current = self.read(table).schema
+        current = self._read_visible(table, vis).schema
         got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
         want = [(f.name, f.dataType.simpleString()) for f in current.fields]
         if sorted(got) != sorted(want):
             raise ValueError(f"append to {table}: columns {got} do not match the table's {want}")
 
-    def _layout(self, table: str, mode: str, partition_by: Sequence[str], replaces) -> tuple[list[str], str | None]:
+    def _layout(
+        self, table: str, mode: str, partition_by: Sequence[str], replaces, vis: list
+    ) -> tuple[list[str], str | None]:
         """Partition columns for this version and the audit's ``partitions`` text."""
         partition_by = list(partition_by)
-        if mode in ("append", "replace_partitions"):
+        if mode in ("append", "replace_partitions") and vis:
             # Every version of a table must share its partition layout.
-            existing = self.partition_columns(table)
-            if existing is not None:
-                if partition_by and partition_by != existing:
-                    raise ValueError(f"{table} is partitioned by {existing}, not {partition_by}")
-                partition_by = existing
+            existing = list((vis[0][2] or {}).get("columns", []))
+            if partition_by and partition_by != existing:
+                raise ValueError(f"{table} is partitioned by {existing}, not {partition_by}")
+            partition_by = existing
         if mode == "replace_partitions":
             if len(partition_by) != 1 or replaces is None:
                 raise ValueError("replace_partitions needs one partition column and the replaced values")
@@ -249,6 +248,9 @@ class TableStore:
         vis = self._visible(table)
         if not vis:
             raise NoVisibleVersion(table)
+        return self._read_visible(table, vis, with_load_id)
+
+    def _read_visible(self, table: str, vis: list, with_load_id: bool = False) -> DataFrame:
         base = self.table_path(table)
         reader = self.spark.read.option("basePath", base)
         schema = vis[-1][3]
