@@ -38,8 +38,14 @@ def load_landed_files(
     stream: str | None = None,
     max_files_per_trigger: int | None = None,
     source: str | None = None,
+    compact_after: int | None = None,
 ) -> int:
-    """Load what has landed since the last run; returns the number of batches published."""
+    """Load what has landed since the last run; returns the number of batches published.
+
+    With ``compact_after``, a run that leaves more than that many visible
+    versions folds them into one (reads then open one version, not one per
+    batch).
+    """
     stream = stream or table
     published = []
 
@@ -69,4 +75,6 @@ def load_landed_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    if compact_after is not None and len(store.visible_load_ids(table)) > compact_after:
+        store.compact(table, source=source, layer="stg")
     return len(published)

@@ -32,3 +32,18 @@ def test_replayed_batch_is_skipped(spark):
     # A fresh checkpoint replays batch 0; its audit marker is already logged, so nothing is added.
     load_landed_files(spark, store, f"{root}/landing", ev.schema, "s.ev", checkpoint_dir=f"{root}/ck2", stream="ev")
     assert store.read("s.ev").count() == ev.count()
+
+
+def test_compact_after_folds_batches(spark):
+    root = scratch_dir(spark, "stream-compact")
+    store = TableStore(spark, f"{root}/wh")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for day in ("2024-01-10", "2024-01-20", "2024-02-01"):
+        ev.filter(F.col("ts") < F.lit(day).cast("timestamp_ntz")).filter(
+            F.col("ts") >= F.lit("2024-01-01").cast("timestamp_ntz")).limit(0).write.parquet(f"{root}/landing", mode="append")
+    ev.write.parquet(f"{root}/landing", mode="append")
+    load_landed_files(spark, store, f"{root}/landing", ev.schema, "s.ev", checkpoint_dir=f"{root}/ck",
+                      stream="ev", max_files_per_trigger=1, compact_after=1)
+    assert len(store.visible_load_ids("s.ev")) == 1
+    got = store.read("s.ev")
+    assert got.count() == ev.count() and got.exceptAll(ev).count() == 0
