@@ -54,14 +54,21 @@ def load_increment(
     order: Sequence[str] = (),
     source: str | None = None,
     layer: str = "stg",
+    partition_column: str | None = None,
 ) -> LoadResult:
-    """First call loads everything; later calls load rows past ``mark - lookback``."""
+    """First call loads everything; later calls load rows past ``mark - lookback``.
+
+    With ``partition_column`` the table is written partitioned by it, and an
+    ``upsert`` increment rewrites only the partitions its rows touch.
+    """
+    part_by = [partition_column] if partition_column else []
     col_type = source_df.schema[column].dataType.simpleString()
     mark = store.high_water(table)
     if mark is None:
         observe = {"high_water": F.max(F.col(column)).cast("string")}
         return store.publish(
-            source_df, table, "refresh", source=source, layer=layer, observe=observe, cluster_by=[column]
+            source_df, table, "refresh", source=source, layer=layer, observe=observe, cluster_by=[column],
+            partition_by=part_by,
         )
 
     # greatest() skips NULL, so an empty increment keeps the old mark.
@@ -76,6 +83,7 @@ def load_increment(
         )
     if merge == "upsert":
         return store.upsert(
-            batch, table, keys, order, source=source, layer=layer, observe=observe, cluster_by=[column]
+            batch, table, keys, order, partition_column=partition_column,
+            source=source, layer=layer, observe=observe, cluster_by=[column],
         )
     raise ValueError("merge must be 'insert_new' or 'upsert'")
