@@ -11,12 +11,14 @@ config.json (credentials are passed in, never stored in code)::
         {"name": "erp_a", "url": "jdbc:sqlserver://host-a:1433;databaseName=erp",
          "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
          "properties": {"user": "...", "password": "..."},
-         "partition": {"column": "id", "num_partitions": 64}}
+         "partition": {"column": "id", "num_partitions": 64}},
+        {"name": "lake_b", "type": "parquet", "dir": "/data/lake_b", "tables": ["orders", "customer"]}
       ]
     }
 
 Layers run in order (staging → transformed → final); each step publishes
 its table only after its write succeeded and logs an audit row either way.
+JDBC sources need their databases; Parquet sources run anywhere.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from landfall.plans.steps import steps_from_dir  # noqa: E402
 from landfall.session import shared_dir  # noqa: E402
 from landfall.sources.catalog import catalog_from_dir  # noqa: E402
 from landfall.sources.jdbc import JdbcSource, extract, key_bounds  # noqa: E402
+from landfall.sources.lake import ParquetSource  # noqa: E402
 from landfall.tables.store import TableStore  # noqa: E402
 
 
@@ -55,13 +58,19 @@ class ConfiguredJdbcSource:
         return extract(spark, self.source, query, partitioning=parts, properties=self.properties)
 
 
-def main(config_path: str) -> None:
+def make_source(spec: dict):
+    if spec.get("type", "jdbc") == "parquet":
+        return ParquetSource.from_dir(spec["name"], spec["dir"], spec["tables"])
+    return ConfiguredJdbcSource(spec)
+
+
+def main(config_path: str, spark: SparkSession | None = None) -> TableStore:
     with open(config_path, encoding="utf-8") as fh:
         config = json.load(fh)
-    spark = SparkSession.builder.appName("warehouse-load").getOrCreate()
+    spark = spark or SparkSession.builder.appName("warehouse-load").getOrCreate()
     store = TableStore(spark, config.get("warehouse") or f"{shared_dir(spark)}/warehouse")
     sql = config.get("sql_root", "sql")
-    sources = [ConfiguredJdbcSource(s) for s in config["sources"]]
+    sources = [make_source(s) for s in config["sources"]]
 
     def folder(*parts: str) -> str:
         return os.path.join(sql, *parts)
@@ -74,6 +83,7 @@ def main(config_path: str) -> None:
         tf_steps={s.name: steps_from_dir(folder("tf", s.name)) for s in sources if os.path.isdir(folder("tf", s.name))},
         dwh_steps=steps_from_dir(folder("dwh")) if os.path.isdir(folder("dwh")) else (),
     )
+    return store
 
 
 if __name__ == "__main__":
