@@ -18,7 +18,8 @@ log = logging.getLogger(__name__)
 _DEFAULT_LIMIT = 10 * 1024 * 1024
 
 
-def _to_bytes(text: str) -> int:
+def to_bytes(text: str) -> int:
+    """Spark size text (``10485760``, ``128m``, ``1g``) as bytes."""
     t = text.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     for suffix in sorted(units, key=len, reverse=True):
@@ -29,7 +30,7 @@ def _to_bytes(text: str) -> int:
 
 def broadcast_limit(df: DataFrame) -> int:
     try:
-        return _to_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_LIMIT)))
+        return to_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_LIMIT)))
     except ValueError:
         return _DEFAULT_LIMIT
 

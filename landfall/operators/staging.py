@@ -44,7 +44,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     gets the full parallelism. A frame that already has
     enough partitions is returned unchanged (no shuffle).
     """
-    from landfall.operators.joins import _to_bytes, estimated_bytes
+    from landfall.operators.joins import estimated_bytes, to_bytes
 
     spark = df.sparkSession
     try:
@@ -58,8 +58,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
             wanted = parallelism
         else:
             # Spark's own split size for files: min(maxPartitionBytes, max(openCost, bytes per core)).
-            max_bytes = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-            open_cost = _to_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m"))
+            max_bytes = to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+            open_cost = to_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m"))
             split = min(max_bytes, max(open_cost, size // parallelism))
             wanted = -(-size // max(split, 1))
         min_partitions = max(1, min(parallelism, wanted))

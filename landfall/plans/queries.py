@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.functions.casts import parse_as, parse_boolean, parse_int, parse_timestamp
 from landfall.operators.dedup import duplicate_groups, keep_latest
 from landfall.operators.staging import spread, to_text
 from landfall.plans import fixtures as fx
@@ -192,8 +193,6 @@ def _land_dirty(store: TableStore, spark: SparkSession, sf_dir: str) -> None:
 def _cast_column(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     dirty = _dirty(spark, sf_dir)
     spec = next(s for s in fx.LINEITEM_RULE.specs if s.name == column)
-    from landfall.functions.casts import parse_as, parse_int
-
     return dirty.select(
         parse_int("l_orderkey", "bigint").alias("l_orderkey"),
         parse_int("l_linenumber", "int").alias("l_linenumber"),
@@ -211,15 +210,11 @@ def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from landfall.functions.casts import parse_boolean
-
     words = fx.boolean_text(_t(spark, sf_dir, "customer"))
     return words.select("c_custkey", "raw_value", parse_boolean("raw_value").alias("value"))
 
 
 def cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from landfall.functions.casts import parse_timestamp
-
     text = fx.date_text(_t(spark, sf_dir, "orders"))
     return text.select("o_orderkey", "raw_value", parse_timestamp("raw_value", ("iso", "dd.MM.yyyy")).alias("value"))
 
