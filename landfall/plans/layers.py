@@ -157,7 +157,7 @@ def run_pipeline(
       callable.
 
     SQL steps see every published table as a temporary view named
-    ``<schema>_<table>`` (``s29_stg.orders`` → ``s29_stg_orders``) and the
+    ``<schema>_<table>`` (``erp_a_stg.orders`` → ``erp_a_stg_orders``) and the
     steps before them by name. Start from any layer by leaving earlier ones
     out of ``layers``: the later layers then read what is already published.
     """

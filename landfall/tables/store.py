@@ -33,6 +33,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, read_audit
 
+# The load log's comment for a successful load, and the prefix
+# of a failed load's comment (followed by the error and its traceback).
+OK_COMMENT = "Table operation successful."
+ERROR_PREFIX = "Error: "
+
 MODES = ("refresh", "append", "upsert", "replace_partitions")
 FULL_MODES = ("refresh", "upsert")
 
@@ -89,7 +94,7 @@ class TableStore:
         counts: Mapping[str, int | None | Callable[[dict], int]] | None = None,
         high_water: str | None = None,
         replaces: Sequence | None = None,
-        comment: str = "Table operation successful.",
+        comment: str = OK_COMMENT,
         raise_on_error: bool = True,
     ) -> LoadResult:
         """Write ``data`` as a new version of ``table`` and log the load.
@@ -134,7 +139,7 @@ class TableStore:
                 self.audit_path,
                 audit_row(
                     database_name=self.database, table_name=table, start_time=start, end_time=end,
-                    status=STATUS_FAILED, comment=f"Error: {exc}\n{traceback.format_exc()}",
+                    status=STATUS_FAILED, comment=f"{ERROR_PREFIX}{exc}\n{traceback.format_exc()}",
                     source=source, load_id=load_id, layer=layer, mode=mode,
                 ),
             )
@@ -225,7 +230,7 @@ class TableStore:
         return sorted(r[0] for r in ok.select("table_name").distinct().collect())
 
     def register_views(self, view_name: Callable[[str], str] = lambda t: t.replace(".", "_")) -> list[str]:
-        """Every published table as a temporary view (``s29_stg.orders`` → ``s29_stg_orders``)."""
+        """Every published table as a temporary view (``erp_a_stg.orders`` → ``erp_a_stg_orders``)."""
         names = []
         for table in self.tables():
             self.read(table).createOrReplaceTempView(view_name(table))

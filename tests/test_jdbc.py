@@ -4,7 +4,7 @@ from landfall.sources.jdbc import JdbcPartitioning, JdbcSource, check_append_sch
 
 
 def test_url_from_server_and_database():
-    src = JdbcSource("s29", server="host:1433", database="erp", driver="com.example.Driver")
+    src = JdbcSource("erp_a", server="host:1433", database="erp", driver="com.example.Driver")
     assert src.jdbc_url() == "jdbc:sqlserver://host:1433;databaseName=erp"
     assert JdbcSource("x", url="jdbc:postgresql://h/db").jdbc_url() == "jdbc:postgresql://h/db"
     with pytest.raises(ValueError):
