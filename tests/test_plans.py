@@ -46,3 +46,15 @@ def test_typed_sides_prune_partitions_and_columns(spark):
     assert "_rejects" not in acc.split("ReadSchema")[1]
     assert "= true)]" in rej
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,_rejects:" in rej
+
+
+LAZY = ["extract_query", "stage_as_text", "cast_int", "cast_decimal", "cast_boolean", "cast_timestamp",
+        "dedup_exact", "dedup_latest", "dwh_report", "orphan_rows"]
+
+
+def test_no_single_partition_exchange(spark):
+    # A window without partitionBy (or a global sort) would pull every row into one task.
+    for key in LAZY:
+        p = plan(getattr(q, key)(spark, SF_SMALL))
+        assert "SinglePartition" not in p, key
+    assert "SinglePartition" not in plan(q._fact(spark, SF_SMALL))
