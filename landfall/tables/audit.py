@@ -1,8 +1,11 @@
 """The load log: one row per load attempt, success or failure, append only.
 
-The first six columns are the reference's monitoring table; the rest are ours.
-Rows are appended as one small Parquet folder each (so concurrent loads never
-share an output folder); readers filter by table and status.
+The first six columns are the load log the reference keeps; the rest are ours
+(source, layer, mode, exact counts, high-water mark, partition layout and the
+written schema of the version). Rows are appended as one small Parquet folder
+each, under a folder per table (``<audit>/<table>/<load_id>-s<status>``), so
+concurrent loads never share an output folder and a table's readers list only
+its own loads.
 """
 
 from __future__ import annotations
