@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import threading
 import traceback
 import uuid
 from functools import reduce
@@ -42,11 +43,18 @@ MODES = ("refresh", "append", "upsert", "replace_partitions")
 FULL_MODES = ("refresh", "upsert")
 
 _counter = itertools.count()
+_id_lock = threading.Lock()
+_last_stamp = ""
 
 
 def new_load_id() -> str:
-    now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
-    return f"{now}-{next(_counter):06d}-{uuid.uuid4().hex[:8]}"
+    """Time-ordered and strictly increasing within the process, even if the
+    wall clock steps back (the stamp never goes below the last one issued)."""
+    global _last_stamp
+    with _id_lock:
+        stamp = max(datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ"), _last_stamp)
+        _last_stamp = stamp
+        return f"{stamp}-{next(_counter):012d}-{uuid.uuid4().hex[:8]}"
 
 
 class NoVisibleVersion(LookupError):

@@ -163,3 +163,10 @@ def test_partition_values_keep_their_written_type(spark, store):
         "id": "int", "day": "string", "code": "string"}
     store.append(df, "t.typed")  # same columns and types: accepted
     assert store.read("t.typed").count() == 4
+
+
+def test_load_ids_strictly_increase():
+    from landfall.tables.store import new_load_id
+
+    ids = [new_load_id() for _ in range(2000)]
+    assert ids == sorted(ids) and len(set(ids)) == len(ids)
