@@ -8,6 +8,7 @@ from landfall.sources.jdbc import (
     extract_options,
     key_bounds,
     load,
+    text_column_types,
     wrap_query,
     write_options,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "since_filter",
     "stage_catalog",
     "staging_table",
+    "text_column_types",
     "wrap_query",
     "write_options",
 ]

@@ -150,6 +150,15 @@ def write_options(
     return opts
 
 
+def text_column_types(df: DataFrame, length: int = 4000) -> str:
+    """``createTableColumnTypes`` for an all-text staging table: every column VARCHAR.
+
+    Spark would create string columns as the database's large-text type
+    (CLOB in some databases, which cannot be compared in a predicate).
+    """
+    return ", ".join(f"{c} VARCHAR({length})" for c in df.columns)
+
+
 def load(
     df: DataFrame,
     target: JdbcSource,

@@ -37,3 +37,13 @@ def test_append_schema_check(spark):
     with pytest.raises(ValueError):
         check_append_schema(df, ["ID"])
     check_append_schema(df.select("id"), ["ID"])
+
+
+def test_text_column_types_for_staging(spark):
+    from landfall.operators.staging import to_text
+    from landfall.sources.jdbc import text_column_types
+
+    df = to_text(spark.range(1).selectExpr("id as a", "cast(id as double) as b"))
+    assert text_column_types(df, 100) == "a VARCHAR(100), b VARCHAR(100)"
+    opts = write_options(JdbcSource("t", url="jdbc:x:y"), "stg.t", column_types=text_column_types(df))
+    assert opts["createTableColumnTypes"] == "a VARCHAR(4000), b VARCHAR(4000)"
