@@ -15,10 +15,8 @@ logged with status 1 is skipped, so a replay never duplicates rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.tables.audit import STATUS_OK
 from landfall.tables.store import TableStore
 
 
@@ -51,13 +49,7 @@ def load_landed_files(
 
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
         marker = batch_marker(stream, batch_id)
-        seen = (
-            store.audit(table)
-            .filter((F.col("status") == STATUS_OK) & (F.col("comment") == marker))
-            .limit(1)
-            .count()
-        )
-        if seen:
+        if store.logged_comment(table, marker):
             return
         store.publish(batch, table, "append", source=source, layer="stg", comment=marker)
         published.append(batch_id)

@@ -3,15 +3,15 @@
 The first six columns are the load log the reference keeps; the rest are ours
 (source, layer, mode, exact counts, high-water mark, partition layout and the
 written schema of the version). Rows are appended as one small Parquet folder
-each, under a folder per table (``<audit>/<table>/<load_id>-s<status>``), so
-concurrent loads never share an output folder and a table's readers list only
-its own loads.
+each, under a folder per table and month
+(``<audit>/<table>/<YYYYMM>/<load_id>-s<status>``), so concurrent loads never
+share an output folder and a table's readers list only its own recent loads.
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -92,24 +92,40 @@ def audit_frame(spark: SparkSession, row: Row) -> DataFrame:
     )
 
 
+def month_of(load_id: str | None) -> str:
+    """``YYYYMM`` bucket of a load (load ids start with their UTC time)."""
+    if load_id and len(load_id) >= 6 and load_id[:6].isdigit():
+        return load_id[:6]
+    return datetime.now(timezone.utc).strftime("%Y%m")
+
+
 def append_audit(spark: SparkSession, path: str, row: Row) -> None:
     """Write one audit row into its own new folder, independent of the load's job.
 
     Two jobs must never write into the same folder at once (their commit
     protocols share a ``_temporary`` directory), and loads may run
     concurrently, so every row gets a folder named by its load and status,
-    under a folder per table: a table's readers list only its own loads.
+    under a folder per table and month: ``<audit>/<table>/<YYYYMM>/<load>-s<status>``.
+    A table's readers list only its own loads, and usually only recent months.
     """
     name = f"{row['load_id'] or uuid.uuid4().hex}-s{row['status']}"
-    audit_frame(spark, row).write.mode("errorifexists").parquet(f"{path}/{row['table_name']}/{name}")
-
-
-def read_audit(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """The whole log, or only the rows of ``table`` (listing only its folder)."""
-    pattern = f"{path}/*/*" if table is None else f"{path}/{table}/*"
+    month = month_of(row["load_id"])
+    audit_frame(spark, row).write.mode("errorifexists").parquet(f"{path}/{row['table_name']}/{month}/{name}")
+
+
+def read_audit(
+    spark: SparkSession, path: str, table: str | None = None, month: str | None = None
+) -> DataFrame:
+    """The whole log, the rows of one ``table``, or of one table and ``month``."""
+    if table is None:
+        pattern = f"{path}/*/*/*"
+    elif month is None:
+        pattern = f"{path}/{table}/*/*"
+    else:
+        pattern = f"{path}/{table}/{month}/*"
     try:
         df = spark.read.schema(AUDIT_SCHEMA).parquet(pattern)
-    except Exception as exc:  # nothing logged yet
+    except Exception as exc:  # nothing logged (in that month) yet
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return spark.createDataFrame([], AUDIT_SCHEMA)
         raise

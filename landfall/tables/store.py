@@ -214,13 +214,34 @@ class TableStore:
         return self.publish(df, table, "append", **kw)
 
     # -- reading -------------------------------------------------------
-    def _ok_loads(self, table: str) -> DataFrame:
-        return self.audit(table).filter(F.col("status") == STATUS_OK)
+    # Months read back from now before falling back to the whole history.
+    recent_months = 3
+
+    def _recent_ok_rows(self, table: str) -> list:
+        """Successful audit rows of ``table`` back to its newest full version.
+
+        Reads the current month's folder, then earlier months, and stops at
+        the first month that holds a full (refresh/upsert) version; after
+        ``recent_months`` empty-handed months it reads the whole history. A
+        table refreshed at least that often is resolved from a few weeks of
+        rows, however long its history (the rows are one per load).
+        """
+        cols = ["load_id", "mode", "partitions", "schema_json", "high_water", "comment"]
+        month = datetime.now(timezone.utc).strftime("%Y%m")
+        rows: list = []
+        for _ in range(self.recent_months):
+            df = read_audit(self.spark, self.audit_path, table, month)
+            rows += df.filter(F.col("status") == STATUS_OK).select(*cols).collect()
+            if any(r["mode"] in FULL_MODES for r in rows):
+                return rows
+            month = _previous_month(month)
+        return self.audit(table).filter(F.col("status") == STATUS_OK).select(*cols).collect()
 
     def _visible(self, table: str) -> list[tuple[str, str, dict | None, str | None]]:
         """(load_id, mode, partitions, schema) of the newest full version and every later one."""
-        rows = self._ok_loads(table).select("load_id", "mode", "partitions", "schema_json").collect()
-        loads = {r[0]: (r[1], json.loads(r[2]) if r[2] else None, r[3]) for r in rows}
+        rows = self._recent_ok_rows(table)
+        loads = {r["load_id"]: (r["mode"], json.loads(r["partitions"]) if r["partitions"] else None,
+                                r["schema_json"]) for r in rows}
         full = [i for i, (m, _, _) in loads.items() if m in FULL_MODES]
         start = max(full) if full else ""
         return [(i, *loads[i]) for i in sorted(loads) if i >= start]
@@ -288,14 +309,21 @@ class TableStore:
 
     def high_water(self, table: str) -> str | None:
         """High-water mark of the newest successful load that recorded one."""
-        row = (
-            self._ok_loads(table)
-            .filter(F.col("high_water").isNotNull())
-            .orderBy(F.col("load_id").desc())
-            .select("high_water")
-            .first()
-        )
-        return None if row is None else row[0]
+        marked = [r for r in self._recent_ok_rows(table) if r["high_water"] is not None]
+        if not marked:
+            row = (
+                self.audit(table)
+                .filter((F.col("status") == STATUS_OK) & F.col("high_water").isNotNull())
+                .orderBy(F.col("load_id").desc())
+                .select("load_id", "high_water")
+                .first()
+            )
+            return None if row is None else row["high_water"]
+        return max(marked, key=lambda r: r["load_id"])["high_water"]
+
+    def logged_comment(self, table: str, comment: str) -> bool:
+        """Whether a successful load since the newest full version logged ``comment``."""
+        return any(r["comment"] == comment for r in self._recent_ok_rows(table))
 
     def compact(self, table: str, **kw) -> LoadResult:
         """Fold the visible versions (a refresh plus many appends) into one refresh."""
@@ -344,6 +372,11 @@ class TableStore:
         )
 
 
+def _previous_month(month: str) -> str:
+    year, mon = int(month[:4]), int(month[4:])
+    return f"{year - 1}12" if mon == 1 else f"{year}{mon - 1:02d}"
+
+
 def partition_in(column: str, values: Sequence) -> Column:
     """``column`` in ``values``, compared as text (values come back from JSON), NULL-aware."""
     text = [str(v) for v in values if v is not None]

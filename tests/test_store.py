@@ -170,3 +170,22 @@ def test_load_ids_strictly_increase():
 
     ids = [new_load_id() for _ in range(2000)]
     assert ids == sorted(ids) and len(set(ids)) == len(ids)
+
+
+def test_audit_walks_back_months(spark, store, monkeypatch):
+    import landfall.tables.store as st
+
+    c = customer(spark)
+    real = st.new_load_id
+    ids = iter(["20200105T000000000000Z-000000000001-aaaaaaaa", "20200210T000000000000Z-000000000002-bbbbbbbb"])
+    monkeypatch.setattr(st, "new_load_id", lambda: next(ids))
+    store.refresh(c.filter("c_custkey % 2 = 0"), "t.old")  # full version, January 2020
+    store.append(c.filter("c_custkey % 2 = 1"), "t.old")  # append, February 2020
+    monkeypatch.setattr(st, "new_load_id", real)
+    # Nothing in the recent months: the reader falls back to the whole history.
+    assert store.read("t.old").count() == c.count()
+    store.append(c.limit(3), "t.old")  # this month
+    assert store.read("t.old").count() == c.count() + 3
+    store.refresh(c.limit(7), "t.old")  # a full version this month: older months are not needed
+    assert store.read("t.old").count() == 7
+    assert store.visible_load_ids("t.old")[0] > "2021"
