@@ -63,7 +63,11 @@ def keep_first_copy(df: DataFrame, value: str, id_col: str) -> DataFrame:
     """Whole rows of the lowest ``id_col`` of every distinct ``value``.
 
     The survivors are found on fingerprints (small shuffle, partial
-    aggregation), then the wide rows are matched on their unique id.
+    aggregation), then the wide rows are matched on their unique id: a semi
+    join that moves each wide row once (ids are unique, so no key is hot),
+    unless the survivor ids are small enough to broadcast. When only the
+    survivor ids and copy counts are needed, :func:`duplicate_groups` never
+    moves the wide values at all.
     """
     survivors = duplicate_groups(df, value, id_col).select(id_col)
     return df.join(survivors, id_col, "left_semi")
