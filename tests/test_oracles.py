@@ -9,6 +9,7 @@ import pytest
 
 from conftest import SF_SMALL
 import __spark_entry__ as entry
+from landfall.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -37,10 +38,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF_SMALL)
     got, cols = df.collect(), df.columns
