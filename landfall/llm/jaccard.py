@@ -9,14 +9,16 @@ threshold. The join is exact on the hashes; it returns connected components.
 2. Under one order, two linked sets share a token within their first
    n - ceil(t*n) + 1. Rows (token, size, set) are sorted by token and size; the
    first set of a run of sizes that could link owns the run. Near copies have
-   nearly the same owners, so a set is shipped to few owners, not to as many
-   as it has tokens. Identical sets are one node.
+   nearly the same owners, so a set is sent to few owners, not to as many as
+   it has tokens. Identical sets are one node.
 3. An owner's sets meet in one task, or, when they are many, in tasks for pairs
-   of hashed blocks. There a signature tree is built: nodes hold the OR of
-   their members' token bitmaps, the range of sizes and the most tokens lost to
-   shared bits. A dual traversal drops node pairs whose largest possible
-   overlap is too small, and pairs already connected; the rest are compared
-   token by token. Links leave as stars, never as all pairs.
+   of hashed blocks. First only their token bitmaps are sent. A signature tree
+   over them holds, per node, the OR of its members' bitmaps, the range of
+   sizes and the most tokens lost to shared bits; a dual traversal drops node
+   pairs whose largest possible overlap is too small. Sets that keep a possible
+   partner are sent once more, with all their tokens: the same traversal then
+   compares them exactly and passes over pairs already connected. Links leave
+   as stars, never as all pairs.
 4. Components: smallest label over links with pointer jumping, each round
    written to the shared folder.
 
@@ -137,10 +139,12 @@ def frequency_classes(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _members(k: int, num: int, den: int, classes: np.ndarray):
+    """Per row its set's id and size; with a set's first row in a task, its prefix and bitmap."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[bytes] = set()
         for batch in batches:
-            ids, sizes, prefixes = [], [], []
+            ids, sizes, prefixes, bits = [], [], [], []
             for text in batch.column("text").to_pylist():
                 tokens = shingle_set(text, k)
                 ident = _set_id(tokens)
@@ -148,6 +152,7 @@ def _members(k: int, num: int, den: int, classes: np.ndarray):
                 sizes.append(len(tokens))
                 if not len(tokens) or ident in told:
                     prefixes.append([])
+                    bits.append(None)
                     continue
                 if len(told) > 200_000:
                     told.clear()
@@ -155,56 +160,54 @@ def _members(k: int, num: int, den: int, classes: np.ndarray):
                 rank = classes[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 order = np.lexsort((tokens, rank))[: prefix_length(len(tokens), num, den)]
                 prefixes.append(tokens[order].view(np.int64))
+                bits.append(bitmap(tokens))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(ids, pa.binary()),
+                    pa.array([int.from_bytes(i[:8], "little", signed=True) for i in ids], pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(bits, pa.binary()),
                 ],
-                names=["id", "sid", "size", "prefix"],
+                names=["id", "sid", "key", "size", "prefix", "bits"],
             )
 
     return run
 
 
 def _owners(num: int, den: int):
-    """Rows sorted by (token, size, sid) to (owner, sid) rows of runs that could link."""
+    """Rows sorted by (token, size, key) to (owner, key, size) rows of runs that could link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = size = None
-        owner = last = b""
-        owner_size, pending = 0, False
+        token = owner = last = None
+        size, owner_size, pending = 0, 0, False
         for batch in batches:
             tokens = batch.column("token").to_numpy()
-            sizes = batch.column("size").to_numpy()
-            sids = batch.column("sid")
             # Rows whose neighbours have other tokens can't start or join a run.
             near = np.ones(len(tokens), bool)
             if len(tokens) > 2:
                 near[1:-1] = (tokens[1:-1] == tokens[:-2]) | (tokens[1:-1] == tokens[2:])
-            out_o, out_s, out_n = [], [], []
-            for i in np.nonzero(near)[0]:
-                t, n, s = tokens[i], int(sizes[i]), sids[int(i)].as_py()
+            sizes = batch.column("size").to_numpy()[near].tolist()
+            keys = batch.column("key").to_numpy()[near].tolist()
+            out = []
+            for t, n, key in zip(tokens[near].tolist(), sizes, keys, strict=True):
                 if t != token or den * size < num * n:
-                    token, size, owner, owner_size, last, pending = t, n, s, n, s, True
+                    token, size, owner, owner_size, last, pending = t, n, key, n, key, True
                     continue
                 size = n
-                if s == last:
+                if key == last:
                     continue
-                last = s
+                last = key
                 if pending:
-                    out_o.append(owner)
-                    out_s.append(owner)
-                    out_n.append(owner_size)
+                    out.append((owner, owner, owner_size))
                     pending = False
-                out_o.append(owner)
-                out_s.append(s)
-                out_n.append(n)
-            if out_o:
+                out.append((owner, key, n))
+            if out:
+                cols = zip(*dict.fromkeys(out), strict=True)
+                kinds = (pa.int64(), pa.int64(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_o, pa.binary()), pa.array(out_s, pa.binary()), pa.array(out_n, pa.int32())],
-                    names=["owner", "sid", "size"],
+                    [pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True)], names=["owner", "key", "size"]
                 )
 
     return run
@@ -220,10 +223,25 @@ class _Node:
         self.children, self.docs, self.one = children, docs, False
 
 
-def _bitmap(tokens: np.ndarray, width: int) -> int:
-    flags = np.zeros(width, np.uint8)
-    flags[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
-    return int.from_bytes(np.packbits(flags).tobytes(), "big")
+def bitmap_width(size: int) -> int:
+    """The power of two at or above twice the size, from 256 to 32768."""
+    return min(1 << 15, max(256, 1 << (2 * size - 1).bit_length()))
+
+
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Bit i is set if some token is i modulo the width."""
+    flags = np.zeros(bitmap_width(len(tokens)), np.uint8)
+    flags[(tokens & np.uint64(len(flags) - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def _folded(bits: bytes, width: int) -> int:
+    """A bitmap at a smaller width."""
+    n, value = len(bits) * 8, int.from_bytes(bits, "little")
+    while n > width:
+        n //= 2
+        value = value >> n | value & ((1 << n) - 1)
+    return value
 
 
 def build_tree(bits: list[int], sizes: list[int], order: list[int]) -> _Node:
@@ -251,89 +269,153 @@ def build_tree(bits: list[int], sizes: list[int], order: list[int]) -> _Node:
     return level[0]
 
 
-def tree_links(sets: list[np.ndarray], num: int, den: int, sides: list[int] | None = None) -> list[int]:
-    """A root for each set: sets that links connect have the same one.
+class _Join:
+    """Dual traversal of one signature tree with itself; ``pair`` sees what it can't rule out."""
 
-    With ``sides``, only sets of different sides are compared.
-    """
-    sizes = [len(s) for s in sets]
-    width = 256
-    while width < 2 * max(sizes, default=0) and width < 1 << 15:
-        width *= 2
-    bits = [_bitmap(s, width) for s in sets]
-    parent = list(range(len(sets)))
-
-    def find(x: int) -> int:
+    def __init__(self, bits: list[bytes], sizes: list[int], num: int, den: int, sides: list[int] | None) -> None:
+        self.sizes, self.num, self.den, self.sides = sizes, num, den, sides
+        self.used = [i for i, n in enumerate(sizes) if n]
+        width = min((len(bits[i]) * 8 for i in self.used), default=256)
+        self.bits = [_folded(b, width) if n else 0 for b, n in zip(bits, sizes, strict=True)]
+
+    def possible(self, low_a: int, high_a: int, low_b: int, high_b: int, overlap: int) -> bool:
+        num, den = self.num, self.den
+        return (
+            den * high_a >= num * low_b
+            and den * high_b >= num * low_a
+            and (den + num) * overlap >= num * (low_a + low_b)
+        )
+
+    def decided(self, a: _Node, b: _Node) -> bool:
+        """Whether no pair of the two nodes' sets needs a look any more."""
+        raise NotImplementedError
+
+    def pair(self, x: int, y: int) -> None:
+        raise NotImplementedError
+
+    def settled(self, x: int, y: int) -> bool:
+        raise NotImplementedError
+
+    def _compare(self, x: int, y: int) -> None:
+        if self.sides is not None and self.sides[x] == self.sides[y] or self.settled(x, y):
+            return
+        bits, sizes = self.bits, self.sizes
+        lost = min(sizes[x] - bits[x].bit_count(), sizes[y] - bits[y].bit_count())
+        if self.possible(sizes[x], sizes[x], sizes[y], sizes[y], (bits[x] & bits[y]).bit_count() + lost):
+            self.pair(x, y)
+
+    def run(self) -> None:
+        if not self.used:
+            return
+        # Neighbours in this order are alike: near copies have most low bits in common.
+        low = (1 << 64) - 1
+        order = sorted(self.used, key=lambda i: (self.bits[i] & -self.bits[i], self.sizes[i], self.bits[i] & low))
+        root = build_tree(self.bits, self.sizes, order)
+        stack = [(root, root)]
+        while stack:
+            a, b = stack.pop()
+            if a is b:
+                for i, c in enumerate(a.children):
+                    stack.extend((c, e) for e in a.children[i + 1 :])
+                stack.extend((c, c) for c in a.children)  # popped first: neighbours meet before far pairs
+                for i, x in enumerate(a.docs):
+                    for y in a.docs[i + 1 :]:
+                        self._compare(x, y)
+                continue
+            overlap = (a.bits & b.bits).bit_count() + min(a.lost, b.lost)
+            if not self.possible(a.low, a.high, b.low, b.high, overlap) or self.decided(a, b):
+                continue
+            if not a.children and not b.children:
+                for x in a.docs:
+                    for y in b.docs:
+                        self._compare(x, y)
+            elif a.children and (not b.children or a.high - a.low >= b.high - b.low):
+                stack.extend((c, b) for c in a.children)
+            else:
+                stack.extend((a, c) for c in b.children)
+
+
+class _Partners(_Join):
+    """Which sets keep a possible partner, by bitmaps alone."""
+
+    def __init__(self, *args) -> None:
+        super().__init__(*args)
+        self.marked = [False] * len(self.sizes)
+
+    def settled(self, x: int, y: int) -> bool:
+        return self.marked[x] and self.marked[y]
+
+    def pair(self, x: int, y: int) -> None:
+        self.marked[x] = self.marked[y] = True
+
+    def decided(self, a: _Node, b: _Node) -> bool:
+        return self._all(a) and self._all(b)
+
+    def _all(self, node: _Node) -> bool:
+        if not node.one:
+            node.one = all(map(self._all, node.children)) and all(self.marked[d] for d in node.docs)
+        return node.one
+
+
+class _Links(_Join):
+    """Exact links, as a forest over the sets."""
+
+    def __init__(self, sets: list[np.ndarray], *args) -> None:
+        super().__init__([bitmap(s) if len(s) else b"" for s in sets], [len(s) for s in sets], *args)
+        self.sets, self.parent = sets, list(range(len(sets)))
+
+    def find(self, x: int) -> int:
+        parent = self.parent
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    def united(node: _Node) -> int:
+    def settled(self, x: int, y: int) -> bool:
+        return self.find(x) == self.find(y)
+
+    def pair(self, x: int, y: int) -> None:
+        both = np.concatenate([self.sets[x], self.sets[y]])
+        both.sort(kind="stable")
+        shared = int(np.count_nonzero(both[1:] == both[:-1]))
+        if self.den * shared >= self.num * (len(both) - shared):
+            rx, ry = self.find(x), self.find(y)
+            self.parent[max(rx, ry)] = min(rx, ry)
+
+    def decided(self, a: _Node, b: _Node) -> bool:
+        one = self._root(a)
+        return one >= 0 and one == self._root(b)
+
+    def _root(self, node: _Node) -> int:
         """The root of all the node's sets, or -1."""
         if node.one:
-            x = node
-            while x.children:
-                x = x.children[0]
-            return find(x.docs[0])
-        roots = {united(c) for c in node.children} if node.children else {find(d) for d in node.docs}
+            while node.children:
+                node = node.children[0]
+            return self.find(node.docs[0])
+        roots = {self._root(c) for c in node.children} if node.children else {self.find(d) for d in node.docs}
         if len(roots) != 1 or -1 in roots:
             return -1
         node.one = True
         return roots.pop()
 
-    def possible(low_a: int, high_a: int, low_b: int, high_b: int, overlap: int) -> bool:
-        return (
-            den * high_a >= num * low_b
-            and den * high_b >= num * low_a
-            and (den + num) * overlap >= num * (low_a + low_b)
-        )
 
-    def compare(x: int, y: int) -> None:
-        if sides is not None and sides[x] == sides[y]:
-            return
-        rx, ry = find(x), find(y)
-        if rx == ry:
-            return
-        lost = min(sizes[x] - bits[x].bit_count(), sizes[y] - bits[y].bit_count())
-        if not possible(sizes[x], sizes[x], sizes[y], sizes[y], (bits[x] & bits[y]).bit_count() + lost):
-            return
-        both = np.concatenate([sets[x], sets[y]])
-        both.sort(kind="stable")
-        shared = int(np.count_nonzero(both[1:] == both[:-1]))
-        if den * shared >= num * (len(both) - shared):
-            parent[max(rx, ry)] = min(rx, ry)
-
-    order = sorted((i for i in range(len(sets)) if sizes[i]), key=lambda i: (int(sets[i][0]), sizes[i]))
-    if not order:
-        return parent
-    root = build_tree(bits, sizes, order)
-    stack = [(root, root)]
-    while stack:
-        a, b = stack.pop()
-        if a is b:
-            for i, c in enumerate(a.children):
-                stack.extend((c, e) for e in a.children[i + 1 :])
-            stack.extend((c, c) for c in a.children)  # popped first: neighbours unite before far pairs are weighed
-            for i, x in enumerate(a.docs):
-                for y in a.docs[i + 1 :]:
-                    compare(x, y)
-            continue
-        overlap = (a.bits & b.bits).bit_count() + min(a.lost, b.lost)
-        if not possible(a.low, a.high, b.low, b.high, overlap):
-            continue
-        one = united(a)
-        if one >= 0 and one == united(b):
-            continue
-        if not a.children and not b.children:
-            for x in a.docs:
-                for y in b.docs:
-                    compare(x, y)
-        elif a.children and (not b.children or a.high - a.low >= b.high - b.low):
-            stack.extend((c, b) for c in a.children)
-        else:
-            stack.extend((a, c) for c in b.children)
-    return [find(x) for x in range(len(sets))]
+def tree_links(sets: list[np.ndarray], num: int, den: int, sides: list[int] | None = None) -> list[int]:
+    """A root for each set: sets that links connect have the same one.
+
+    With ``sides``, only sets of different sides are compared.
+    """
+    join = _Links(sets, num, den, sides)
+    join.run()
+    return [join.find(x) for x in range(len(sets))]
+
+
+def tree_partners(
+    bits: list[bytes], sizes: list[int], num: int, den: int, sides: list[int] | None = None
+) -> list[bool]:
+    """Whether bitmaps and sizes leave each set a partner that it may link with."""
+    join = _Partners(bits, sizes, num, den, sides)
+    join.run()
+    return join.marked
 
 
 def _tokens(k: int):
@@ -346,47 +428,63 @@ def _tokens(k: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("sid").filter(keep),
+                    batch.column("tasks").filter(keep),
                     pa.array([s.tobytes() for s, r in zip(sets, right, strict=True) if r], pa.binary()),
                 ],
-                names=["sid", "tokens"],
+                names=["sid", "tasks", "tokens"],
             )
 
     return run
 
 
-def _links(num: int, den: int):
-    """Rows sorted by task to links (a, b), as stars around each task's roots."""
+TASK = ("owner", "low", "high")
 
-    def solved(task, sids: list[bytes], sides: list[int], sets: list[np.ndarray]):
-        roots = tree_links(sets, num, den, sides if task and task[1] != task[2] else None)
-        return [(sids[i], sids[r]) for i, r in enumerate(roots) if i != r]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, sids, sides, sets = None, [], [], []
-        known: set[bytes] = set()
-        for batch in batches:
-            links = []
-            keys = zip(*[batch.column(c).to_pylist() for c in ("owner", "low", "high")], strict=True)
-            rows = zip(keys, *[batch.column(c).to_pylist() for c in ("sid", "side", "tokens")], strict=True)
-            for key, sid, side, tokens in rows:
-                if key != task:
-                    links += solved(task, sids, sides, sets)
-                    task, sids, sides, sets, known = key, [], [], [], set()
-                if sid not in known:
-                    known.add(sid)
-                    sids.append(sid)
-                    sides.append(side)
-                    sets.append(np.frombuffer(tokens, np.uint64))
-            yield _pairs(links)
-        yield _pairs(solved(task, sids, sides, sets))
+def _by_task(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], solve, join) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by task: each task's distinct sets go to ``solve`` as lists of columns; ``join`` makes batches."""
+    task, rows = None, {}
+    for batch in batches:
+        out = []
+        keys = zip(*[batch.column(c).to_pylist() for c in TASK], strict=True)
+        for key, *row in zip(keys, *[batch.column(c).to_pylist() for c in columns], strict=True):
+            if key != task:
+                out += solve(task, *zip(*rows.values(), strict=True)) if rows else []
+                task, rows = key, {}
+            rows.setdefault(row[0], row)
+        yield join(out)
+    if rows:
+        yield join(solve(task, *zip(*rows.values(), strict=True)))
 
-    return run
 
+def _survivors(num: int, den: int):
+    def solve(task, sids, sides, sizes, bits):
+        marked = tree_partners(list(bits), list(sizes), num, den, sides if task[1] != task[2] else None)
+        return [(*task, side, sid) for side, sid, m in zip(sides, sids, marked, strict=True) if m]
 
-def _pairs(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([a for a, _ in links], pa.binary()), pa.array([b for _, b in links], pa.binary())], names=["a", "b"]
-    )
+    def join(rows):
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True)], names=[*TASK, "side", "sid"]
+        )
+
+    return lambda batches: _by_task(batches, ("sid", "side", "size", "bits"), solve, join)
+
+
+def _links(num: int, den: int):
+    """Links (a, b) as stars around each task's roots."""
+
+    def solve(task, sids, sides, tokens):
+        sets = [np.frombuffer(t, np.uint64) for t in tokens]
+        roots = tree_links(sets, num, den, sides if task[1] != task[2] else None)
+        return [(sids[i], sids[r]) for i, r in enumerate(roots) if i != r]
+
+    def join(links):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], names=["a", "b"]
+        )
+
+    return lambda batches: _by_task(batches, ("sid", "side", "tokens"), solve, join)
 
 
 # -- components ---------------------------------------------------------------
@@ -428,16 +526,19 @@ def shingle_links(
     fields = [
         docs.schema["id"],
         T.StructField("sid", T.BinaryType()),
+        T.StructField("key", T.LongType()),
         T.StructField("size", T.IntegerType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
+        T.StructField("bits", T.BinaryType()),
     ]
     members = written(spark, docs.mapInArrow(_members(k, num, den, classes), T.StructType(fields)), "members")
 
+    # Tokens meet by a set's 64-bit key; the joins below bring the full ids back.
     meetings = (
-        members.select("sid", "size", F.explode("prefix").alias("token"))
+        members.select("key", "size", F.explode("prefix").alias("token"))
         .repartition("token")
-        .sortWithinPartitions("token", "size", "sid")
-        .mapInArrow(_owners(num, den), "owner binary, sid binary, size int")
+        .sortWithinPartitions("token", "size", "key")
+        .mapInArrow(_owners(num, den), "owner bigint, key bigint, size int")
         .distinct()
     )
     meetings = written(spark, meetings, "meetings")
@@ -447,24 +548,39 @@ def shingle_links(
     ).cast("int")
     tasks = (
         meetings.join(load.select("owner", blocks.alias("blocks")), "owner")
-        .withColumn("side", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+        .withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "owner", "sid", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
+            "owner", "key", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
         )
     )
-    wanted = meetings.select("sid").distinct()
-    told = members.select("id", "sid").join(wanted, "sid").groupBy("sid").agg(F.min("id").alias("id"))
-    known = F.col("told.id").eqNullSafe(F.col("docs.id"))
-    tokens = (
-        docs.alias("docs").join(told.alias("told"), known).select("text", "sid")
-        .mapInArrow(_tokens(k), "sid binary, tokens binary")
+    bitmaps = (
+        members.filter("bits is not null")
+        .groupBy("sid")
+        .agg(F.first("key").alias("key"), F.first("size").alias("size"), F.first("bits").alias("bits"))
+    )
+    plans = (
+        tasks.join(bitmaps, "key")
+        .repartition(*TASK)
+        .sortWithinPartitions(*TASK)
+        .select(*TASK, "sid", "side", "size", "bits")
+        .mapInArrow(_survivors(num, den), "owner bigint, low int, high int, side int, sid binary")
+        .groupBy("sid")
+        .agg(F.collect_list(F.struct(*TASK, "side")).alias("tasks"))  # no more than its prefix and blocks
     )
+    told = members.groupBy("sid").agg(F.min("id").alias("id")).join(plans, "sid")
+    known = F.col("told.id").eqNullSafe(F.col("docs.id"))
     links = (
-        tasks.join(tokens, "sid")
-        .repartition("owner", "low", "high")
-        .sortWithinPartitions("owner", "low", "high")
-        .select("owner", "low", "high", "sid", "side", "tokens")
+        docs.alias("docs")
+        .join(told.alias("told"), known)
+        .select("text", "sid", "tasks")
+        .mapInArrow(
+            _tokens(k), "sid binary, tasks array<struct<owner:bigint,low:int,high:int,side:int>>, tokens binary"
+        )
+        .select("sid", "tokens", F.inline("tasks"))
+        .repartition(*TASK)
+        .sortWithinPartitions(*TASK)
+        .select(*TASK, "sid", "side", "tokens")
         .mapInArrow(_links(num, den), "a binary, b binary")
     )
     return members.select("id", "sid", "size"), components(spark, links)
