@@ -4,7 +4,7 @@ Vectors are cut into hashed blocks. A block's index holds, for each of a few
 dozen random directions, its vectors sorted by their projection. A query's
 window is centred on its own projection in every direction; a vector inside
 the window collides. While too few vectors reach the collision threshold, all
-windows are doubled (virtual rehashing: the same arrays, wider windows).
+windows grow (virtual rehashing: the same arrays, wider windows).
 Vectors at or above the threshold are verified with the exact measure on the
 original vectors in double precision.
 
@@ -39,12 +39,15 @@ QUERIES = 2048
 
 @dataclass(frozen=True)
 class Collisions:
-    """Directions, share of them that must collide, first window, and candidates wanted per block."""
-
-    directions: int = 40
-    share: float = 0.5
-    first: float = 0.02
-    wanted: int = 100
+    """Directions, the share of them that must collide, half the first window (in norms) and its growth,
+    and how many vectors of a block are verified at least: a number, or a share if that is more."""
+
+    directions: int = 48
+    share: float = 0.6
+    first: float = 0.6
+    growth: float = 1.2
+    wanted: int = 512
+    wanted_share: float = 0.35
     seed: int = 7
 
 
@@ -71,10 +74,17 @@ def _directions(dimension: int, how: Collisions) -> np.ndarray:
 
 
 def _lifted(vectors: np.ndarray, norm: float) -> np.ndarray:
+    """One more coordinate that brings every vector to the same norm."""
     rest = np.sqrt(np.maximum(norm * norm - np.einsum("ij,ij->i", vectors, vectors), 0))
     return np.hstack([vectors, rest[:, None]])
 
 
+def _pointed(queries: np.ndarray, norm: float) -> np.ndarray:
+    """Queries at that norm with nothing in the new coordinate: nearest is then largest product."""
+    lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+    return np.hstack([queries * (norm / lengths)[:, None], np.zeros((len(queries), 1))])
+
+
 def _build(norm: float, how: Collisions):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         vectors = _matrix(table.column("vector"))
@@ -117,11 +127,10 @@ def search_block(
     """(query's row, candidate ids, scores): each query's best ``k`` of one block among the verified."""
     n, m = len(ids), how.directions
     threshold = max(1, math.ceil(how.share * m))
-    wanted = min(n, max(how.wanted, k + 1))
-    centres = _directions(vectors.shape[1], how) @ _lifted(queries, norm).T
-    spread = norm * math.sqrt(2)
+    wanted = min(n, max(how.wanted, k + 1, math.ceil(how.wanted_share * n)))
+    centres = _directions(vectors.shape[1], how) @ _pointed(queries, norm).T
     best: dict[int, np.ndarray] = {}
-    open_, half = np.arange(len(queries)), how.first * spread
+    open_, half = np.arange(len(queries)), how.first * norm
     while len(open_):
         low = np.stack([np.searchsorted(s, c - half, "left") for s, c in zip(sorted_, centres[:, open_], strict=True)])
         high = np.stack([np.searchsorted(s, c + half, "right") for s, c in zip(sorted_, centres[:, open_], strict=True)])
@@ -133,7 +142,7 @@ def search_block(
                 best[int(q)] = found
             else:
                 still.append(q)
-        open_, half = np.array(still, int), half * 2
+        open_, half = np.array(still, int), half * how.growth
     for q, found in best.items():
         found = found[ids[found] != query_ids[q]]
         scores = np.einsum("ij,j->i", vectors[found], queries[q])

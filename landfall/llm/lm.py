@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import col
+from landfall.llm.common import col, written
 
 CLASSES = 32
 PER_CLASS = 32
@@ -169,7 +169,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """The commonest words of all documents, and the count of every token."""
-    words = docs.mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = written(docs.sparkSession, counted, "words")  # read twice, counted once
     top = words.orderBy(F.desc("n"), "word").limit(OWN).collect()
     counts = np.zeros(TOKENS)
     for i, row in enumerate(top):

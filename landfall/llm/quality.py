@@ -39,6 +39,8 @@ WORDS, SHAPES = 1 << WORD_BITS, 1 << SHAPE_BITS
 #: Words, shapes, repeats of the previous word, share of distinct words.
 DIMENSIONS = WORDS + SHAPES + 2
 SAMPLE = 20_000
+#: Value of a word that is there; scale of the shares of shapes, repeats and distinct words.
+PRESENT, STYLE = 0.5, 12.0
 WORD_CACHE = 400_000
 _PUNCT = re.compile(r"[\W_]+")
 
@@ -86,7 +88,11 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     repeats = np.count_nonzero(codes[1:] == codes[:-1]) / n
     positions = np.concatenate([present, WORDS + used, [WORDS + SHAPES, WORDS + SHAPES + 1]])
     values = np.concatenate(
-        [np.ones(len(present)), 3 * np.sqrt(shapes[used] / n), [3 * math.sqrt(repeats), 3 * len(np.unique(codes)) / n]]
+        [
+            np.full(len(present), PRESENT),
+            STYLE * np.sqrt(shapes[used] / n),
+            [STYLE * math.sqrt(repeats), STYLE * len(np.unique(codes)) / n],
+        ]
     )
     return positions, values
 
@@ -113,10 +119,10 @@ def fit_ordinal(
     rows: list[tuple[np.ndarray, np.ndarray]],
     grades: list[int],
     n_grades: int,
-    epochs: int = 10,
+    epochs: int = 12,
     rate: float = 0.1,
     decay: float = 1e-5,
-    min_documents: int = 20,
+    min_documents: int = 60,
     seed: int = 0,
 ) -> OrdinalModel:
     """Maximum likelihood by adaptive stochastic gradients over the sample.
