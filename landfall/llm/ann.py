@@ -95,7 +95,7 @@ def _build(norm: float, how: Collisions):
             "block": pa.array([key[0].as_py()], pa.int32()),
             "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
             "vectors": pa.array([vectors.astype("<f8").tobytes()], pa.binary()),
-            "order_": pa.array([order.astype("<i4").tobytes()], pa.binary()),
+            "ranks": pa.array([np.argsort(order, axis=1).astype("<i4").tobytes()], pa.binary()),
             "sorted": pa.array([np.take_along_axis(projected, order, 1).astype("<f8").tobytes()], pa.binary()),
         }
         return pa.table(row)
@@ -116,7 +116,7 @@ def _gather(key: tuple, table: pa.Table) -> pa.Table:
 def search_block(
     ids: np.ndarray,
     vectors: np.ndarray,
-    order: np.ndarray,
+    ranks: np.ndarray,
     sorted_: np.ndarray,
     query_ids: np.ndarray,
     queries: np.ndarray,
@@ -125,9 +125,12 @@ def search_block(
     how: Collisions,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query's row, candidate ids, scores): each query's best ``k`` of one block among the verified."""
-    n, m = len(ids), how.directions
-    threshold = max(1, math.ceil(how.share * m))
+    n = len(ids)
+    threshold = max(1, math.ceil(how.share * how.directions))
     wanted = min(n, max(how.wanted, k + 1, math.ceil(how.wanted_share * n)))
+    # Ranks below 65536 are compared as 16-bit numbers, which is several times faster.
+    small = np.uint16 if n < 1 << 16 else np.uint32
+    ranks = ranks.astype(small)
     centres = _directions(vectors.shape[1], how) @ _pointed(queries, norm).T
     best: dict[int, np.ndarray] = {}
     open_, half = np.arange(len(queries)), how.first * norm
@@ -136,16 +139,18 @@ def search_block(
         high = np.stack([np.searchsorted(s, c + half, "right") for s, c in zip(sorted_, centres[:, open_], strict=True)])
         still = []
         for at, q in enumerate(open_):
-            hits = np.concatenate([order[j, a:b] for j, (a, b) in enumerate(zip(low[:, at], high[:, at], strict=True))])
-            found = np.nonzero(np.bincount(hits, minlength=n) >= threshold)[0]
-            if len(found) >= wanted or len(hits) == n * m:
+            # A vector collides where its rank lies in the window; wrap-around makes that one comparison.
+            first, width = low[:, at, None].astype(small), (high - low)[:, at, None].astype(small)
+            inside = ranks - first < width
+            found = np.nonzero(np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint16) >= threshold)[0]
+            if len(found) >= wanted or (high - low)[:, at].min() == n:
                 best[int(q)] = found
             else:
                 still.append(q)
         open_, half = np.array(still, int), half * how.growth
     for q, found in best.items():
         found = found[ids[found] != query_ids[q]]
-        scores = np.einsum("ij,j->i", vectors[found], queries[q])
+        scores = np.take(vectors, found, axis=0) @ queries[q]
         top = np.lexsort((ids[found], -scores))[:k]
         yield q, ids[found][top], scores[top]
 
@@ -161,7 +166,7 @@ def _search(norm: float, k: int, how: Collisions):
                     search_block(
                         ids,
                         part("vectors", "<f8").reshape(len(ids), -1),
-                        part("order_", "<i4").reshape(m, -1),
+                        part("ranks", "<i4").reshape(m, -1),
                         part("sorted", "<f8").reshape(m, -1),
                         query_ids,
                         part("query_vectors", "<f8").reshape(len(query_ids), -1),
@@ -204,7 +209,7 @@ def nearest(
     index = (
         rows.withColumn("block", F.pmod(hashed, F.lit(blocks)).cast("int"))
         .groupBy("block")
-        .applyInArrow(_build(norm, how), "block int, ids binary, vectors binary, order_ binary, sorted binary")
+        .applyInArrow(_build(norm, how), "block int, ids binary, vectors binary, ranks binary, sorted binary")
     )
     index = written(spark, index, "index")
     queries = (
