@@ -22,6 +22,8 @@ FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
 ISO = "iso"
 
 _INTEGER_TEXT = r"^[+-]?[0-9]+$"
+# A full date, perhaps with a time; no bare years and no zone offsets, which a wall clock can't hold.
+_ISO_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]*)?)?)?$"
 _TIME_LETTERS = set("HhkKmsSaAnN")
 
 
@@ -76,7 +78,7 @@ def parse_timestamp(c: Column | str, formats: Sequence[str] = (ISO,)) -> Column:
     parsed = []
     for fmt in formats:
         if fmt == ISO:
-            parsed.append(text.try_cast("timestamp_ntz"))
+            parsed.append(F.when(text.rlike(_ISO_TEXT), text.try_cast("timestamp_ntz")))
         elif _has_time(fmt):
             parsed.append(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
         else:
@@ -89,7 +91,7 @@ def parse_date(c: Column | str, formats: Sequence[str] = (ISO,)) -> Column:
     parsed = []
     for fmt in formats:
         if fmt == ISO:
-            parsed.append(text.try_cast("date"))
+            parsed.append(F.when(text.rlike(_ISO_TEXT), text.try_cast("date")))
         else:
             parsed.append(F.try_to_date(text, fmt))
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
@@ -102,7 +104,7 @@ def parse_as(c: Column | str, type_name: str, formats: Sequence[str] = (ISO,)) -
         return parse_int(c, "bigint" if t in ("bigint", "long") else t)
     if t.startswith("decimal"):
         inner = t[t.index("(") + 1 : t.index(")")] if "(" in t else "10,0"
-        p, s = (int(x) for x in inner.split(","))
+        p, s = (int(x) for x in (inner if "," in inner else f"{inner},0").split(","))
         return parse_decimal(c, p, s)
     if t in ("double", "float"):
         return parse_double(c).cast(t)

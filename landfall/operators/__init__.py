@@ -6,7 +6,6 @@ from landfall.operators.dedup import (
     keep_latest,
     order_spec,
 )
-from landfall.operators.joins import broadcast_if_small, estimated_bytes
 from landfall.operators.staging import stage, to_text, union_sources
 from landfall.operators.typed import (
     REJECTED,
@@ -25,10 +24,8 @@ __all__ = [
     "ColumnSpec",
     "accepted_rows",
     "apply_types",
-    "broadcast_if_small",
     "drop_exact",
     "duplicate_groups",
-    "estimated_bytes",
     "fingerprint",
     "insert_new",
     "keep_first_copy",

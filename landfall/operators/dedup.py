@@ -10,12 +10,13 @@
   hot key sends at most one row per map partition across the network.
 * :func:`duplicate_groups` / :func:`keep_first_copy` – wide text values are
   grouped by a fixed-size SHA-256 fingerprint plus length, so the shuffle moves
-  48 bytes per row instead of the text.
+  a fixed 32-byte hash and a length per row instead of the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,14 +40,21 @@ def order_spec(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per ``keys`` under :func:`order_spec` – deterministic survivor."""
-    w = Window.partitionBy(*keys).orderBy(*order_spec(df, keys, order))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """First row per ``keys`` under :func:`order_spec` – deterministic survivor.
+
+    A NULL key is unknown, not equal to another: such rows all pass through
+    (each in a window of its own, so they form no hot group).
+    """
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    ordering = order_spec(df, keys, order)
+    alone = df.withColumn("_alone", F.when(unknown, F.monotonically_increasing_id()))
+    w = Window.partitionBy(*keys, "_alone").orderBy(*ordering)
+    return alone.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_alone")
 
 
 def fingerprint(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.struct(F.sha2(c.cast("string"), 256).alias("h"), F.length(c).alias("n"))
+    return F.struct(F.unhex(F.sha2(c.cast("string"), 256)).alias("h"), F.length(c).alias("n"))
 
 
 def duplicate_groups(df: DataFrame, value: str, id_col: str) -> DataFrame:

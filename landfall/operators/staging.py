@@ -32,37 +32,21 @@ def union_sources(frames: dict[str, DataFrame], source_column: str = "source") -
     return out
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Spread a narrow extract over the cluster before it is landed.
 
     A JDBC read without a partition column, or a file with one row group,
     arrives as a single partition, and every later narrow step (text
     staging, typing, the writes) would run in that one task. Such a frame is
-    repartitioned round-robin to as many partitions as Spark's own file
-    splitting would give a splittable input of the same estimated size (at
-    most the default parallelism). A JDBC relation has no size estimate, so it
-    gets the full parallelism. A frame that already has
-    enough partitions is returned unchanged (no shuffle).
+    repartitioned round-robin to the default parallelism. A frame that has as
+    many partitions, or whose plan ends in shuffles, is returned unchanged;
+    nothing is executed to find out.
     """
-    from landfall.operators.joins import estimated_bytes, to_bytes
-
-    spark = df.sparkSession
     try:
-        parallelism = spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view; leave partitioning to the server
-        return df
-    if min_partitions is None:
-        size = estimated_bytes(df)
-        if size is None:
-            wanted = parallelism
-        else:
-            # Spark's own split size for files: min(maxPartitionBytes, max(openCost, bytes per core)).
-            max_bytes = to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-            open_cost = to_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m"))
-            split = min(max_bytes, max(open_cost, size // parallelism))
-            wanted = -(-size // max(split, 1))
-        min_partitions = max(1, min(parallelism, wanted))
-    if current >= min_partitions:
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < parallelism
+    except Exception:  # Spark Connect: no plan or RDD view; leave partitioning to the server
         return df
-    return df.repartition(min_partitions)
+    return df.repartition(parallelism) if narrow else df

@@ -2,20 +2,21 @@
 
 ``result = target ▷ changes  ∪  latest(changes)``: target rows whose key is
 in the change set are replaced by the change set's latest row for that key.
-The anti join moves only the key columns of the change set; it is broadcast
-when the change set's size estimate is within the broadcast limit, otherwise
-both sides are shuffled on the key. Keys are unique in a keyed table, so the
+With an order, a target row that is later than the change stays. The anti join
+moves only the key columns of the change set; Spark broadcasts them if their
+run-time size allows it, otherwise both sides are shuffled on the key. Keys are unique in a keyed table, so the
 join has no hot key on the target side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from landfall.operators.dedup import keep_latest
-from landfall.operators.joins import broadcast_if_small
 
 
 def merge_latest(
@@ -24,14 +25,16 @@ def merge_latest(
     keys: Sequence[str],
     order: Sequence[str] = (),
 ) -> DataFrame:
+    """The latest row per key of both under ``order``; ties, and all of them without an order, go to the change."""
     keys = list(keys)
-    changes = changes.select(*target.columns)
-    latest = keep_latest(changes, keys, order)
-    # Keys of the deduplicated change set: one row per key, so a key repeated
-    # across many change rows cannot pile up in one shuffle partition.
-    change_keys = broadcast_if_small(latest.select(*keys))
+    latest = keep_latest(changes.select(*target.columns), keys, order)
+    change_keys = latest.select(*keys)
     kept = target.join(change_keys, keys, "left_anti")
-    return kept.unionByName(latest)
+    if not order:
+        return kept.unionByName(latest)
+    contested = target.join(change_keys, keys, "left_semi").withColumn("_change", F.lit(0))
+    rivals = contested.unionByName(latest.withColumn("_change", F.lit(1)))
+    return kept.unionByName(keep_latest(rivals, keys, [*order, "-_change"]).drop("_change"))
 
 
 def insert_new(
@@ -46,5 +49,11 @@ def insert_new(
     be read, and the result is *appended*, so the target is never rewritten.
     """
     keys = list(keys)
-    batch = keep_latest(batch, keys, order)
-    return batch.join(target_window.select(*keys), keys, "left_anti")
+    batch = keep_latest(batch, keys, order).alias("b")
+    window = target_window.select(*batch.columns).alias("t")
+    same = lambda cols: reduce(
+        lambda x, y: x & y, [F.col(f"b.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in cols]
+    )
+    unknown = reduce(lambda x, y: x | y, [F.col(f"b.`{k}`").isNull() for k in keys])
+    # Rows with a NULL key are known again only if all their columns are equal.
+    return batch.join(window, same(keys) & (~unknown | same(batch.columns)), "left_anti")

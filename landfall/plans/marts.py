@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.operators.joins import broadcast_if_small
 
 
 def line_revenue() -> F.Column:
@@ -30,21 +29,18 @@ def fact_lines(
 ) -> DataFrame:
     """One row per line with order date/status, customer segment and nation,
     part brand/type, supplier nation, and measures."""
+    # Customers meet the orders first: the lines are shuffled by order, part and supplier only.
     o = orders.select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus"
-    )
-    c = broadcast_if_small(customer.select(
-        F.col("c_custkey").alias("o_custkey"), "c_mktsegment", F.col("c_nationkey")
-    ))
-    p = broadcast_if_small(part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type"))
-    s = broadcast_if_small(supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey")))
+    ).join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey"), "o_custkey")
+    p = part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    s = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     f = (
         lines.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount", "l_shipdate",
         )
         .join(o, "l_orderkey")
-        .join(c, "o_custkey")
         .join(p, "l_partkey")
         .join(s, "l_suppkey")
     )
@@ -59,13 +55,50 @@ def fact_lines(
     )
 
 
-def segment_month_report(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(
-        "c_mktsegment", F.trunc(F.to_date("o_orderdate"), "month").alias("order_month")
-    ).agg(
+def unmatched_lines(
+    lines: DataFrame, orders: DataFrame, customer: DataFrame, part: DataFrame, supplier: DataFrame
+) -> DataFrame:
+    """Lines that :func:`fact_lines` can't place, with the first side they miss: order, customer, part, supplier."""
+    there = lambda df, key, to, flag: df.select(F.col(key).alias(to), F.lit(True).alias(flag)).distinct()
+    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.lit(True).alias("_order")).join(
+        there(customer, "c_custkey", "o_custkey", "_customer"), "o_custkey", "left"
+    )
+    found = (
+        lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        .join(o.drop("o_custkey"), "l_orderkey", "left")
+        .join(there(part, "p_partkey", "l_partkey", "_part"), "l_partkey", "left")
+        .join(there(supplier, "s_suppkey", "l_suppkey", "_supplier"), "l_suppkey", "left")
+    )
+    missing = F.lit(None).cast("string")
+    for side in ("supplier", "part", "customer", "order"):
+        missing = F.when(F.col(f"_{side}").isNull(), side).otherwise(missing)
+    return found.withColumn("missing", missing).filter("missing is not null").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "missing"
+    )
+
+
+def segment_month_report(lines: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Lines, quantity and revenue by segment and order month: summed per order before any join."""
+    per_order = lines.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("line_count"),
         F.sum("l_quantity").alias("sum_qty"),
-        F.sum("revenue").alias("revenue"),
+        F.sum(line_revenue()).alias("revenue"),
+    )
+    o = orders.select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        "o_custkey",
+        F.trunc(F.to_date("o_orderdate"), "month").alias("order_month"),
+    )
+    c = customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return (
+        per_order.join(o, "l_orderkey")
+        .join(c, "o_custkey")
+        .groupBy("c_mktsegment", "order_month")
+        .agg(
+            F.sum("line_count").alias("line_count"),
+            F.sum("sum_qty").alias("sum_qty"),
+            F.sum("revenue").alias("revenue"),
+        )
     )
 
 
@@ -89,8 +122,8 @@ def revenue_by_nation_year(
             F.sum("revenue").alias("revenue"),
         )
     )
-    c = broadcast_if_small(customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"))
-    n = broadcast_if_small(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
+    c = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
         per_customer_year.join(c, "o_custkey")
         .join(n, "c_nationkey")

@@ -237,6 +237,19 @@ from ({_FACT})
 group by all
 """
 
+FACT_UNMATCHED = """
+select * from (
+  select l_orderkey, l_linenumber, l_partkey, l_suppkey, case
+    when o.o_orderkey is null then 'order'
+    when c.c_custkey is null then 'customer'
+    when l_partkey not in (select p_partkey from part where p_partkey % 25 <> 0) then 'part'
+    when l_suppkey not in (select s_suppkey from supplier where s_suppkey % 9 <> 0) then 'supplier' end as missing
+  from lineitem
+  left join (select * from orders where o_orderkey % 40 <> 0) o on o.o_orderkey = l_orderkey
+  left join (select * from customer where c_custkey % 30 <> 0) c on c.c_custkey = o.o_custkey)
+where missing is not null
+"""
+
 ORPHAN_ROWS = """
 select * from lineitem l
 where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_orderkey % 50 <> 0)
@@ -281,6 +294,7 @@ ORACLE_SQL: dict[str, str] = {
     "step_isolation": clean_query(FAILING_STEPS[0].sql),
     "dwh_fact": DWH_FACT,
     "dwh_report": DWH_REPORT,
+    "fact_unmatched": FACT_UNMATCHED,
     "orphan_rows": ORPHAN_ROWS,
     "upsert_latest": UPSERT_LATEST,
 }

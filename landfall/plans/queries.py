@@ -26,7 +26,13 @@ from landfall.plans.layers import (
     transformed_table,
     type_table,
 )
-from landfall.plans.marts import fact_lines, orphans, revenue_by_nation_year, segment_month_report
+from landfall.plans.marts import (
+    fact_lines,
+    orphans,
+    revenue_by_nation_year,
+    segment_month_report,
+    unmatched_lines,
+)
 from landfall.plans.steps import Step, StepFailed, run_steps
 from landfall.session import scratch_dir
 from landfall.sources.catalog import stage_catalog, staging_table
@@ -137,7 +143,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{root}/landing"
     events = _t(spark, sf_dir, "events")
     mid = F.lit("2024-01-16").cast("timestamp_ntz")
-    kw = dict(checkpoint_dir=f"{root}/checkpoint", stream="events", source="events")
+    kw = dict(checkpoint_dir=f"{root}/checkpoint", source="events")
     events.filter(F.col("ts") < mid).write.mode("append").parquet(landing)
     load_landed_files(spark, store, landing, events.schema, "events_stg.events", **kw)
     events.filter(F.col("ts") >= mid).write.mode("append").parquet(landing)
@@ -336,7 +342,9 @@ def dwh_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dwh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = segment_month_report(_fact(spark, sf_dir))
+    report = segment_month_report(
+        _clean_lines(spark, sf_dir), _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")
+    )
     return report.select(
         "c_mktsegment",
         "order_month",
@@ -346,6 +354,18 @@ def dwh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that miss a side of the fact when some orders, customers, parts and suppliers have not come yet."""
+    arrived = lambda name, key, n: _t(spark, sf_dir, name).filter(F.col(key) % n != 0)
+    return unmatched_lines(
+        _t(spark, sf_dir, "lineitem"),
+        arrived("orders", "o_orderkey", 40),
+        arrived("customer", "c_custkey", 30),
+        arrived("part", "p_partkey", 25),
+        arrived("supplier", "s_suppkey", 9),
+    )
+
+
 def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept_orders = _t(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 50 != 0)
     return orphans(_t(spark, sf_dir, "lineitem"), kept_orders, "l_orderkey", "o_orderkey")
@@ -386,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "step_isolation": step_isolation,
     "dwh_fact": dwh_fact,
     "dwh_report": dwh_report,
+    "fact_unmatched": fact_unmatched,
     "orphan_rows": orphan_rows,
     "upsert_latest": upsert_latest,
 }

@@ -11,6 +11,7 @@ and later steps do not run (the exception is re-raised as :class:`StepFailed`).
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -20,6 +21,8 @@ from pyspark.sql import SparkSession
 from landfall.sources.jdbc import clean_query
 from landfall.tables.store import LoadResult, TableStore
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Step:
@@ -42,6 +45,8 @@ def steps_from_dir(directory: str) -> list[Step]:
         if name.endswith(".sql"):
             with open(os.path.join(directory, name), encoding="utf-8") as fh:
                 steps.append(Step(name[: -len(".sql")], fh.read()))
+    if not steps:
+        log.warning("no .sql files in %s", directory)
     return steps
 
 

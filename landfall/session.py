@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir() if sc is not None else None
         if current:
             return current.rstrip("/")
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_CONF_KEY} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="landfall-ckpt-")
         log.warning("spark.checkpoint.dir is unset; using local %s (tests only)", configured)
         if sc is not None:

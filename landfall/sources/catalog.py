@@ -8,6 +8,7 @@ the data never is.
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Mapping
 from typing import Protocol
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from landfall.operators.staging import spread, stage
 from landfall.tables.store import LoadResult, TableStore
 
+log = logging.getLogger(__name__)
+
 
 class Source(Protocol):
     name: str
@@ -31,6 +34,8 @@ def catalog_from_dir(directory: str) -> dict[str, str]:
         if name.endswith(".sql"):
             with open(os.path.join(directory, name), encoding="utf-8") as fh:
                 out[name[: -len(".sql")]] = fh.read()
+    if not out:
+        log.warning("no .sql files in %s", directory)
     return out
 
 

@@ -1,8 +1,9 @@
 """Incremental loads by high-water mark, with an overlap for late rows.
 
 A plain ``column > mark`` misses rows that arrive late with an older value.
-Each increment therefore re-reads from ``mark - lookback`` (the filter reaches
-the Parquet scan or the JDBC query) and merges on the key:
+Each increment therefore re-reads from ``mark - lookback``, the mark itself and
+rows without a value included (the filter reaches the Parquet scan or the JDBC
+query), and merges on the key:
 
 * ``merge="insert_new"`` – for immutable rows (events): only the target's
   overlap window is read, the new keys are *appended*; nothing is rewritten.
@@ -21,9 +22,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landfall.operators.dedup import keep_latest
 from landfall.operators.upsert import insert_new
 from landfall.tables.store import LoadResult, TableStore
 
+#: Before the microseconds since 1970 of a mark that is an instant.
+INSTANT = "micros:"
+
 
 def _lower_bound(mark: Column, lookback: dt.timedelta | int | float | None) -> Column:
     if not lookback:
@@ -34,12 +39,25 @@ def _lower_bound(mark: Column, lookback: dt.timedelta | int | float | None) -> C
     return mark - F.lit(lookback)
 
 
+def mark_text(value: Column, col_type: str) -> Column:
+    """A mark as text; a zoned timestamp as its instant, so that session zones don't matter."""
+    if col_type == "timestamp":
+        return F.concat(F.lit(INSTANT), F.unix_micros(value).cast("string"))
+    return value.cast("string")
+
+
+def mark_value(mark: str, col_type: str) -> Column:
+    if mark.startswith(INSTANT):
+        return F.timestamp_micros(F.lit(int(mark.removeprefix(INSTANT)))).cast(col_type)
+    return F.lit(mark).cast(col_type)
+
+
 def since_filter(
     df: DataFrame, column: str, mark: str, lookback: dt.timedelta | int | float | None
 ) -> Column:
-    """``column > mark - lookback`` with the mark read back in the column's own type."""
+    """``column >= mark - lookback``, or unknown: rows at the mark or without one are merged by key."""
     col_type = df.schema[column].dataType.simpleString()
-    return F.col(column) > _lower_bound(F.lit(mark).cast(col_type), lookback)
+    return (F.col(column) >= _lower_bound(mark_value(mark, col_type), lookback)) | F.col(column).isNull()
 
 
 def load_increment(
@@ -65,14 +83,14 @@ def load_increment(
     col_type = source_df.schema[column].dataType.simpleString()
     mark = store.high_water(table)
     if mark is None:
-        observe = {"high_water": F.max(F.col(column)).cast("string")}
+        observe = {"high_water": mark_text(F.max(F.col(column)), col_type)}
         return store.publish(
-            source_df, table, "refresh", source=source, layer=layer, observe=observe, cluster_by=[column],
+            keep_latest(source_df, keys, order), table, "refresh", source=source, layer=layer, observe=observe, cluster_by=[column],
             partition_by=part_by,
         )
 
     # greatest() skips NULL, so an empty increment keeps the old mark.
-    observe = {"high_water": F.greatest(F.max(F.col(column)), F.lit(mark).cast(col_type)).cast("string")}
+    observe = {"high_water": mark_text(F.greatest(F.max(F.col(column)), mark_value(mark, col_type)), col_type)}
     batch = source_df.filter(since_filter(source_df, column, mark, lookback))
     if merge == "insert_new":
         current = store.read(table)

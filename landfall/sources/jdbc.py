@@ -67,8 +67,10 @@ def clean_query(sql: str) -> str:
 
 
 def wrap_query(sql: str, alias: str = "q") -> str:
-    """``(<sql>) q`` – a trailing ``;`` would break the derived table, so it is removed."""
-    return f"({clean_query(sql)}) {alias}"
+    """``(<sql>) q`` – a trailing ``;`` would break the derived table, so it is removed;
+    a line break ends a trailing comment."""
+    query = clean_query(sql)
+    return f"({query}\n) {alias}" if "--" in query else f"({query}) {alias}"
 
 
 def extract_options(

@@ -8,20 +8,39 @@ like a batch job. The stream's checkpoint remembers which files were taken.
 Each micro-batch is published as an ``append`` version through
 :class:`TableStore`. ``foreachBatch`` is at-least-once: after a crash between
 the write and the checkpoint commit a batch is replayed. The audit row of a
-batch names its stream and batch id, and a replayed batch that is already
-logged with status 1 is skipped, so a replay never duplicates rows.
+batch names the checkpoint's own query id and the batch id, and a batch whose
+row is logged with status 1, at any time, is skipped. Before a batch its files
+are noted in ``<table>_files`` with the same name; files noted by a logged
+batch are passed over, so a lost checkpoint neither doubles old files nor
+hides new ones, and several folders can feed one table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.tables.store import TableStore
 
 
-def batch_marker(stream: str, batch_id: int) -> str:
-    return f"stream {stream} batch {batch_id}"
+FILE = "_landed_file"
+
+
+def batch_marker(query_id: str, batch_id: int) -> str:
+    return f"stream {query_id} batch {batch_id}"
+
+
+def files_table(table: str) -> str:
+    return f"{table}_files"
+
+
+def new_rows(store: TableStore, table: str, batch: DataFrame) -> DataFrame:
+    """Rows of files that no logged batch of ``table`` has noted."""
+    if not store.exists(files_table(table)):
+        return batch
+    noted = store.read(files_table(table)).join(store.ok_comments(table), "comment", "left_semi")
+    return batch.join(noted.select(FILE).distinct(), FILE, "left_anti")
 
 
 def load_landed_files(
@@ -33,7 +52,6 @@ def load_landed_files(
     *,
     checkpoint_dir: str,
     fmt: str = "parquet",
-    stream: str | None = None,
     max_files_per_trigger: int | None = None,
     source: str | None = None,
     compact_after: int | None = None,
@@ -44,21 +62,25 @@ def load_landed_files(
     versions folds them into one (reads then open one version, not one per
     batch).
     """
-    stream = stream or table
     published = []
 
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
-        marker = batch_marker(stream, batch_id)
-        if store.logged_comment(table, marker):
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        marker = batch_marker(query_id, batch_id)
+        if not store.ok_comments(table).filter(F.col("comment") == marker).isEmpty():
             return
-        store.publish(batch, table, "append", source=source, layer="stg", comment=marker)
-        published.append(batch_id)
+        fresh = new_rows(store, table, batch)
+        files = fresh.select(FILE, F.lit(marker).alias("comment")).distinct()
+        if store.append(files, files_table(table), source=source, layer="stg").rows_written:
+            store.publish(fresh.drop(FILE), table, "append", source=source, layer="stg", comment=marker)
+            published.append(batch_id)
 
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     query = (
         reader.load(landing_dir)
+        .withColumn(FILE, F.col("_metadata.file_path"))
         .writeStream.foreachBatch(publish_batch)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,13 +126,23 @@ def read_audit(
         pattern = f"{path}/{table}/{month}/*"
     try:
         df = spark.read.schema(AUDIT_SCHEMA).parquet(pattern)
-    except Exception as exc:  # nothing logged (in that month) yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:  # nothing logged (in that month) yet
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], AUDIT_SCHEMA)
         raise
     return df if table is None else df.filter(F.col("table_name") == table)
 
 
+def logged_months(spark: SparkSession, path: str, table: str) -> list[str]:
+    """The months in which ``table`` has log rows, newest first (one folder per month, whatever the clock says)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{table}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted((n for n in names if n.isdigit()), reverse=True)
+
+
 def reconcile(audit: DataFrame) -> DataFrame:
     """Count check per successful load.
 

@@ -32,7 +32,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, read_audit
+from landfall.operators.dedup import keep_latest
+from landfall.operators.upsert import merge_latest
+from landfall.session import scratch_dir
+from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, logged_months, read_audit
 
 # The load log's comment for a successful load, and the prefix
 # of a failed load's comment (followed by the error and its traceback).
@@ -128,6 +131,9 @@ class TableStore:
             df = data() if callable(data) else data
             if mode == "append" and vis:
                 self._check_append_schema(table, df, vis)
+            if partition_by:
+                # Few files per partition value; hot values are split by size.
+                df = df.hint("rebalance", *[F.col(c) for c in partition_by])
             obs = Observation(f"load_{load_id}")
             exprs = [F.count(F.lit(1)).alias("rows")]
             exprs += [c.alias(name) for name, c in (observe or {}).items()]
@@ -214,28 +220,22 @@ class TableStore:
         return self.publish(df, table, "append", **kw)
 
     # -- reading -------------------------------------------------------
-    # Months read back from now before falling back to the whole history.
-    recent_months = 3
-
     def _recent_ok_rows(self, table: str) -> list:
         """Successful audit rows of ``table`` back to its newest full version.
 
-        Reads the current month's folder, then earlier months, and stops at
-        the first month that holds a full (refresh/upsert) version; after
-        ``recent_months`` empty-handed months it reads the whole history. A
-        table refreshed at least that often is resolved from a few weeks of
-        rows, however long its history (the rows are one per load).
+        Goes through the months that have log folders, newest first, and stops
+        at the first that holds a full (refresh/upsert) version. Load ids sort
+        in time order, so nothing older can be visible; the reader's clock
+        plays no part.
         """
         cols = ["load_id", "mode", "partitions", "schema_json", "high_water", "comment"]
-        month = datetime.now(timezone.utc).strftime("%Y%m")
         rows: list = []
-        for _ in range(self.recent_months):
+        for month in logged_months(self.spark, self.audit_path, table):
             df = read_audit(self.spark, self.audit_path, table, month)
             rows += df.filter(F.col("status") == STATUS_OK).select(*cols).collect()
             if any(r["mode"] in FULL_MODES for r in rows):
-                return rows
-            month = _previous_month(month)
-        return self.audit(table).filter(F.col("status") == STATUS_OK).select(*cols).collect()
+                break
+        return rows
 
     def _visible(self, table: str) -> list[tuple[str, str, dict | None, str | None]]:
         """(load_id, mode, partitions, schema) of the newest full version and every later one."""
@@ -260,8 +260,10 @@ class TableStore:
 
     def register_views(self, view_name: Callable[[str], str] = lambda t: t.replace(".", "_")) -> list[str]:
         """Every published table as a temporary view (``erp_a_stg.orders`` → ``erp_a_stg_orders``)."""
-        names = []
+        names: list[str] = []
         for table in self.tables():
+            if view_name(table) in names:
+                raise ValueError(f"two published tables share the view name {view_name(table)!r}")
             self.read(table).createOrReplaceTempView(view_name(table))
             names.append(view_name(table))
         return names
@@ -308,28 +310,21 @@ class TableStore:
         return df if with_load_id else df.drop("load_id")
 
     def high_water(self, table: str) -> str | None:
-        """High-water mark of the newest successful load that recorded one."""
-        marked = [r for r in self._recent_ok_rows(table) if r["high_water"] is not None]
-        if not marked:
-            row = (
-                self.audit(table)
-                .filter((F.col("status") == STATUS_OK) & F.col("high_water").isNotNull())
-                .orderBy(F.col("load_id").desc())
-                .select("load_id", "high_water")
-                .first()
-            )
-            return None if row is None else row["high_water"]
-        return max(marked, key=lambda r: r["load_id"])["high_water"]
+        """High-water mark of the visible table: the newest one logged since its newest full version."""
+        rows = self._recent_ok_rows(table)
+        start = max((r["load_id"] for r in rows if r["mode"] in FULL_MODES), default="")
+        marked = [r for r in rows if r["high_water"] is not None and r["load_id"] >= start]
+        return max(marked, key=lambda r: r["load_id"])["high_water"] if marked else None
 
-    def logged_comment(self, table: str, comment: str) -> bool:
-        """Whether a successful load since the newest full version logged ``comment``."""
-        return any(r["comment"] == comment for r in self._recent_ok_rows(table))
+    def ok_comments(self, table: str) -> DataFrame:
+        """Comments of all successful loads of ``table``, however old."""
+        return self.audit(table).filter(F.col("status") == STATUS_OK).select("comment")
 
     def compact(self, table: str, **kw) -> LoadResult:
-        """Fold the visible versions (a refresh plus many appends) into one refresh."""
+        """Fold the visible versions (a refresh plus many appends) into one refresh; layout and mark stay."""
         current = self.read(table)
-        column = self.partition_column(table)
-        kw.setdefault("partition_by", [column] if column else [])
+        kw.setdefault("partition_by", self.partition_columns(table) or [])
+        kw.setdefault("high_water", self.high_water(table))
         return self.publish(current, table, "refresh", comment="compaction", **kw)
 
     def upsert(
@@ -341,23 +336,33 @@ class TableStore:
         partition_column: str | None = None,
         **kw,
     ) -> LoadResult:
-        """Merge ``changes`` into the visible table by key.
-
-        Without ``partition_column`` the whole table is rewritten as a new
-        version. With it (and a table published with that one partition
-        column) only the partitions the change set touches are read, merged
-        and written, as a ``replace_partitions`` version. The touched values
-        are collected on the driver: one per partition, never per row. A
-        key's partition value must not change between loads.
+        """Merge ``changes`` into the visible table by key; the latest row per key under ``order`` stays.
+
+        The change set is written once and merged from there, so a source that
+        changes meanwhile can't be read in two states. Without
+        ``partition_column`` the whole table is rewritten as a new version.
+        With it (and a table published with that one partition column) only
+        the partitions the change set touches, or that hold one of its keys
+        now, are read, merged and written, as a ``replace_partitions``
+        version. The touched values are collected on the driver as text: one
+        per partition, never per row.
         """
-        from landfall.operators.upsert import merge_latest
-
         part_by = [partition_column] if partition_column else []
         if not self.exists(table):
-            return self.publish(changes, table, "refresh", partition_by=part_by, **kw)
+            return self.publish(
+                lambda: keep_latest(changes, keys, order), table, "refresh", partition_by=part_by, **kw
+            )
+        path = scratch_dir(self.spark, "changes")
+        changes.write.parquet(path)
+        changes = self.spark.read.schema(changes.schema).parquet(path)
+        if "high_water" not in (kw.get("observe") or {}):
+            kw.setdefault("high_water", self.high_water(table))
+        current = self.read(table)
         if partition_column and self.partition_column(table) == partition_column:
-            touched = [r[0] for r in changes.select(partition_column).distinct().collect()]
-            current = self.read(table).filter(partition_in(partition_column, touched))
+            value = F.col(partition_column).cast("string")
+            held = current.join(changes.select(*keys).distinct(), list(keys), "left_semi").select(value)
+            touched = [r[0] for r in changes.select(value).union(held).distinct().collect()]
+            current = current.filter(partition_in(partition_column, touched))
             return self.publish(
                 lambda: merge_latest(current, changes, keys, order),
                 table,
@@ -366,20 +371,14 @@ class TableStore:
                 replaces=touched,
                 **kw,
             )
-        current = self.read(table)
         return self.publish(
             lambda: merge_latest(current, changes, keys, order), table, "upsert", partition_by=part_by, **kw
         )
 
 
-def _previous_month(month: str) -> str:
-    year, mon = int(month[:4]), int(month[4:])
-    return f"{year - 1}12" if mon == 1 else f"{year}{mon - 1:02d}"
-
-
 def partition_in(column: str, values: Sequence) -> Column:
-    """``column`` in ``values``, compared as text (values come back from JSON), NULL-aware."""
-    text = [str(v) for v in values if v is not None]
+    """``column`` in ``values``, which Spark cast to text; NULL-aware."""
+    text = [v for v in values if v is not None]
     cond = F.col(column).cast("string").isin(text) if text else F.lit(False)
     if any(v is None for v in values):
         cond = cond | F.col(column).isNull()

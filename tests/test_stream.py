@@ -10,7 +10,7 @@ def test_available_now_runs_take_only_new_files(spark):
     root = scratch_dir(spark, "stream-test")
     store = TableStore(spark, f"{root}/wh")
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    kw = dict(checkpoint_dir=f"{root}/ck", stream="ev")
+    kw = dict(checkpoint_dir=f"{root}/ck")
     ev.filter("ts < '2024-01-16'").write.parquet(f"{root}/landing", mode="append")
     assert load_landed_files(spark, store, f"{root}/landing", ev.schema, "s.ev", **kw) >= 1
     first = store.read("s.ev").count()
@@ -23,15 +23,51 @@ def test_available_now_runs_take_only_new_files(spark):
     assert got.count() == ev.count() and got.exceptAll(ev).count() == 0
 
 
-def test_replayed_batch_is_skipped(spark):
+def _landed(spark, root, name, low, high):
+    spark.range(low, high).write.parquet(f"{root}/{name}", mode="append")
+
+
+def _load(spark, store, root, name, ck):
+    schema = spark.range(1).schema
+    return load_landed_files(spark, store, f"{root}/{name}", schema, "s.t", checkpoint_dir=f"{root}/{ck}")
+
+
+def _ids(store):
+    return sorted(r.id for r in store.read("s.t").collect())
+
+
+def test_two_folders_feed_one_table(spark):
+    root = scratch_dir(spark, "stream-two")
+    store = TableStore(spark, f"{root}/wh")
+    _landed(spark, root, "a", 0, 10)
+    _landed(spark, root, "b", 10, 20)
+    _load(spark, store, root, "a", "ck-a")
+    _load(spark, store, root, "b", "ck-b")
+    assert _ids(store) == list(range(20))
+
+
+def test_lost_checkpoint_neither_doubles_nor_hides(spark):
+    root = scratch_dir(spark, "stream-reset")
+    store = TableStore(spark, f"{root}/wh")
+    _landed(spark, root, "a", 0, 10)
+    _load(spark, store, root, "a", "ck1")
+    _landed(spark, root, "a", 10, 20)
+    _load(spark, store, root, "a", "ck2")
+    assert _ids(store) == list(range(20))
+    assert _load(spark, store, root, "a", "ck3") == 0
+
+
+def test_replay_after_compaction_in_a_later_month(spark, monkeypatch):
     root = scratch_dir(spark, "stream-replay")
     store = TableStore(spark, f"{root}/wh")
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    ev.write.parquet(f"{root}/landing")
-    load_landed_files(spark, store, f"{root}/landing", ev.schema, "s.ev", checkpoint_dir=f"{root}/ck1", stream="ev")
-    # A fresh checkpoint replays batch 0; its audit marker is already logged, so nothing is added.
-    load_landed_files(spark, store, f"{root}/landing", ev.schema, "s.ev", checkpoint_dir=f"{root}/ck2", stream="ev")
-    assert store.read("s.ev").count() == ev.count()
+    _landed(spark, root, "a", 0, 10)
+    _load(spark, store, root, "a", "ck1")
+    later = iter(f"20991{i}01T000000000000Z-{i:012d}-x" for i in range(1, 3))
+    monkeypatch.setattr("landfall.tables.store.new_load_id", lambda: next(later))
+    store.compact("s.t")
+    monkeypatch.undo()
+    _load(spark, store, root, "a", "ck2")
+    assert _ids(store) == list(range(10))
 
 
 def test_compact_after_folds_batches(spark):
@@ -43,7 +79,7 @@ def test_compact_after_folds_batches(spark):
             F.col("ts") >= F.lit("2024-01-01").cast("timestamp_ntz")).limit(0).write.parquet(f"{root}/landing", mode="append")
     ev.write.parquet(f"{root}/landing", mode="append")
     load_landed_files(spark, store, f"{root}/landing", ev.schema, "s.ev", checkpoint_dir=f"{root}/ck",
-                      stream="ev", max_files_per_trigger=1, compact_after=1)
+                      max_files_per_trigger=1, compact_after=1)
     assert len(store.visible_load_ids("s.ev")) == 1
     got = store.read("s.ev")
     assert got.count() == ev.count() and got.exceptAll(ev).count() == 0
