@@ -79,10 +79,17 @@ def seams(text: str, pattern: regex.Pattern, low: int, high: int) -> list[int]:
     return found
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that a worker holds the texts and ids of a few hundred rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _encode_short(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [ids_bytes(enc.encode_ordinary(t or "")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary())], names=["id", "ids"])
 
@@ -246,7 +253,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(ranks_path)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [
                 b"".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())) if x else b""
                 for x in batch.column("ids").to_pylist()
