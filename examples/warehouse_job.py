@@ -10,12 +10,17 @@ config.json (credentials are passed in, never stored in code)::
       "sources": [
         {"name": "erp_a", "url": "jdbc:sqlserver://host-a:1433;databaseName=erp",
          "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
-         "properties": {"user": "...", "password": "..."},
-         "partition": {"column": "id", "num_partitions": 64}},
+         "properties": {"user": "...", "password": "..."}, "num_partitions": 64,
+         "extracts": {"orders": {"column": "changed_at", "keys": ["id"], "lookback_days": 3,
+                                 "merge": "upsert", "read_by": "id"}}},
         {"name": "lake_b", "type": "parquet", "dir": "/data/lake_b", "tables": ["orders", "customer"]}
       ]
     }
 
+``extracts`` has the settings of those queries that are not read in full by one
+connection: increments (``column``, ``keys``, ...) and parallel strides
+(``read_by``); see :class:`landfall.Extract`.
+
 Layers run in order (staging → transformed → final); each step publishes
 its table only after its write succeeded and logs an audit row either way.
 JDBC sources need their databases; Parquet sources run anywhere.
@@ -23,45 +28,41 @@ JDBC sources need their databases; Parquet sources run anywhere.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 from landfall.plans.layers import run_pipeline  # noqa: E402
 from landfall.plans.steps import steps_from_dir  # noqa: E402
 from landfall.session import shared_dir  # noqa: E402
-from landfall.sources.catalog import catalog_from_dir  # noqa: E402
-from landfall.sources.jdbc import JdbcSource, extract, key_bounds  # noqa: E402
+from landfall.sources.catalog import Extract, catalog_from_dir  # noqa: E402
+from landfall.sources.jdbc import JdbcSource  # noqa: E402
 from landfall.sources.lake import ParquetSource  # noqa: E402
 from landfall.tables.store import TableStore  # noqa: E402
 
 
-class ConfiguredJdbcSource:
-    """A JDBC source with its credentials and an optional partitioned read."""
-
-    def __init__(self, spec: dict):
-        self.name = spec["name"]
-        self.source = JdbcSource(self.name, url=spec.get("url"), server=spec.get("server"),
-                                 database=spec.get("database"), driver=spec.get("driver"))
-        self.properties = spec.get("properties", {})
-        self.partition = spec.get("partition")
-
-    def extract(self, spark: SparkSession, query: str) -> DataFrame:
-        parts = None
-        if self.partition:
-            parts = key_bounds(spark, self.source, query, self.partition["column"],
-                               self.partition["num_partitions"], self.properties)
-        return extract(spark, self.source, query, partitioning=parts, properties=self.properties)
-
-
 def make_source(spec: dict):
     if spec.get("type", "jdbc") == "parquet":
         return ParquetSource.from_dir(spec["name"], spec["dir"], spec["tables"])
-    return ConfiguredJdbcSource(spec)
+    names = ("name", "url", "server", "database", "driver", "options", "properties", "num_partitions")
+    return JdbcSource(**{k: spec[k] for k in names if k in spec})
+
+
+def make_catalog(directory: str, extracts: dict) -> dict[str, Extract]:
+    """The folder's queries with their settings from the configuration."""
+    catalog = {}
+    for table, query in catalog_from_dir(directory).items():
+        spec = dict(extracts.get(table, {}))
+        if "lookback_days" in spec:
+            spec["lookback"] = dt.timedelta(days=spec.pop("lookback_days"))
+        lists = {k: tuple(spec.pop(k)) for k in ("keys", "order") if k in spec}
+        catalog[table] = Extract(query, **spec, **lists)
+    return catalog
 
 
 def main(config_path: str, spark: SparkSession | None = None) -> TableStore:
@@ -79,7 +80,10 @@ def main(config_path: str, spark: SparkSession | None = None) -> TableStore:
         spark,
         store,
         sources=sources,
-        catalogs={s.name: catalog_from_dir(folder("stg", s.name)) for s in sources},
+        catalogs={
+            spec["name"]: make_catalog(folder("stg", spec["name"]), spec.get("extracts", {}))
+            for spec in config["sources"]
+        },
         tf_steps={s.name: steps_from_dir(folder("tf", s.name)) for s in sources if os.path.isdir(folder("tf", s.name))},
         dwh_steps=steps_from_dir(folder("dwh")) if os.path.isdir(folder("dwh")) else (),
     )

@@ -22,9 +22,9 @@ from landfall.operators.typed import ColumnSpec, apply_types, split_typed
 from landfall.operators.upsert import merge_latest
 from landfall.plans.layers import TableRule, run_layer, run_pipeline
 from landfall.plans.steps import Step, run_steps, steps_from_dir
-from landfall.sources.catalog import catalog_from_dir, stage_catalog
+from landfall.sources.catalog import Extract, catalog_from_dir, stage_catalog
 from landfall.sources.incremental import load_increment
-from landfall.sources.jdbc import JdbcPartitioning, JdbcSource
+from landfall.sources.jdbc import JdbcPartitioning, JdbcSource, load_table
 from landfall.sources.lake import ParquetSource
 from landfall.streaming.landing import load_landed_files
 from landfall.tables.audit import AUDIT_SCHEMA, reconcile
@@ -33,6 +33,7 @@ from landfall.tables.store import LoadResult, TableStore
 __all__ = [
     "AUDIT_SCHEMA",
     "ColumnSpec",
+    "Extract",
     "JdbcPartitioning",
     "JdbcSource",
     "LoadResult",
@@ -43,6 +44,7 @@ __all__ = [
     "catalog_from_dir",
     "load_increment",
     "load_landed_files",
+    "load_table",
     "run_layer",
     "run_pipeline",
     "run_steps",

@@ -31,7 +31,7 @@ from landfall.operators.typed import (
     reject_entries,
 )
 from landfall.plans.steps import Step, run_steps
-from landfall.sources.catalog import Source, stage_catalog, staging_table
+from landfall.sources.catalog import Extract, Source, stage_catalog, staging_table
 from landfall.tables.store import LoadResult, TableStore
 
 
@@ -141,7 +141,7 @@ def run_pipeline(
     store: TableStore,
     *,
     sources: Sequence[Source] = (),
-    catalogs: Mapping[str, Mapping[str, str]] | None = None,
+    catalogs: Mapping[str, Mapping[str, str | Extract]] | None = None,
     rules: Mapping[str, Sequence[TableRule]] | None = None,
     tf_steps: Mapping[str, Sequence[Step]] | None = None,
     dwh_steps: Sequence[Step] = (),
@@ -150,7 +150,8 @@ def run_pipeline(
 ) -> dict[str, list[LoadResult]]:
     """Run the layers in order; a layer starts only if the one before succeeded.
 
-    * ``stg``: every source's catalog of extracts, landed as text.
+    * ``stg``: every source's catalog of extracts, landed as text; in full, or by
+      increments where the entry says so (:class:`Extract`).
     * ``tf``: per source, typing rules (:class:`TableRule`) and/or a folder of
       SQL steps (published as ``<source>_tf.<step>``).
     * ``dwh``: SQL steps (published as ``dwh.<step>``) and/or a ``final``

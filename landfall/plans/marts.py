@@ -1,8 +1,7 @@
 """Final tables: a line fact with its dimensions, reports, orphan checks.
 
-Dimension joins go through :func:`broadcast_if_small`, so a dimension is
-broadcast only while its size estimate is within the limit and joined by
-shuffle beyond it. Reports aggregate as early as the keys allow: lines are
+No join carries a hint: Spark broadcasts a dimension while its run-time size is
+within the limit and joins by shuffle beyond it. Reports aggregate as early as the keys allow: lines are
 summed per order before they meet ``orders``, and per (customer, year) before
 they meet ``customer``, because every later shuffle then moves one row per
 group instead of one per line (Catalyst does not push aggregates below joins).
@@ -15,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 def line_revenue() -> F.Column:
     return F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
 

@@ -1,4 +1,4 @@
-from landfall.sources.catalog import catalog_from_dir, stage_catalog, staging_table
+from landfall.sources.catalog import Extract, catalog_from_dir, stage_catalog, staging_table
 from landfall.sources.incremental import load_increment, since_filter
 from landfall.sources.jdbc import (
     JdbcPartitioning,
@@ -8,6 +8,8 @@ from landfall.sources.jdbc import (
     extract_options,
     key_bounds,
     load,
+    load_table,
+    target_rows,
     text_column_types,
     wrap_query,
     write_options,
@@ -15,6 +17,7 @@ from landfall.sources.jdbc import (
 from landfall.sources.lake import ParquetSource, read_table
 
 __all__ = [
+    "Extract",
     "JdbcPartitioning",
     "JdbcSource",
     "ParquetSource",
@@ -25,10 +28,12 @@ __all__ = [
     "key_bounds",
     "load",
     "load_increment",
+    "load_table",
     "read_table",
     "since_filter",
     "stage_catalog",
     "staging_table",
+    "target_rows",
     "text_column_types",
     "wrap_query",
     "write_options",

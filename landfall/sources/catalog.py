@@ -1,6 +1,8 @@
 """Catalog of extracts: one query per target table, per source.
 
-A catalog is an ordered mapping ``table name → query text``. It can be read
+A catalog is an ordered mapping ``table name → query text``, or
+:class:`Extract` where a table is loaded by increments or read in parallel
+strides of a key. It can be read
 from a folder of ``*.sql`` files (stem = table name), always in sorted order
 so that runs are repeatable. Query texts are small files read on the driver;
 the data never is.
@@ -8,14 +10,17 @@ the data never is.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import os
 from collections.abc import Mapping
+from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall.operators.staging import spread, stage
+from landfall.sources.incremental import load_increment
 from landfall.tables.store import LoadResult, TableStore
 
 log = logging.getLogger(__name__)
@@ -27,6 +32,26 @@ class Source(Protocol):
     def extract(self, spark: SparkSession, query: str) -> DataFrame: ...
 
 
+@dataclass(frozen=True)
+class Extract:
+    """One catalog entry. With ``column`` (its high-water column) and ``keys`` it is
+    loaded by increments, see :func:`load_increment`; ``read_by`` is the column in
+    whose strides a JDBC source reads it."""
+
+    query: str
+    column: str | None = None
+    keys: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
+    lookback: dt.timedelta | int | float | None = None
+    merge: str = "insert_new"
+    count_late: bool = False
+    read_by: str | None = None
+
+    def __post_init__(self) -> None:
+        if (self.column is None) != (not self.keys):
+            raise ValueError("an increment needs a high-water column and keys")
+
+
 def catalog_from_dir(directory: str) -> dict[str, str]:
     """Sorted ``{stem: text}`` of the ``*.sql`` files in ``directory`` (may be empty)."""
     out: dict[str, str] = {}
@@ -47,7 +72,7 @@ def stage_catalog(
     spark: SparkSession,
     store: TableStore,
     source: Source,
-    catalog: Mapping[str, str],
+    catalog: Mapping[str, str | Extract],
     *,
     mode: str = "refresh",
     as_text: bool = True,
@@ -65,11 +90,31 @@ def stage_catalog(
     if prepare is not None:
         prepare(spark)
 
-    def load(table: str, query: str) -> LoadResult:
-        def frame():
-            df = spread(source.extract(spark, query, registered=True) if prepare else source.extract(spark, query))
+    def load(table: str, entry: str | Extract) -> LoadResult:
+        entry = Extract(entry) if isinstance(entry, str) else entry
+        options = {"registered": True} if prepare else {}
+        if entry.read_by:
+            options["partition_column"] = entry.read_by
+        name = staging_table(source.name, table)
+
+        def extract() -> DataFrame:
+            return source.extract(spark, entry.query, **options)
+
+        if entry.column:
+            try:
+                rows = extract()
+            except Exception as exc:
+                store.log_failure(name, exc, source=source.name, layer="stg")
+                raise
+            return load_increment(
+                store, rows, name, keys=entry.keys, column=entry.column, order=entry.order, lookback=entry.lookback,
+                merge=entry.merge, source=source.name, as_text=as_text, count_late=entry.count_late,
+            )
+
+        def frame() -> DataFrame:
+            df = spread(extract())
             return stage(df) if as_text else df
 
-        return store.publish(frame, staging_table(source.name, table), mode, source=source.name, layer="stg")
+        return store.publish(frame, name, mode, source=source.name, layer="stg")
 
-    return run_all([lambda t=t, q=q: load(t, q) for t, q in catalog.items()], max_workers)
+    return run_all([lambda t=t, e=e: load(t, e) for t, e in catalog.items()], max_workers)

@@ -12,6 +12,14 @@ query), and merges on the key:
 
 The mark is the max of the column observed during the write (no extra scan),
 stored in the audit row as text, and never moves backwards.
+
+Source rows older than ``mark - lookback`` are not read. With ``count_late``
+those of them whose key the target lacks are counted into the audit row
+(``rows_late``): a read of the key and mark columns of both sides.
+
+With ``as_text`` the rows land as text, as in a staging table. The filter, the
+order and the mark work on the source's types; text has no statistics for them,
+so an ``insert_new`` increment then scans the whole target instead of its window.
 """
 
 from __future__ import annotations
@@ -23,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.operators.dedup import keep_latest
+from landfall.operators.staging import to_text
 from landfall.operators.upsert import insert_new
 from landfall.tables.store import LoadResult, TableStore
 
@@ -73,35 +82,45 @@ def load_increment(
     source: str | None = None,
     layer: str = "stg",
     partition_column: str | None = None,
+    as_text: bool = False,
+    count_late: bool = False,
 ) -> LoadResult:
     """First call loads everything; later calls load rows past ``mark - lookback``.
 
     With ``partition_column`` the table is written partitioned by it, and an
-    ``upsert`` increment rewrites only the partitions its rows touch.
+    ``upsert`` increment rewrites only the partitions its rows touch. An
+    ``upsert`` into text orders the rows of the increment, and these replace
+    the staged ones: staged text has no order of its own.
     """
+    if merge not in ("insert_new", "upsert"):
+        raise ValueError("merge must be 'insert_new' or 'upsert'")
     part_by = [partition_column] if partition_column else []
     col_type = source_df.schema[column].dataType.simpleString()
+    if as_text and col_type == "timestamp":
+        raise ValueError(f"{column}: text loses the zone of a timestamp; make it timestamp_ntz in the extract")
+    land = to_text if as_text else lambda df: df
+    value = F.col(column).cast(col_type)  # of a landed row
+    kw = dict(source=source, layer=layer, cluster_by=[value])
     mark = store.high_water(table)
     if mark is None:
-        observe = {"high_water": mark_text(F.max(F.col(column)), col_type)}
-        return store.publish(
-            keep_latest(source_df, keys, order), table, "refresh", source=source, layer=layer, observe=observe, cluster_by=[column],
-            partition_by=part_by,
-        )
+        observe = {"high_water": mark_text(F.max(value), col_type)}
+        first = land(keep_latest(source_df, keys, order))
+        return store.publish(first, table, "refresh", observe=observe, partition_by=part_by, **kw)
 
     # greatest() skips NULL, so an empty increment keeps the old mark.
-    observe = {"high_water": mark_text(F.greatest(F.max(F.col(column)), mark_value(mark, col_type)), col_type)}
+    kw["observe"] = {"high_water": mark_text(F.greatest(F.max(value), mark_value(mark, col_type)), col_type)}
     batch = source_df.filter(since_filter(source_df, column, mark, lookback))
+
+    def current() -> DataFrame:  # in the types of the source
+        df, types = store.read(table), {f.name: f.dataType for f in source_df.schema.fields}
+        return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+    if count_late:
+        older = lambda df: df.filter(~since_filter(df, column, mark, lookback)).select(*keys)
+        kw["counts"] = {"rows_late": older(source_df).join(older(current()), list(keys), "left_anti").count()}
     if merge == "insert_new":
-        current = store.read(table)
-        window = current.filter(since_filter(current, column, mark, lookback))
-        new_rows = insert_new(window, batch, keys, order)
-        return store.publish(
-            new_rows, table, "append", source=source, layer=layer, observe=observe, cluster_by=[column]
-        )
-    if merge == "upsert":
-        return store.upsert(
-            batch, table, keys, order, partition_column=partition_column,
-            source=source, layer=layer, observe=observe, cluster_by=[column],
-        )
-    raise ValueError("merge must be 'insert_new' or 'upsert'")
+        window = current()
+        window = window.filter(since_filter(window, column, mark, lookback))
+        return store.publish(land(insert_new(window, batch, keys, order)), table, "append", **kw)
+    changes = land(keep_latest(batch, keys, order)) if as_text else batch
+    return store.upsert(changes, table, keys, () if as_text else order, partition_column=partition_column, **kw)

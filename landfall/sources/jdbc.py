@@ -4,7 +4,11 @@ The query text is wrapped as a derived table and read with Spark's JDBC
 source. Unlike a one-partition read, :func:`extract` accepts a partition
 column with bounds, so ``num_partitions`` executors each read one stride of the
 key range; Spark pushes filters and the column projection into the remote
-query. Credentials are never stored here: pass them as ``properties``.
+query. Credentials come as ``properties``, of the source or of a call, and
+never show in a source's ``repr``.
+
+:func:`load` only writes; :func:`load_table` also checks the columns, counts
+the rows as they are written and logs the load.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.tables.store import LoadResult, TableStore
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -25,6 +31,8 @@ class JdbcSource:
     database: str | None = None
     driver: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    properties: Mapping[str, str] = field(default_factory=dict, repr=False)  # user, password
+    num_partitions: int = 8  # of reads that name a partition column
 
     def jdbc_url(self) -> str:
         if self.url:
@@ -38,9 +46,17 @@ class JdbcSource:
         if self.driver:
             opts["driver"] = self.driver
         opts.update(self.options)
+        opts.update(self.properties)
         opts.update(properties or {})
         return opts
 
+    def extract(self, spark: SparkSession, query: str, partition_column: str | None = None) -> DataFrame:
+        """Rows of ``query``; in parallel strides of ``partition_column``, if the query has one."""
+        parts = None
+        if partition_column:
+            parts = key_bounds(spark, self, query, partition_column, self.num_partitions)
+        return extract(spark, self, query, partitioning=parts)
+
 
 @dataclass(frozen=True)
 class JdbcPartitioning:
@@ -152,11 +168,12 @@ def write_options(
     return opts
 
 
-def text_column_types(df: DataFrame, length: int = 4000) -> str:
-    """``createTableColumnTypes`` for an all-text staging table: every column VARCHAR.
+def text_column_types(df: DataFrame, length: int) -> str:
+    """``createTableColumnTypes`` for an all-text staging table whose texts are known to fit ``length``.
 
-    Spark would create string columns as the database's large-text type
-    (CLOB in some databases, which cannot be compared in a predicate).
+    Without it Spark creates string columns as the database's large-text type,
+    which takes any text but in some databases cannot be compared in a
+    predicate. A longer text makes the database refuse the load.
     """
     return ", ".join(f"{c} VARCHAR({length})" for c in df.columns)
 
@@ -174,6 +191,41 @@ def load(
     df.write.format("jdbc").options(**opts).mode(mode).save()
 
 
+def load_table(
+    store: TableStore,
+    df: DataFrame,
+    target: JdbcSource,
+    table: str,
+    mode: str = "append",
+    *,
+    layer: str | None = None,
+    properties: Mapping[str, str] | None = None,
+    **kw,
+) -> LoadResult:
+    """:func:`load`, logged in ``store`` as ``<target>_jdbc.<table>`` with its row count.
+
+    An append is refused, and logged as failed, if ``df`` has a column that
+    the target lacks. JDBC tasks commit one by one: a task that is lost after
+    its commit writes its rows again, and only a key in the database keeps
+    them out. ``target_rows`` counts what arrived.
+    """
+
+    def write(observed: DataFrame) -> None:
+        if mode == "append":
+            none = f"select * from {table} where 1 = 0"
+            check_append_schema(observed, extract(store.spark, target, none, properties=properties).columns)
+        load(observed, target, table, mode, properties=properties, **kw)
+
+    return store.log_write(df, f"{target.name}_jdbc.{table}", write, f"jdbc_{mode}", source=target.name, layer=layer)
+
+
+def target_rows(
+    spark: SparkSession, target: JdbcSource, table: str, properties: Mapping[str, str] | None = None
+) -> int:
+    """Rows of a target table, counted in its database (one row back)."""
+    return int(extract(spark, target, f"select count(*) as n from {table}", properties=properties).first()[0])
+
+
 def check_append_schema(df: DataFrame, target_columns: list[str]) -> None:
     """JDBC append matches by name; an extra column fails late, so fail early."""
     extra = [c for c in df.columns if c.lower() not in {t.lower() for t in target_columns}]

@@ -1,8 +1,8 @@
 """The load log: one row per load attempt, success or failure, append only.
 
 The first six columns are the load log the reference keeps; the rest are ours
-(source, layer, mode, exact counts, high-water mark, partition layout and the
-written schema of the version). Rows are appended as one small Parquet folder
+(source, layer, mode, exact counts, high-water mark, partition layout, the
+written schema of the version and rows that came too late for an increment). Rows are appended as one small Parquet folder
 each, under a folder per table and month
 (``<audit>/<table>/<YYYYMM>/<load_id>-s<status>``), so concurrent loads never
 share an output folder and a table's readers list only its own recent loads.
@@ -37,6 +37,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("high_water", T.StringType()),
         T.StructField("partitions", T.StringType()),
         T.StructField("schema_json", T.StringType()),
+        T.StructField("rows_late", T.LongType()),
     ]
 )
 
@@ -63,6 +64,7 @@ def audit_row(
     high_water: str | None = None,
     partitions: str | None = None,
     schema_json: str | None = None,
+    rows_late: int | None = None,
 ) -> Row:
     return Row(
         database_name=database_name,
@@ -82,6 +84,7 @@ def audit_row(
         high_water=high_water,
         partitions=partitions,
         schema_json=schema_json,
+        rows_late=rows_late,
     )
 
 

@@ -113,7 +113,7 @@ class TableStore:
         ``observe`` adds aggregate metrics computed during the write (e.g.
         rejected rows, the max of a high-water column); metrics named like
         audit columns (``rows_read``, ``rows_rejected``, ``rows_duplicate``,
-        ``high_water``) are stored there. ``counts`` gives such values known
+        ``rows_late``, ``high_water``) are stored there. ``counts`` gives such values known
         from earlier loads, or as functions of this load's metrics.
         ``cluster_by`` sorts rows within each write task so Parquet row-group
         statistics let later filters on those columns skip data. ``data`` may
@@ -124,6 +124,7 @@ class TableStore:
         start = datetime.now(timezone.utc)
         load_id = new_load_id()
         path = f"{self.table_path(table)}/load_id={load_id}"
+        logged = dict(table_name=table, source=source, load_id=load_id, layer=layer, mode=mode)
         partitions = None
         try:
             vis = self._visible(table) if mode in ("append", "replace_partitions") else []
@@ -147,37 +148,25 @@ class TableStore:
             writer.parquet(path)
             metrics = dict(obs.get)
         except Exception as exc:
-            end = datetime.now(timezone.utc)
-            append_audit(
-                self.spark,
-                self.audit_path,
-                audit_row(
-                    database_name=self.database, table_name=table, start_time=start, end_time=end,
-                    status=STATUS_FAILED, comment=f"{ERROR_PREFIX}{exc}\n{traceback.format_exc()}",
-                    source=source, load_id=load_id, layer=layer, mode=mode,
-                ),
-            )
+            self._log_failed(start, exc, **logged)
             if raise_on_error:
                 raise
             return LoadResult(table, load_id, STATUS_FAILED, None, {}, str(exc))
-        end = datetime.now(timezone.utc)
         merged = {**metrics, **{k: (v(metrics) if callable(v) else v) for k, v in (counts or {}).items()}}
         hw = high_water if high_water is not None else merged.get("high_water")
-        append_audit(
-            self.spark,
-            self.audit_path,
-            audit_row(
-                database_name=self.database, table_name=table, start_time=start, end_time=end,
-                status=STATUS_OK, comment=comment, source=source, load_id=load_id, layer=layer,
-                mode=mode,
-                rows_read=_int(merged.get("rows_read", metrics["rows"])),
-                rows_written=int(metrics["rows"]),
-                rows_rejected=_int(merged.get("rows_rejected")),
-                rows_duplicate=_int(merged.get("rows_duplicate")),
-                high_water=None if hw is None else str(hw),
-                partitions=partitions,
-                schema_json=df.schema.json(),
-            ),
+        self._log(
+            start,
+            status=STATUS_OK,
+            comment=comment,
+            rows_read=_int(merged.get("rows_read", metrics["rows"])),
+            rows_written=int(metrics["rows"]),
+            rows_rejected=_int(merged.get("rows_rejected")),
+            rows_duplicate=_int(merged.get("rows_duplicate")),
+            rows_late=_int(merged.get("rows_late")),
+            high_water=None if hw is None else str(hw),
+            partitions=partitions,
+            schema_json=df.schema.json(),
+            **logged,
         )
         return LoadResult(table, load_id, STATUS_OK, int(metrics["rows"]), merged)
 
@@ -213,6 +202,53 @@ class TableStore:
             return partition_by, json.dumps(info)
         return partition_by, None
 
+    def log_write(
+        self,
+        df: DataFrame,
+        table: str,
+        write: Callable[[DataFrame], None],
+        mode: str,
+        *,
+        source: str | None = None,
+        layer: str | None = None,
+    ) -> LoadResult:
+        """Let ``write`` send ``df`` to a target outside the store; count its rows on the way and log the load.
+
+        ``mode`` is none of the store's own, so readers and views pass the row over.
+        """
+        if mode in MODES:
+            raise ValueError(f"{mode!r} is a mode of the store's own tables")
+        start = datetime.now(timezone.utc)
+        load_id = new_load_id()
+        logged = dict(table_name=table, source=source, load_id=load_id, layer=layer, mode=mode)
+        try:
+            obs = Observation(f"load_{load_id}")
+            write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+            rows = int(obs.get["rows"])
+        except Exception as exc:
+            self._log_failed(start, exc, **logged)
+            raise
+        self._log(
+            start, status=STATUS_OK, comment=OK_COMMENT, rows_read=rows, rows_written=rows,
+            schema_json=df.schema.json(), **logged,
+        )
+        return LoadResult(table, load_id, STATUS_OK, rows, {"rows": rows})
+
+    def log_failure(self, table: str, exc: BaseException, mode: str = "append", *, source: str | None = None, layer: str | None = None) -> None:
+        """Log a load of ``table`` that failed before it had anything to publish."""
+        self._log_failed(
+            datetime.now(timezone.utc), exc, table_name=table, source=source, load_id=new_load_id(), layer=layer, mode=mode
+        )
+
+    def _log_failed(self, start: datetime, exc: BaseException, **values) -> None:
+        trace = "".join(traceback.format_exception(exc))
+        self._log(start, status=STATUS_FAILED, comment=f"{ERROR_PREFIX}{exc}\n{trace}", **values)
+
+    def _log(self, start: datetime, **values) -> None:
+        end = datetime.now(timezone.utc)
+        row = audit_row(database_name=self.database, start_time=start, end_time=end, **values)
+        append_audit(self.spark, self.audit_path, row)
+
     def refresh(self, df: DataFrame, table: str, **kw) -> LoadResult:
         return self.publish(df, table, "refresh", **kw)
 
@@ -232,7 +268,8 @@ class TableStore:
         rows: list = []
         for month in logged_months(self.spark, self.audit_path, table):
             df = read_audit(self.spark, self.audit_path, table, month)
-            rows += df.filter(F.col("status") == STATUS_OK).select(*cols).collect()
+            own = (F.col("status") == STATUS_OK) & F.col("mode").isin(*MODES)
+            rows += df.filter(own).select(*cols).collect()
             if any(r["mode"] in FULL_MODES for r in rows):
                 break
         return rows
@@ -255,7 +292,7 @@ class TableStore:
 
     def tables(self) -> list[str]:
         """Names of the tables with at least one successful load (one row per table)."""
-        ok = self.audit().filter(F.col("status") == STATUS_OK)
+        ok = self.audit().filter((F.col("status") == STATUS_OK) & F.col("mode").isin(*MODES))
         return sorted(r[0] for r in ok.select("table_name").distinct().collect())
 
     def register_views(self, view_name: Callable[[str], str] = lambda t: t.replace(".", "_")) -> list[str]:
@@ -296,17 +333,25 @@ class TableStore:
             # footer has to be read to plan the scan.
             fields = StructType.fromJson(json.loads(schema)).fields
             reader = reader.schema(StructType(fields + [StructField("load_id", StringType())]))
-        if not any(mode == "replace_partitions" for _, mode, *_ in vis):
-            df = reader.parquet(*[f"{base}/load_id={i}" for i, *_ in vis])
-        else:
-            parts = []
-            for idx, (load_id, *_) in enumerate(vis):
-                part = reader.parquet(f"{base}/load_id={load_id}")
-                for _, mode, info, _ in vis[idx + 1 :]:
-                    if mode == "replace_partitions":
-                        part = part.filter(~partition_in(info["column"], info["values"]))
-                parts.append(part)
-            df = reduce(lambda a, b: a.unionByName(b), parts)
+        # Newest first: a partition is read from the newest version that replaced
+        # it, so one scan opens only versions that still hold something.
+        column = next((info["column"] for _, mode, info, _ in vis if mode == "replace_partitions"), None)
+        live, conditions, replaced = [], [], set()
+        for load_id, mode, info, _ in reversed(vis):
+            here = F.col("load_id") == load_id
+            if mode == "replace_partitions":
+                own = [v for v in info["values"] if v not in replaced]
+                replaced.update(own)
+                if not own:
+                    continue
+                here &= partition_in(column, own)
+            elif replaced:
+                here &= ~partition_in(column, list(replaced))
+            live.append(load_id)
+            conditions.append(here)
+        df = reader.parquet(*[f"{base}/load_id={i}" for i in reversed(live)])
+        if column:
+            df = df.filter(reduce(lambda a, b: a | b, conditions))
         return df if with_load_id else df.drop("load_id")
 
     def high_water(self, table: str) -> str | None:

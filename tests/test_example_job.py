@@ -36,6 +36,9 @@ def test_example_job_runs_all_layers(tmp_path, spark):
         "sql_root": str(sql),
         "sources": [{"name": s, "type": "parquet", "dir": SF_SMALL, "tables": ["orders"]} for s in ("a", "b")],
     }
+    config["sources"][1]["extracts"] = {
+        "orders": {"column": "o_orderdate", "keys": ["o_orderkey"], "lookback_days": 3, "merge": "upsert"}
+    }
     cfg = tmp_path / "config.json"
     cfg.write_text(json.dumps(config))
     store = load_example().main(str(cfg), spark)

@@ -1,6 +1,18 @@
 import pytest
 
-from landfall.sources.jdbc import JdbcPartitioning, JdbcSource, check_append_schema, extract_options, wrap_query, write_options
+from landfall.plans.layers import run_pipeline
+from landfall.sources.catalog import Extract
+from landfall.sources.jdbc import (
+    JdbcPartitioning,
+    JdbcSource,
+    check_append_schema,
+    clean_query,
+    extract_options,
+    load_table,
+    target_rows,
+    wrap_query,
+    write_options,
+)
 
 
 def test_url_from_server_and_database():
@@ -45,5 +57,56 @@ def test_text_column_types_for_staging(spark):
 
     df = to_text(spark.range(1).selectExpr("id as a", "cast(id as double) as b"))
     assert text_column_types(df, 100) == "a VARCHAR(100), b VARCHAR(100)"
-    opts = write_options(JdbcSource("t", url="jdbc:x:y"), "stg.t", column_types=text_column_types(df))
-    assert opts["createTableColumnTypes"] == "a VARCHAR(4000), b VARCHAR(4000)"
+    opts = write_options(JdbcSource("t", url="jdbc:x:y"), "stg.t", column_types=text_column_types(df, 100))
+    assert opts["createTableColumnTypes"] == "a VARCHAR(100), b VARCHAR(100)"
+    # Without given types Spark takes the database's own large-text type: nothing caps a text by default.
+    assert "createTableColumnTypes" not in write_options(JdbcSource("t", url="jdbc:x:y"), "stg.t")
+
+
+def test_credentials_reach_the_options_but_not_the_repr():
+    src = JdbcSource("s", url="jdbc:x:y", properties={"user": "u", "password": "secret"})
+    assert src.reader_options()["password"] == "secret"
+    assert "secret" not in repr(src)
+
+
+@pytest.fixture()
+def remote(spark, monkeypatch):
+    """Stands in for the database: queries run on views, loads append to lists."""
+    calls = {"queries": [], "written": []}
+
+    def extract(spark, source, query, *, partitioning=None, **kw):
+        calls["queries"].append((query, partitioning))
+        return spark.sql(clean_query(query))
+
+    def load(df, target, table, mode="append", **kw):
+        calls["written"] += [(table, mode, r.id) for r in df.collect()]
+
+    monkeypatch.setattr("landfall.sources.jdbc.extract", extract)
+    monkeypatch.setattr("landfall.sources.jdbc.load", load)
+    return calls
+
+
+def test_catalog_of_a_jdbc_source(spark, store, remote):
+    spark.range(100).createOrReplaceTempView("remote_t")
+    src = JdbcSource("db", url="jdbc:x:y", num_partitions=4)
+    catalog = {"plain": "select * from remote_t;", "strides": Extract("select * from remote_t", read_by="id")}
+    out = run_pipeline(spark, store, sources=[src], catalogs={"db": catalog})
+    assert [r.rows_written for r in out["stg"]] == [100, 100]
+    assert store.read("db_stg.strides").schema["id"].dataType.simpleString() == "string"
+    used = [p for q, p in remote["queries"] if p]
+    assert used == [JdbcPartitioning("id", 0, 99, 4)]
+
+
+def test_logged_load_counts_and_checks_columns(spark, store, remote):
+    spark.range(3).createOrReplaceTempView("target_t")
+    target = JdbcSource("db", url="jdbc:x:y")
+    done = load_table(store, spark.range(5), target, "target_t", layer="dwh")
+    assert done.rows_written == 5 and remote["written"] == [("target_t", "append", i) for i in range(5)]
+    with pytest.raises(ValueError):
+        load_table(store, spark.range(5).selectExpr("id", "id as extra"), target, "target_t")
+    assert len(remote["written"]) == 5
+    log = store.audit("db_jdbc.target_t").orderBy("load_id").collect()
+    assert [(r["status"], r["mode"], r["rows_written"]) for r in log] == [(1, "jdbc_append", 5), (0, "jdbc_append", None)]
+    assert target_rows(spark, target, "target_t") == 3
+    # A load elsewhere is no table of the store.
+    assert store.tables() == [] and store.register_views() == [] and not store.exists("db_jdbc.target_t")

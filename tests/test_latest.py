@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from landfall.functions.casts import parse_as, parse_timestamp
 from landfall.operators.dedup import keep_latest
 from landfall.operators.staging import spread
+from landfall.plans.layers import run_pipeline
 from landfall.session import shared_dir
+from landfall.sources.catalog import Extract, stage_catalog
 from landfall.sources.incremental import load_increment
 from landfall.sources.jdbc import wrap_query
+from landfall.sources.lake import ParquetSource
 
 
 def rows(df, *cols):
@@ -125,6 +128,72 @@ def test_spread_runs_no_shuffle_to_look(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_reads_open_one_scan_however_many_upserts(spark, store):
+    store.upsert(frame(spark, [(i, 0, "abc"[i % 3]) for i in range(9)]), "t", ["k"], partition_column="v")
+    for n in range(1, 7):
+        store.upsert(frame(spark, [(n, n, "abc"[n % 3])]), "t", ["k"], partition_column="v")
+    got = store.read("t")
+    assert rows(got, "k", "ts") == [(i, i if 0 < i < 7 else 0) for i in range(9)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters" in plan
+    version = F.regexp_extract("_metadata.file_path", "load_id=([^/]*)", 1)
+    opened = {r[0] for r in got.select(version).distinct().collect()}
+    ids = store.visible_load_ids("t")
+    assert opened == set(ids[-3:])  # three partitions, the last three loads replaced them
+    listed = {f.split("load_id=")[1].split("/")[0] for f in got.inputFiles()}
+    assert listed <= {ids[0], *ids[-3:]}  # the full version's files are pruned by the filter
+
+
+def test_append_after_a_partition_upsert(spark, store):
+    store.upsert(frame(spark, [(1, 0, "a"), (2, 0, "b"), (3, 0, None)]), "t", ["k"], partition_column="v")
+    store.upsert(frame(spark, [(3, 1, None)]), "t", ["k"], partition_column="v")
+    store.append(frame(spark, [(4, 0, None), (5, 0, "b")]), "t")
+    store.upsert(frame(spark, [(5, 1, "b")]), "t", ["k"], partition_column="v")
+    assert rows(store.read("t"), "k", "ts") == [(1, 0), (2, 0), (3, 1), (4, 0), (5, 1)]
+    store.compact("t")
+    assert rows(store.read("t"), "k", "ts") == [(1, 0), (2, 0), (3, 1), (4, 0), (5, 1)]
+
+
+@pytest.mark.parametrize("merge", ["insert_new", "upsert"])
+def test_catalog_entry_loaded_by_increments_as_text(spark, store, merge):
+    class Views:
+        name = "s"
+
+        def extract(self, spark, query):
+            return spark.sql(query)
+
+    entry = Extract("select * from growing", column="ts", keys=("k",), order=("-ts",), lookback=2, merge=merge,
+                    count_late=True)
+    run = lambda data: (
+        frame(spark, data).createOrReplaceTempView("growing"),
+        run_pipeline(spark, store, sources=[Views()], catalogs={"s": {"t": entry}}),
+    )
+    run([(1, 8, "a"), (2, 9, "a"), (2, 10, "b")])  # as text, 9 would be later than 10
+    assert rows(store.read("s_stg.t"), "k", "ts", "v") == [("1", "8", "a"), ("2", "10", "b")]
+    run([(1, 8, "z"), (2, 10, "b"), (3, 11, "c"), (4, 3, "late"), (5, None, "n")])
+    first = "z" if merge == "upsert" else "a"
+    got = [tuple(r) for r in store.read("s_stg.t").orderBy("k").collect()]
+    assert got == [("1", "8", first), ("2", "10", "b"), ("3", "11", "c"), ("5", None, "n")]
+    assert [r["rows_late"] for r in store.audit("s_stg.t").orderBy("load_id").collect()] == [None, 1]
+    assert store.high_water("s_stg.t") == "11"
+
+
+def test_failing_extract_of_an_increment_is_logged(spark, store):
+    src = ParquetSource("s", {})
+    entry = Extract("select * from no_such_table", column="ts", keys=("k",))
+    with pytest.raises(Exception):
+        stage_catalog(spark, store, src, {"t": entry})
+    assert [r["status"] for r in store.audit("s_stg.t").collect()] == [0]
+    with pytest.raises(ValueError):
+        Extract("select 1", column="ts")
+
+
+def test_text_increment_refuses_a_zoned_mark(spark, store):
+    df = spark.range(3).select("id", F.timestamp_seconds("id").alias("ts"))
+    with pytest.raises(ValueError):
+        load_increment(store, df, "t", keys=["id"], column="ts", as_text=True)
+
+
 def test_trailing_comment_ends_before_the_bracket():
     assert wrap_query("select * from t -- note") == "(select * from t -- note\n) q"
 
