@@ -49,7 +49,7 @@ from landfall.tables.store import TableStore  # noqa: E402
 def make_source(spec: dict):
     if spec.get("type", "jdbc") == "parquet":
         return ParquetSource.from_dir(spec["name"], spec["dir"], spec["tables"])
-    names = ("name", "url", "server", "database", "driver", "options", "properties", "num_partitions")
+    names = ("name", "url", "server", "database", "driver", "options", "properties", "num_partitions", "balanced")
     return JdbcSource(**{k: spec[k] for k in names if k in spec})
 
 

@@ -7,6 +7,7 @@ from landfall.sources.jdbc import (
     extract,
     extract_options,
     key_bounds,
+    key_strides,
     load,
     load_table,
     target_rows,
@@ -26,6 +27,7 @@ __all__ = [
     "extract",
     "extract_options",
     "key_bounds",
+    "key_strides",
     "load",
     "load_increment",
     "load_table",

@@ -3,7 +3,8 @@
 The query text is wrapped as a derived table and read with Spark's JDBC
 source. Unlike a one-partition read, :func:`extract` accepts a partition
 column with bounds, so ``num_partitions`` executors each read one stride of the
-key range; Spark pushes filters and the column projection into the remote
+key range, or conditions from :func:`key_strides`, strides of equally many rows
+for keys that bunch; Spark pushes filters and the column projection into the remote
 query. Credentials come as ``properties``, of the source or of a call, and
 never show in a source's ``repr``.
 
@@ -13,7 +14,8 @@ the rows as they are written and logs the load.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,7 @@ class JdbcSource:
     options: Mapping[str, str] = field(default_factory=dict)
     properties: Mapping[str, str] = field(default_factory=dict, repr=False)  # user, password
     num_partitions: int = 8  # of reads that name a partition column
+    balanced: bool = False  # strides of equally many rows instead of equal width; costs the source a sort
 
     def jdbc_url(self) -> str:
         if self.url:
@@ -53,6 +56,9 @@ class JdbcSource:
     def extract(self, spark: SparkSession, query: str, partition_column: str | None = None) -> DataFrame:
         """Rows of ``query``; in parallel strides of ``partition_column``, if the query has one."""
         parts = None
+        if partition_column and self.balanced:
+            strides = key_strides(spark, self, query, partition_column, self.num_partitions)
+            return extract(spark, self, query, predicates=strides)
         if partition_column:
             parts = key_bounds(spark, self, query, partition_column, self.num_partitions)
         return extract(spark, self, query, partitioning=parts)
@@ -122,11 +128,17 @@ def extract(
     fetchsize: int = 10_000,
     prepare_query: str | None = None,
     properties: Mapping[str, str] | None = None,
+    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Rows of ``query``: by one connection, in strides of ``partitioning``, or one task per predicate."""
+    if predicates and partitioning:
+        raise ValueError("give partitioning or predicates, not both")
     opts = extract_options(
         source, query, partitioning=partitioning, fetchsize=fetchsize,
         prepare_query=prepare_query, properties=properties,
     )
+    if predicates:
+        return spark.read.jdbc(opts.pop("url"), opts.pop("dbtable"), predicates=list(predicates), properties=opts)
     return spark.read.format("jdbc").options(**opts).load()
 
 
@@ -146,6 +158,40 @@ def key_bounds(
     return JdbcPartitioning(column, row["lo"], row["hi"], num_partitions)
 
 
+def sql_literal(value) -> str:
+    """A key value as text in a condition."""
+    if isinstance(value, (dt.date, dt.datetime, str)):
+        return "'" + str(value).replace("'", "''") + "'"
+    return str(value)
+
+
+def key_strides(
+    spark: SparkSession,
+    source: JdbcSource,
+    query: str,
+    column: str,
+    num_partitions: int,
+    properties: Mapping[str, str] | None = None,
+) -> list[str]:
+    """Conditions that deal the rows of ``query`` into strides of about equally many rows.
+
+    The source ranks the keys and sends one row per stride. Every row, with a
+    NULL key or one that arrives later too, meets exactly one condition. Rows
+    of one key stay together. No rows: no conditions.
+    """
+    lows_sql = (
+        f"select part, min({column}) as lo from (select {column}, ntile({num_partitions}) over (order by {column}) "
+        f"as part from {wrap_query(query, 'b')} where {column} is not null) s group by part"
+    )
+    rows = extract(spark, source, lows_sql, properties=properties).collect()
+    lows = [sql_literal(r["lo"]) for r in sorted(rows, key=lambda r: r["part"])]
+    edges = [lo for i, lo in enumerate(lows) if i and lo != lows[i - 1]]
+    if not edges:
+        return []
+    between = [f"{column} >= {a} and {column} < {b}" for a, b in zip(edges, edges[1:], strict=False)]
+    return [f"{column} < {edges[0]} or {column} is null", *between, f"{column} >= {edges[-1]}"]
+
+
 def write_options(
     target: JdbcSource,
     table: str,

@@ -1,3 +1,6 @@
+import datetime as dt
+import decimal
+
 import pytest
 
 from landfall.plans.layers import run_pipeline
@@ -7,8 +10,10 @@ from landfall.sources.jdbc import (
     JdbcSource,
     check_append_schema,
     clean_query,
+    extract,
     extract_options,
     load_table,
+    sql_literal,
     target_rows,
     wrap_query,
     write_options,
@@ -74,8 +79,8 @@ def remote(spark, monkeypatch):
     """Stands in for the database: queries run on views, loads append to lists."""
     calls = {"queries": [], "written": []}
 
-    def extract(spark, source, query, *, partitioning=None, **kw):
-        calls["queries"].append((query, partitioning))
+    def extract(spark, source, query, *, partitioning=None, predicates=None, **kw):
+        calls["queries"].append((query, partitioning or predicates))
         return spark.sql(clean_query(query))
 
     def load(df, target, table, mode="append", **kw):
@@ -97,6 +102,30 @@ def test_catalog_of_a_jdbc_source(spark, store, remote):
     assert used == [JdbcPartitioning("id", 0, 99, 4)]
 
 
+@pytest.mark.parametrize("key", ["id", "cast(id as string)", "date_add(date'2024-01-01', cast(id as int))", "7", "null"])
+def test_balanced_strides_hold_every_row_once(spark, remote, key):
+    # A third of all rows has one key; further rows have none.
+    q = "select case when id % 3 = 0 then 5 else id * id end as id from range(300)"
+    q = f"select {key} as k from ({q}) union all select null from range(10)"
+    src = JdbcSource("db", url="jdbc:x:y", num_partitions=6, balanced=True)
+    src.extract(spark, q, "k")
+    strides = remote["queries"][-1][1]
+    if key in ("7", "null"):
+        assert not strides  # one key can't be dealt
+        return
+    rows = spark.sql(q)
+    sizes = [rows.filter(s).count() for s in strides]
+    assert 4 <= len(strides) <= 6 and sum(sizes) == rows.count() == 310
+    assert max(sizes) < 310 / 2
+
+
+def test_literals_of_keys():
+    assert [sql_literal(v) for v in (3, "o'k", dt.date(2024, 1, 2), decimal.Decimal("1.50"))] == [
+        "3", "'o''k'", "'2024-01-02'", "1.50"]
+    with pytest.raises(ValueError):
+        extract(None, JdbcSource("s", url="u"), "q", partitioning=JdbcPartitioning("k", 0, 1, 2), predicates=["k = 1"])
+
+
 def test_logged_load_counts_and_checks_columns(spark, store, remote):
     spark.range(3).createOrReplaceTempView("target_t")
     target = JdbcSource("db", url="jdbc:x:y")
