@@ -20,10 +20,10 @@ from landfall.plans.marts import revenue_by_nation_year  # noqa: E402
 NOTES = {
     "extract_query": "Filter and projection reach the Parquet scan (PushedFilters, ReadSchema).",
     "dedup_latest": "Partial WindowGroupLimit before the exchange: a hot key ships one row per map partition.",
-    "dedup_exact": "Groups by a SHA-256 fingerprint with partial aggregation; the text is read but never shuffled.",
+    "dedup_exact": "Survivors found on SHA-256 fingerprints with partial aggregation; wide rows meet their ids in a semi join.",
     "orphan_rows": "Anti join; the parent side is read as one key column.",
-    "upsert_latest (merge)": "Change keys deduplicated, then broadcast only because their estimate is under the limit.",
-    "dwh_fact": "Dimensions broadcast behind the size check; beyond it these become shuffled joins.",
+    "upsert_latest (merge)": "Anti join on the change keys; Spark broadcasts them here, by their size, and shuffles both sides beyond it.",
+    "dwh_fact": "Customers meet orders before the lines do; Spark picks broadcast or shuffled joins by size.",
     "revenue_by_nation_year": "Lines summed per order, then per (customer, year), before each join.",
     "typed accepted side": "Only the _rejected=false partition is listed; the _rejects column is not read.",
     "typed rejects side": "Only the _rejected=true partition, keys and the entry array are read.",
