@@ -1,7 +1,8 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-One weight vector over hashed word and word-shape features is shared by all
-grades; ordered thresholds cut the score s = w.x, so that
+One weight vector over hashed word, word-beginning and word-shape features is
+shared by all grades (beginnings gather a word's inflected forms, each of which
+may be rare); ordered thresholds cut the score s = w.x, so that
 P(grade > j) = sigmoid(s - threshold_j). The expected grade and the
 probability of the top grades select documents.
 
@@ -34,13 +35,17 @@ from pyspark.sql import types as T
 from landfall.llm.common import col
 
 WORD_BITS = 16
+STEM_BITS = 16
 SHAPE_BITS = 10
-WORDS, SHAPES = 1 << WORD_BITS, 1 << SHAPE_BITS
-#: Words, shapes, repeats of the previous word, share of distinct words.
-DIMENSIONS = WORDS + SHAPES + 2
+WORDS, STEMS, SHAPES = 1 << WORD_BITS, 1 << STEM_BITS, 1 << SHAPE_BITS
+#: Letters of a word's beginning.
+STEM = 4
+#: Words, beginnings, shapes, repeats of the previous word, share of distinct words.
+TEXTUAL = WORDS + STEMS
+DIMENSIONS = TEXTUAL + SHAPES + 2
 SAMPLE = 20_000
-#: Value of a word that is there; scale of the shares of shapes, repeats and distinct words.
-PRESENT, STYLE = 0.5, 12.0
+#: Value of a word or beginning that is there; scale of the shares of shapes, repeats and distinct words.
+PRESENT, STYLE = 0.25, 12.0
 WORD_CACHE = 400_000
 _PUNCT = re.compile(r"[\W_]+")
 
@@ -61,13 +66,15 @@ def _shape(word: str) -> str:
 
 
 class _Codes(dict):
-    """word -> word bucket << SHAPE_BITS | shape bucket, remembered up to a bound."""
+    """word -> buckets of word, beginning and shape in one integer, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= WORD_CACHE:
             self.clear()
         bare = word.lower() if word.isalpha() else _PUNCT.sub("", word.lower())
-        code = (zlib.crc32(bare.encode()) % WORDS) << SHAPE_BITS | zlib.crc32(_shape(word).encode()) % SHAPES
+        code = zlib.crc32(bare.encode()) % WORDS
+        code = code << STEM_BITS | zlib.crc32(bare[:STEM].encode()) % STEMS
+        code = code << SHAPE_BITS | zlib.crc32(_shape(word).encode()) % SHAPES
         self[word] = code
         return code
 
@@ -80,18 +87,20 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = (text or "").split()
     n = len(words)
     if not n:
-        return np.array([WORDS + SHAPES + 1]), np.array([0.0])
+        return np.array([DIMENSIONS - 1]), np.array([0.0])
     codes = np.fromiter(map(_CODES.__getitem__, words), np.int64, n)
-    present = np.unique(codes >> SHAPE_BITS)
+    distinct = np.unique(codes)
+    words_there = np.unique(distinct >> (STEM_BITS + SHAPE_BITS))
+    stems_there = WORDS + np.unique(distinct >> SHAPE_BITS & (STEMS - 1))
     shapes = np.bincount(codes & (SHAPES - 1), minlength=SHAPES)
     used = np.nonzero(shapes)[0]
     repeats = np.count_nonzero(codes[1:] == codes[:-1]) / n
-    positions = np.concatenate([present, WORDS + used, [WORDS + SHAPES, WORDS + SHAPES + 1]])
+    positions = np.concatenate([words_there, stems_there, TEXTUAL + used, [DIMENSIONS - 2, DIMENSIONS - 1]])
     values = np.concatenate(
         [
-            np.full(len(present), PRESENT),
+            np.full(len(words_there) + len(stems_there), PRESENT),
             STYLE * np.sqrt(shapes[used] / n),
-            [STYLE * math.sqrt(repeats), STYLE * len(np.unique(codes)) / n],
+            [STYLE * math.sqrt(repeats), STYLE * len(distinct) / n],
         ]
     )
     return positions, values
@@ -120,14 +129,14 @@ def fit_ordinal(
     grades: list[int],
     n_grades: int,
     epochs: int = 12,
-    rate: float = 0.1,
+    rate: float = 0.3,
     decay: float = 1e-5,
     min_documents: int = 60,
     seed: int = 0,
 ) -> OrdinalModel:
     """Maximum likelihood by adaptive stochastic gradients over the sample.
 
-    Word buckets met in fewer than ``min_documents`` rated documents (at most
+    Buckets of words and beginnings met in fewer than ``min_documents`` rated documents (at most
     a fiftieth of the sample) get no weight.
     """
     weights, squares = np.zeros(DIMENSIONS), np.full(DIMENSIONS, 1e-8)
@@ -139,7 +148,7 @@ def fit_ordinal(
     for positions, _ in rows:
         met[positions] += 1
     enough = min(min_documents, max(1, len(rows) // 50))
-    usable = (met >= enough) | (np.arange(DIMENSIONS) >= WORDS)
+    usable = (met >= enough) | (np.arange(DIMENSIONS) >= TEXTUAL)
     rows = [(p[usable[p]], v[usable[p]]) for p, v in rows]
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
