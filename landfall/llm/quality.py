@@ -1,13 +1,14 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-One weight vector over hashed word and word-shape features is shared by all
-grades; ordered thresholds cut the score s = w.x, so that
+One weight vector over hashed word beginnings (which gather a word's inflected
+forms, each of which may be rare) and word shapes is shared by all grades;
+ordered thresholds cut the score s = w.x, so that
 P(grade > j) = sigmoid(s - threshold_j). The expected grade and the
 probability of the top grades select documents.
 
 The model is fitted on a bounded sample of rated documents (``sample``, by
-hash of the id); its parameters have a fixed size. Scoring reads every whole
-text once, without a shuffle.
+hash of the id); its parameters have a fixed size. The sample reaches the driver
+as two bytes a beginning. Scoring reads every whole text once, without a shuffle.
 
 Defined cases: null text counts as empty; an empty text has only the
 constant features and is scored like any other; null ratings are left out;
@@ -33,14 +34,16 @@ from pyspark.sql import types as T
 
 from landfall.llm.common import col
 
-WORD_BITS = 16
+STEM_BITS = 16
 SHAPE_BITS = 10
-WORDS, SHAPES = 1 << WORD_BITS, 1 << SHAPE_BITS
-#: Words, shapes, repeats of the previous word, share of distinct words.
-DIMENSIONS = WORDS + SHAPES + 2
+STEMS, SHAPES = 1 << STEM_BITS, 1 << SHAPE_BITS
+#: Letters of a word's short and long beginning, hashed to the same buckets.
+SHORT, LONG = 3, 4
+#: Beginnings, shapes, repeats of the previous word, share of distinct words.
+DIMENSIONS = STEMS + SHAPES + 2
 SAMPLE = 20_000
-#: Value of a word that is there; scale of the shares of shapes, repeats and distinct words.
-PRESENT, STYLE = 0.5, 12.0
+#: Value of a beginning that is there; scale of the shares of shapes, repeats and distinct words.
+PRESENT, STYLE = 0.25, 12.0
 WORD_CACHE = 400_000
 _PUNCT = re.compile(r"[\W_]+")
 
@@ -61,13 +64,15 @@ def _shape(word: str) -> str:
 
 
 class _Codes(dict):
-    """word -> word bucket << SHAPE_BITS | shape bucket, remembered up to a bound."""
+    """word -> buckets of both beginnings and of the shape in one integer, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= WORD_CACHE:
             self.clear()
         bare = word.lower() if word.isalpha() else _PUNCT.sub("", word.lower())
-        code = (zlib.crc32(bare.encode()) % WORDS) << SHAPE_BITS | zlib.crc32(_shape(word).encode()) % SHAPES
+        code = zlib.crc32(bare[:SHORT].encode()) % STEMS
+        code = code << STEM_BITS | zlib.crc32(bare[:LONG].encode()) % STEMS
+        code = code << SHAPE_BITS | zlib.crc32(_shape(word).encode()) % SHAPES
         self[word] = code
         return code
 
@@ -80,18 +85,20 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = (text or "").split()
     n = len(words)
     if not n:
-        return np.array([WORDS + SHAPES + 1]), np.array([0.0])
+        return np.array([DIMENSIONS - 1]), np.array([0.0])
     codes = np.fromiter(map(_CODES.__getitem__, words), np.int64, n)
-    present = np.unique(codes >> SHAPE_BITS)
+    distinct = np.unique(codes)
+    long_ones = distinct >> SHAPE_BITS
+    present = np.unique(np.concatenate([long_ones >> STEM_BITS, long_ones & (STEMS - 1)]))
     shapes = np.bincount(codes & (SHAPES - 1), minlength=SHAPES)
     used = np.nonzero(shapes)[0]
     repeats = np.count_nonzero(codes[1:] == codes[:-1]) / n
-    positions = np.concatenate([present, WORDS + used, [WORDS + SHAPES, WORDS + SHAPES + 1]])
+    positions = np.concatenate([present, STEMS + used, [DIMENSIONS - 2, DIMENSIONS - 1]])
     values = np.concatenate(
         [
             np.full(len(present), PRESENT),
             STYLE * np.sqrt(shapes[used] / n),
-            [STYLE * math.sqrt(repeats), STYLE * len(np.unique(codes)) / n],
+            [STYLE * math.sqrt(repeats), STYLE * len(set(words)) / n],
         ]
     )
     return positions, values
@@ -120,15 +127,15 @@ def fit_ordinal(
     grades: list[int],
     n_grades: int,
     epochs: int = 12,
-    rate: float = 0.1,
+    rate: float = 0.3,
     decay: float = 1e-5,
     min_documents: int = 60,
     seed: int = 0,
 ) -> OrdinalModel:
     """Maximum likelihood by adaptive stochastic gradients over the sample.
 
-    Word buckets met in fewer than ``min_documents`` rated documents (at most
-    a fiftieth of the sample) get no weight.
+    Buckets of beginnings met in fewer than ``min_documents`` rated documents
+    (at most a fiftieth of the sample) get no weight.
     """
     weights, squares = np.zeros(DIMENSIONS), np.full(DIMENSIONS, 1e-8)
     cuts = np.linspace(-1, 1, n_grades - 1) if n_grades > 2 else np.zeros(n_grades - 1)
@@ -139,7 +146,7 @@ def fit_ordinal(
     for positions, _ in rows:
         met[positions] += 1
     enough = min(min_documents, max(1, len(rows) // 50))
-    usable = (met >= enough) | (np.arange(DIMENSIONS) >= WORDS)
+    usable = (met >= enough) | (np.arange(DIMENSIONS) >= STEMS)
     rows = [(p[usable[p]], v[usable[p]]) for p, v in rows]
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
@@ -161,17 +168,30 @@ def fit_ordinal(
     return OrdinalModel(weights, cuts)
 
 
+def _pack(text: str | None) -> tuple[bytes, bytes, bytes]:
+    """The features of a text as bytes: beginnings, then positions and values of the others."""
+    positions, values = features(text)
+    n = np.searchsorted(positions, STEMS)
+    style = (positions[n:] - STEMS).astype("<u2"), values[n:].astype("<f4")
+    return positions[:n].astype("<u2").tobytes(), style[0].tobytes(), style[1].tobytes()
+
+
+def _unpack(stems: bytes, style: bytes, style_values: bytes) -> tuple[np.ndarray, np.ndarray]:
+    stems, style = (np.frombuffer(b, "<u2").astype(np.int32) for b in (stems, style))
+    values = np.concatenate([np.full(len(stems), PRESENT, np.float32), np.frombuffer(style_values, "<f4")])
+    return np.concatenate([stems, STEMS + style]), values
+
+
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [features(t) for t in batch.column("text").to_pylist()]
+        packed = [_pack(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("key"),
                 batch.column("grade"),
-                pa.array([p.astype("<i4").tobytes() for p, _ in found], pa.binary()),
-                pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary()),
+                *(pa.array([p[i] for p in packed], pa.binary()) for i in range(3)),
             ],
-            names=["key", "grade", "positions", "feature_values"],
+            names=["key", "grade", "stems", "style", "style_values"],
         )
 
 
@@ -197,13 +217,13 @@ def train(
     rows = (
         docs.join(F.broadcast(rated), "id")
         .select(F.xxhash64("id", "grade", "text").alias("key"), "grade", "text")
-        .mapInArrow(_featurise, "key bigint, grade int, positions binary, feature_values binary")
+        .mapInArrow(_featurise, "key bigint, grade int, stems binary, style binary, style_values binary")
         .orderBy("key")
         .limit(2 * sample)
         .collect()
     )
     return fit_ordinal(
-        [(np.frombuffer(r["positions"], "<i4"), np.frombuffer(r["feature_values"], "<f4").astype(float)) for r in rows],
+        [_unpack(r["stems"], r["style"], r["style_values"]) for r in rows],
         [r["grade"] for r in rows],
         n_grades,
     )

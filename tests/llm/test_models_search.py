@@ -50,6 +50,24 @@ def test_selection_keeps_columns_and_odd_rows(spark):
     assert quality.score_documents(empty, "doc_id", "text", model).count() == 0
 
 
+def test_packed_features_are_the_features():
+    for text in (None, "", "a", "Word word WORD ... 42 §§", "straße naïve " * 30_000):
+        positions, values = quality.features(text)
+        got_positions, got_values = quality._unpack(*quality._pack(text))
+        assert got_positions.tolist() == positions.tolist()
+        assert got_values.tolist() == pytest.approx(values.tolist(), rel=1e-6)
+
+
+def test_rare_forms_of_a_word_share_a_weight():
+    rng = np.random.default_rng(0)
+    noise = lambda: "".join(rng.choice(list("aeioustrn"), 8))
+    text = lambda bad: " ".join([noise() for _ in range(20)] + ([f"zlub{noise()}"] if bad else []))
+    grades = [i % 2 for i in range(600)]
+    model = quality.fit_ordinal([quality.features(text(not g)) for g in grades], grades, 2)
+    held_out = [[model.tails(model.score(text(bad)))[0] >= 0.5 for _ in range(200)] for bad in (True, False)]
+    assert np.mean(held_out[0]) < 0.05 and np.mean(held_out[1]) > 0.95
+
+
 def test_ratings_with_nulls_and_repeats(spark):
     docs = spark.createDataFrame([(i, "good word" if i % 2 else "bad thing") for i in range(60)], "doc_id bigint, text string")
     ratings = spark.createDataFrame(
