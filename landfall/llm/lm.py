@@ -7,26 +7,32 @@ give the token's conditional probability. A document's score is the sum of
 these log-probabilities over all its tokens.
 
 Words are counted over the whole corpus; the most frequent have tokens of
-their own, the others share hashed tokens. Training masks one position in
+their own, the others share hashed tokens. The network predicts tokens; a word
+with a shared token adds the log of its share of that token's occurrences, so
+the score is of the word itself. The shares of the commonest words go along
+with the vocabulary, those of all others come from the table of counts by a
+join on the word. Training masks one position in
 eight of every document: each task runs stochastic gradients over its
 documents, and the parameters of all tasks are averaged, weighted by their
 positions. So every document adds to the model, and what is gathered grows
 with the tasks, that is with the input.
 
 Defined cases: null or blank text has no tokens, score 0 and no mean; a single
-token is predicted from padding; repeated rows get equal scores; an empty
+token is predicted from padding; a word that was never counted has the share
+it would get by one occurrence; repeated rows get equal scores; an empty
 table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +43,9 @@ PER_CLASS = 32
 TOKENS = CLASSES * PER_CLASS
 #: Token 0 is padding; own tokens for the commonest words; the rest are hashed.
 OWN = 767
+SHARED = TOKENS - 1 - OWN
+#: So many of the hashed words take their shares along; all others are joined.
+KNOWN = 100_000
 HIDDEN = 16
 NEIGHBOURS = (-2, -1, 1, 2)
 STRIDE = 8
@@ -46,27 +55,47 @@ ROUNDS = 2
 Parameters = dict[str, np.ndarray]
 
 
-class Vocabulary(dict):
-    """word -> token; words without a token of their own are hashed, remembered up to a bound."""
+def _shared(word: str) -> int:
+    return 1 + OWN + zlib.crc32(word.encode()) % SHARED
+
 
-    def __init__(self, words: list[str]) -> None:
-        super().__init__((w, i + 1) for i, w in enumerate(words))
-        self.words, self.bound = words, len(words) + 400_000
+class Vocabulary(dict):
+    """word -> place in ``token_of`` and ``share_of``.
+
+    Words without a token of their own are hashed; those not in ``known`` are
+    remembered up to a bound, and their share is not known here (nan).
+    ``words_counted`` (word, n) and ``counts`` by token stay on the driver.
+    """
+
+    def __init__(self, words: list[str], known: list[str] = (), shares: np.ndarray = ()) -> None:
+        super().__init__()
+        self.words, self.known, self.shares, self.bound = words, known, shares, len(words) + 400_000
+        self.words_counted: DataFrame | None = None
+        self.counts: np.ndarray | None = None
+        self.token_of = np.concatenate([np.arange(TOKENS), [_shared(w) for w in known]]).astype(np.int32)
+        self.share_of = np.concatenate([np.zeros(1 + OWN), np.full(SHARED, np.nan), shares])
+        self._fill()
+
+    def _fill(self) -> None:
+        self.update((w, TOKENS + i) for i, w in enumerate(self.known))
+        self.update((w, i + 1) for i, w in enumerate(self.words))
 
     def __reduce__(self):
-        return Vocabulary, (self.words,)
+        return Vocabulary, (self.words, self.known, self.shares)
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.bound:
             self.clear()
-            self.update((w, i + 1) for i, w in enumerate(self.words))
-        token = self[word] = 1 + OWN + zlib.crc32(word.encode()) % (TOKENS - 1 - OWN)
+            self._fill()
+        token = self[word] = _shared(word)
         return token
 
-    def tokens(self, text: str | None) -> np.ndarray:
-        words = (text or "").lower().split()
+    def places(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
+    def tokens(self, text: str | None) -> np.ndarray:
+        return self.token_of[self.places((text or "").lower().split())]
+
 
 def contexts(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(targets, neighbours by position) of documents; padding beyond their ends."""
@@ -167,17 +196,39 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(counts)
 
 
+def _shared_token(word: Column) -> Column:
+    """``_shared`` as a column expression."""
+    return F.crc32(word.cast("binary")) % SHARED + (1 + OWN)
+
+
 def build_vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """The commonest words of all documents, and the count of every token."""
     counted = docs.mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    words = written(docs.sparkSession, counted, "words")  # read twice, counted once
-    top = words.orderBy(F.desc("n"), "word").limit(OWN).collect()
+    words = written(docs.sparkSession, counted, "words")  # read three times, counted once
+    top = words.orderBy(F.desc("n"), "word").limit(OWN + KNOWN).collect()
+    own, known = top[:OWN], top[OWN:]
     counts = np.zeros(TOKENS)
-    for i, row in enumerate(top):
+    for row in words.groupBy(_shared_token(F.col("word")).alias("token")).agg(F.sum("n").alias("n")).collect():
+        counts[row["token"]] = row["n"]  # at most SHARED rows
+    for i, row in enumerate(own):
+        counts[_shared(row["word"])] -= row["n"]
         counts[i + 1] = row["n"]
-    total = words.agg(F.sum("n")).first()[0] or 0
-    counts[1 + OWN :] = (total - counts.sum()) / (TOKENS - 1 - OWN)
-    return Vocabulary([r["word"] for r in top]), counts
+    names = [r["word"] for r in known]
+    shares = np.array([np.log(r["n"] / counts[_shared(r["word"])]) for r in known])
+    vocabulary = Vocabulary([r["word"] for r in own], names, shares)
+    vocabulary.words_counted, vocabulary.counts = words, counts
+    return vocabulary, counts
+
+
+def _joined_shares(rare: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(key, share): the summed log shares of the ``words`` of each key."""
+    totals = F.array(*[F.lit(float(n)) for n in vocabulary.counts])
+    total = F.element_at(totals, (_shared_token(F.col("word")) + 1).cast("int"))
+    share = F.log(F.coalesce("n", F.lit(1))) - F.log(total + F.when(F.col("n").isNull(), 1).otherwise(0))
+    said = rare.select("key", F.explode("words").alias("word"))
+    return (
+        said.join(vocabulary.words_counted, "word", "left").groupBy("key").agg(F.sum(share).alias("share"))
+    )
 
 
 def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rate: float):
@@ -246,6 +297,7 @@ def score_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums, sizes, waiting, held = [], [], [], 0
+            shares, keys, rare = [], [], []
 
             def score(waiting: list[np.ndarray]) -> list[float]:
                 # Long documents pass in slices; each position sees its true neighbours.
@@ -259,31 +311,49 @@ def score_documents(
                 return (total[ends[1:]] - total[ends[:-1]]).tolist()
 
             for text in batch.column("text").to_pylist():
-                tokens = vocabulary.tokens(text)
-                sizes.append(len(tokens))
-                waiting.append(tokens)
-                held += len(tokens)
+                words = (text or "").lower().split()
+                places = vocabulary.places(words)
+                share = vocabulary.share_of[places]
+                unknown = np.nonzero(np.isnan(share))[0].tolist()
+                shares.append(float(np.nansum(share)))
+                rare.append([words[i] for i in unknown])
+                keys.append(hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if unknown else None)
+                sizes.append(len(words))
+                waiting.append(vocabulary.token_of[places])
+                held += len(words)
                 if held >= 16 * BATCH:
                     sums += score(waiting)
                     waiting, held = [], 0
             sums += score(waiting)
-            means = [s / n if n else None for s, n in zip(sums, sizes, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(sizes, pa.int64()),
-                    pa.array(sums, pa.float64()),
-                    pa.array(means, pa.float64()),
+                    pa.array([s + x for s, x in zip(sums, shares, strict=True)], pa.float64()),
+                    pa.array(keys, pa.string()),
+                    pa.array(rare, pa.list_(pa.string())),
                 ],
-                names=["id", "n_tokens", "sum_log_prob", "mean_log_prob"],
+                names=["id", "n_tokens", "partial", "key", "words"],
             )
 
     schema = T.StructType(
         [
             docs.schema["id"],
             T.StructField("n_tokens", T.LongType()),
-            T.StructField("sum_log_prob", T.DoubleType()),
-            T.StructField("mean_log_prob", T.DoubleType()),
+            T.StructField("partial", T.DoubleType()),
+            T.StructField("key", T.StringType()),
+            T.StructField("words", T.ArrayType(T.StringType())),
         ]
     )
-    return docs.mapInArrow(run, schema).withColumnRenamed("id", "doc_id")
+    scored = written(df.sparkSession, docs.mapInArrow(run, schema), "scores")  # read twice, scored once
+    # Rows of equal text share a key; those without rare words get keys that match nothing and spread.
+    rare = scored.filter("key is not null").select("key", "words").dropDuplicates(["key"])
+    seek = F.coalesce("key", F.concat(F.lit("\0"), F.xxhash64("id", "partial").cast("string")))
+    found = scored.drop("words").withColumn("key", seek).join(_joined_shares(rare, vocabulary), "key", "left")
+    total = F.col("partial") + F.coalesce("share", F.lit(0.0))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        total.alias("sum_log_prob"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"),
+    )

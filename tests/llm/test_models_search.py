@@ -1,6 +1,7 @@
 """Classifier and language model on held-out rows; search recall against brute force."""
 
 import math
+import zlib
 
 import duckdb
 import numpy as np
@@ -141,6 +142,36 @@ def test_scores_of_odd_rows(spark):
     assert lm.score_documents(df.limit(0), "doc_id", "text", vocabulary, params).count() == 0
 
 
+def test_hashed_words_are_scored_by_their_own_counts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN", 20)  # so that most shares come by the join
+    own = " ".join(f"own{i} " * 9 for i in range(lm.OWN))
+    hashed = {f"h{i}": 1 + i % 5 for i in range(600)}
+    text = own + " ".join(f"{w} " * n for w, n in hashed.items())
+    rows = [(1, text), (2, "own1 h4 h5 h4 H4"), (2, "own1 h4 h5 h4 H4"), (None, "h4 never seen"), (4, "own1 own2")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    vocabulary, counts = lm.build_vocabulary(df.filter("doc_id = 1").select("text"))
+    bucket = lambda w: 1 + lm.OWN + zlib.crc32(w.encode()) % 256
+    want = np.zeros(lm.TOKENS)
+    want[1 : 1 + lm.OWN] = 9
+    for w, n in hashed.items():
+        want[bucket(w)] += n
+    assert counts.tolist() == want.tolist()
+    params = lm.initial(counts)
+    got = lm.score_documents(df, "doc_id", "text", vocabulary, params).collect()
+    assert len(got) == len(rows)
+    for (doc_id, said), r in zip(sorted(rows, key=str), sorted(got, key=lambda r: str((r.doc_id,))), strict=True):
+        target, near = lm.contexts([vocabulary.tokens(said)])
+        total = float(lm.log_probabilities(params, target, near).astype(float).sum())
+        for w in said.lower().split():
+            if w in hashed:
+                total += math.log(hashed[w] / want[bucket(w)])
+            elif not w.startswith("own"):
+                total += math.log(1 / (want[bucket(w)] + 1))
+        assert r.doc_id == doc_id and r.n_tokens == len(said.split())
+        assert r.sum_log_prob == pytest.approx(total, rel=1e-5)
+        assert r.mean_log_prob == pytest.approx(total / r.n_tokens, rel=1e-5)
+
+
 # -- nearest neighbours --------------------------------------------------------------
 
 
