@@ -11,8 +11,9 @@ their own, the others share hashed tokens. The network predicts tokens; a word
 with a shared token adds the log of its share of that token's occurrences, so
 the score is of the word itself. The shares of the commonest words go along
 with the vocabulary, those of all others come from the table of counts by a
-join on the word. Training masks one position in
-eight of every document: each task runs stochastic gradients over its
+join on the word. Training masks every
+position of every document in one of its rounds (of two rounds, each every
+second position): each task runs stochastic gradients over its
 documents, and the parameters of all tasks are averaged, weighted by their
 positions. So every document adds to the model, and what is gathered grows
 with the tasks, that is with the input.
@@ -48,7 +49,6 @@ SHARED = TOKENS - 1 - OWN
 KNOWN = 100_000
 HIDDEN = 16
 NEIGHBOURS = (-2, -1, 1, 2)
-STRIDE = 8
 BATCH = 2048
 ROUNDS = 2
 
@@ -122,57 +122,87 @@ def initial(counts: np.ndarray, seed: int = 0) -> Parameters:
     }
 
 
+def _row_max(z: np.ndarray) -> np.ndarray:
+    return z.T.copy().max(0)[:, None]  # along long rows, which is faster
+
+
 def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+    z = z - _row_max(z)
+    return z - np.log(np.exp(z) @ np.ones((z.shape[1], 1), z.dtype))
 
 
 def _hidden(params: Parameters, near: np.ndarray) -> np.ndarray:
-    h = params["embed"][0][near[0]]
+    h = params["embed"][0].take(near[0], 0)
     for d in range(1, len(NEIGHBOURS)):
-        h += params["embed"][d][near[d]]
-    return np.tanh(h)
+        h += params["embed"][d].take(near[d], 0)
+    return np.tanh(h, out=h)
+
+
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that puts the positions of a class together, and (class, from, to) of those that occur."""
+    cls = (target // PER_CLASS).astype(np.int16)
+    order = np.argsort(cls, kind="stable")
+    edges = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(c, edges[c], edges[c + 1]) for c in range(CLASSES) if edges[c] < edges[c + 1]]
+
+
+def _inner(params: Parameters, h: np.ndarray, cls: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits inside the class of each position; positions lie by class."""
+    z = params["word_b"].take(cls, 0)
+    for c, start, end in spans:
+        z[start:end] += h[start:end] @ params["word_w"][c]
+    return z
 
 
 def log_probabilities(params: Parameters, target: np.ndarray, near: np.ndarray) -> np.ndarray:
     """log P(target | both sides) for each position."""
+    order, spans = _by_class(target)
+    target, near = target[order], near[:, order]
     h = _hidden(params, near)
     cls, word = target // PER_CLASS, target % PER_CLASS
     rows = np.arange(len(target))
-    out = _log_softmax(h @ params["class_w"] + params["class_b"])[rows, cls]
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            inner = _log_softmax(h[at] @ params["word_w"][c] + params["word_b"][c])
-            out[at] += inner[np.arange(len(at)), word[at]]
+    logs = _log_softmax(h @ params["class_w"] + params["class_b"])[rows, cls]
+    logs += _log_softmax(_inner(params, h, cls, spans))[rows, word]
+    out = np.empty_like(logs)
+    out[order] = logs
     return out
 
 
+def _error(z: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Softmax less the true choice, in place of ``z``."""
+    z -= _row_max(z)
+    np.exp(z, out=z)
+    z /= z @ np.ones((z.shape[1], 1), z.dtype)
+    z[rows, at] -= 1
+    return z
+
+
 def step(params: Parameters, squares: Parameters, target: np.ndarray, near: np.ndarray, rate: float) -> None:
     """One adaptive gradient step on a batch of positions, in place."""
+    order, spans = _by_class(target)
+    target, near = target[order], near[:, order]
     h = _hidden(params, near)
     cls, word = target // PER_CLASS, target % PER_CLASS
     n, rows = len(target), np.arange(len(target))
-    err = np.exp(_log_softmax(h @ params["class_w"] + params["class_b"]))
-    err[rows, cls] -= 1
+    err = _error(h @ params["class_w"] + params["class_b"], rows, cls)
     grads = {"class_w": h.T @ err, "class_b": err.sum(0)}
     back = err @ params["class_w"].T
     grads["word_w"], grads["word_b"] = np.zeros_like(params["word_w"]), np.zeros_like(params["word_b"])
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            inner = np.exp(_log_softmax(h[at] @ params["word_w"][c] + params["word_b"][c]))
-            inner[np.arange(len(at)), word[at]] -= 1
-            grads["word_w"][c], grads["word_b"][c] = h[at].T @ inner, inner.sum(0)
-            back[at] += inner @ params["word_w"][c].T
+    inner = _error(_inner(params, h, cls, spans), rows, word)
+    for c, start, end in spans:
+        grads["word_w"][c] = h[start:end].T @ inner[start:end]
+        back[start:end] += inner[start:end] @ params["word_w"][c].T
+    classes, starts = [c for c, _, _ in spans], [start for _, start, _ in spans]
+    grads["word_b"][classes] = np.add.reduceat(inner, starts, axis=0)
     back *= 1 - h * h
-    grads["embed"] = np.zeros_like(params["embed"])
-    for d in range(len(NEIGHBOURS)):
-        np.add.at(grads["embed"][d], near[d], back)
+    for d in range(len(NEIGHBOURS)):  # rows that no neighbour uses have no gradient
+        order = np.argsort(near[d].astype(np.int16), kind="stable")
+        tokens = near[d][order]
+        first = np.flatnonzero(np.diff(tokens, prepend=-1))
+        used, g = tokens[first], np.add.reduceat(back.take(order, 0), first, axis=0) / n
+        total = squares["embed"][d].take(used, 0) + g * g
+        squares["embed"][d][used] = total
+        params["embed"][d][used] -= rate * g / np.sqrt(total)
     for name, g in grads.items():
         g /= n
         squares[name] += g * g
@@ -231,7 +261,12 @@ def _joined_shares(rare: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
-def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rate: float):
+def turn_targets(tokens: np.ndarray, turn: int, rounds: int) -> slice:
+    """The positions of a document that round ``turn`` masks: over the rounds each of them once."""
+    return slice((zlib.crc32(tokens[:16].tobytes()) + turn) % rounds, None, rounds)
+
+
+def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rounds: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {k: v.copy() for k, v in params.items()}
         squares = {k: np.full_like(v, 1e-6) for k, v in params.items()}
@@ -248,8 +283,8 @@ def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rate: float):
                 if not len(tokens):
                     continue
                 target, near = contexts([tokens])
-                first = (zlib.crc32(tokens[:16].tobytes()) + turn * STRIDE // 2) % min(STRIDE, len(target))
-                waiting.append((target[first::STRIDE], near[:, first::STRIDE]))
+                mine = turn_targets(tokens, turn, rounds)
+                waiting.append((target[mine], near[:, mine]))
                 held += len(waiting[-1][0])
                 if held >= 16 * BATCH:
                     learn()
@@ -276,7 +311,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.1) -> tuple[Voc
     params = initial(counts)
     for turn in range(rounds):
         averaged = (
-            docs.mapInArrow(_train(params, vocabulary, turn, rate), "name string, weight double, parts array<float>")
+            docs.mapInArrow(_train(params, vocabulary, turn, rounds, rate), "name string, weight double, parts array<float>")
             .select("name", "weight", F.posexplode("parts").alias("at", "x"))
             .groupBy("name", "at")
             .agg((F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).cast("float").alias("x"))

@@ -142,6 +142,26 @@ def test_scores_of_odd_rows(spark):
     assert lm.score_documents(df.limit(0), "doc_id", "text", vocabulary, params).count() == 0
 
 
+def test_every_position_is_a_target_once(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 900, n) for n in (1, 2, 7, 8, 9, 40, 500)]
+    df = spark.createDataFrame([(" ".join(f"w{x}" for x in d),) for d in docs], "text string").coalesce(1)
+    vocabulary, counts = lm.build_vocabulary(df)
+    got = np.zeros(lm.TOKENS)
+
+    def seen(params, squares, target, near, rate):
+        np.add.at(got, target, 1)
+
+    monkeypatch.setattr(lm, "step", seen)
+    batches = df.toArrow().to_batches()
+    weights = []
+    for turn in range(lm.ROUNDS):
+        for out in lm._train(lm.initial(counts), vocabulary, turn, lm.ROUNDS, 0.1)(iter(batches)):
+            weights.append(out.column("weight")[0].as_py())
+    assert sum(weights) == sum(map(len, docs))
+    assert got.tolist() == counts.tolist()
+
+
 def test_hashed_words_are_scored_by_their_own_counts(spark, monkeypatch):
     monkeypatch.setattr(lm, "KNOWN", 20)  # so that most shares come by the join
     own = " ".join(f"own{i} " * 9 for i in range(lm.OWN))
