@@ -2,7 +2,11 @@
 
 Only DataFrame functions run here. A file's licence statements are its
 sentences (cut at line ends and sentence marks, over the whole text) with a
-licence cue. Distinct statements are scored once: their sparse TF-IDF vectors
+licence cue. Its blocks are its paragraphs (cut at lines without a letter or
+digit, so comment marks do not matter) with a cue, whole, as headers wrap over
+lines; a licence file is a block as a whole too, whatever its words. Blocks
+are compared with full licence texts and standard headers besides the short
+notices. Distinct statements and blocks are scored once: their sparse TF-IDF vectors
 meet the templates' by a join on terms, and the best cosine at or above the
 threshold names the licence. A file without a licence of its own takes that of
 the nearest ancestor directory that has a licence file; distinct directories
@@ -21,6 +25,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +34,8 @@ from pyspark.sql import functions as F
 from landfall.llm.common import col
 
 CUE = r"(?i)licen[sc]e|copyright|spdx|public domain|creativecommons"
+BLOCK_CUE = CUE + r"|permission|redistribut|endorse|warrant"
+PARAGRAPH_END = r"\n[^\p{L}\p{N}\n]*(?=\n)"
 SENTENCE_END = r"[.;!?]\s+|\n"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 THRESHOLD = 0.6
@@ -55,6 +63,13 @@ TEMPLATES = (
 )
 
 
+@cache
+def text_templates() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the full texts and standard headers in ``license_texts``."""
+    files = sorted((Path(__file__).parent / "license_texts").iterdir())
+    return tuple((re.sub(r"\.(txt|header|third)$", "", f.name), f.read_text(encoding="utf-8")) for f in files)
+
+
 def template_weights(templates=TEMPLATES) -> tuple[list[tuple[str, int, str, float]], dict[str, float], float]:
     """(licence, template, term, normalised weight) rows, idf by term, and the idf of any other term."""
     bags = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
@@ -75,9 +90,14 @@ def _template_frames(spark: SparkSession, templates) -> tuple[DataFrame, DataFra
 
 def score_statements(statements: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(statement, license, score) for those of the distinct ``statements`` that reach a template."""
-    weights, idf, other = _template_frames(statements.sparkSession, templates)
+    return _score(statements.select("statement", F.col("statement").alias("text")), templates, threshold)
+
+
+def _score(texts: DataFrame, templates, threshold: float) -> DataFrame:
+    """(statement, license, score) for the distinct keys ``statement`` whose ``text`` reaches a template."""
+    weights, idf, other = _template_frames(texts.sparkSession, templates)
     terms = (
-        statements.select("statement", F.explode(F.expr(f"regexp_extract_all(lower(statement), '{TERM}', 0)")).alias("term"))
+        texts.select("statement", F.explode(F.expr(f"regexp_extract_all(lower(text), '{TERM}', 0)")).alias("term"))
         .groupBy("statement", "term")
         .agg(F.count("*").alias("tf"))
         .join(F.broadcast(idf), "term", "left")  # as many rows as the fixed templates have terms
@@ -112,19 +132,40 @@ def scan_licenses(
     statements = F.filter(
         F.split(F.coalesce(col(text_col), F.lit("")), SENTENCE_END), lambda s: s.rlike(CUE)
     )
+    speaks = F.coalesce(is_license_file, F.lit(False))
+    no_blocks = F.array().cast("array<string>")
+    paragraphs = F.filter(F.split(col(text_col), PARAGRAPH_END), lambda s: s.rlike(BLOCK_CUE))
+    blocks = F.array_distinct(
+        F.concat(
+            F.when(col(text_col).rlike(BLOCK_CUE), paragraphs).otherwise(no_blocks),
+            F.when(speaks & col(text_col).rlike("(?i)[a-z0-9]"), F.array(col(text_col))).otherwise(no_blocks),
+        )
+    )
+    # A block stands among the statements by its hash, which holds no cue, so no statement equals it.
+    mark = lambda b: F.concat(F.lit("\0"), F.sha2(b, 256))
+    texts = (
+        df.select(F.explode(blocks).alias("text"))
+        .select(mark(F.col("text")).alias("statement"), "text")
+        .dropDuplicates(["statement"])
+    )
     files = df.select(
         col(id_col).alias("id"),
         col(path_col).alias("path"),
         F.regexp_extract(col(path_col), "^(.*)/[^/]*$", 1).alias("directory"),
-        F.coalesce(is_license_file, F.lit(False)).alias("speaks"),
-        F.when(col(text_col).rlike(CUE), statements).alias("statements"),
+        speaks.alias("speaks"),
+        F.concat(
+            F.when(col(text_col).rlike(CUE), statements).otherwise(no_blocks), F.transform(blocks, mark)
+        ).alias("statements"),
     )
     # Files with equal statements share a key; those without any get keys that match nothing and spread.
     key = F.when(F.size("statements") > 0, F.array_join("statements", "\n"))
     files = files.withColumn("key", F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64("id", "path").cast("string"))))
     keys = files.filter(F.size("statements") > 0).select("key").distinct()
     said = keys.select("key", F.explode(F.split("key", "\n")).alias("statement"))
-    scored = score_statements(said.select("statement").distinct(), templates, threshold)
+    sentences = said.filter(~F.col("statement").rlike("^\\x00[0-9a-f]{64}$")).select("statement").distinct()
+    scored = score_statements(sentences, templates, threshold).union(
+        _score(texts, (*templates, *text_templates()), threshold)
+    )
     own = (
         said.join(scored, "statement")
         .groupBy("key")

@@ -113,6 +113,22 @@ def test_own_and_inherited_licences(spark):
     assert licenses.scan_licenses(df.limit(0), "doc_id", "path", "text", F.lit(True)).count() == 0
 
 
+def test_headers_and_licence_files_are_compared_whole(spark):
+    texts = dict(licenses.text_templates())
+    assert {n for n, _ in licenses.TEMPLATES} - set(texts) == {"CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0"}
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */\n\nint x;\n"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n#\n# More words.\nx = 1\n"
+    whole = {f.stem: f.read_text() for f in (licenses.Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    body = whole["MIT"].split("\n\n", 1)[1]
+    excerpt = whole["BSD-3-Clause"].split("THIS SOFTWARE")[0].replace("\n\n", "\n\nCopyright (c) 2020, A. Holder\n", 1)
+    rows = [("MPL-2.0", "/s/a.c", mpl), ("GPL-3.0", "/s/b.py", gpl), ("MIT", "/m/LICENSE", body), ("MIT", "/m/x", "plain")]
+    rows += [("BSD-3-Clause", "/b/LICENSE", excerpt), (None, "/p/LICENSE", "the license of the story and all of the words in it " * 9)]
+    rows += [(name, f"/w/{name}/LICENSE", text) for name, text in whole.items()]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, want string, path string, text string")
+    got = licenses.scan_licenses(df, "doc_id", "path", "text", F.col("path").rlike("LICENSE$")).collect()
+    assert {r.doc_id: r.license for r in got} == {i: r[0] for i, r in enumerate(rows)}
+
+
 def test_scores_equal_a_plain_cosine(spark):
     texts = ["Licensed under the Apache License, Version 2.0", "MIT license", "license", "under the terms of the Mozilla Public License, v. 2.0", "copyright 2020 the authors"]
     df = spark.createDataFrame([(t,) for t in texts], "statement string")
