@@ -94,10 +94,59 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id
 from (select doc_id, min(other) as component_id from reach group by 1) left join sizes using (doc_id)
 """
 
+def _leaf(text: str) -> str:
+    values = ("doc_id::varchar", "source", "lang", "n_chars::varchar", text)
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# DuckDB has no crc32: its polynomial division, bit by bit.
+CRC32 = """xor(list_reduce(list_transform(range(length(doc_id::varchar)), lambda i: ascii(substr(doc_id::varchar, (i + 1)::int, 1))::ubigint),
+  lambda c, b: list_reduce(range(8)::ubigint[], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::ubigint), 4294967295::ubigint)"""
+
+OP11 = f"""
+with recursive leaves as (
+  select doc_id, {_leaf("text")} as leaf, coalesce('1' || source, '0') as g,
+    case when doc_id is not null and {CRC32} % 2 = 0 then {_leaf("replace(text, chr(10), '')")} end as presented
+  from documents),
+placed as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by g) as n from leaves),
+nodes(level, g, pos, h, n) as (
+  select 0, g, pos, leaf, n from placed
+  union all select level + 1, g, pos // 3, sha256(string_agg(h, '' order by pos)), (n + 2) // 3 from nodes where n > 1 group by level, g, pos // 3, n),
+subroots as (select g, level as height, h as subroot, row_number() over (order by g) - 1 as pos, count(*) over () as n from nodes where n = 1),
+tops(level, pos, h, n) as (
+  select 0, pos, subroot, n from subroots
+  union all select level + 1, pos // 3, sha256(string_agg(h, '' order by pos)), (n + 2) // 3 from tops where n > 1 group by level, pos // 3, n),
+spots(doc_id, pos, g, level, spot) as (
+  select doc_id, pos, g, 0, pos from placed
+  union all select s.doc_id, s.pos, s.g, level + 1, spot // 3 from spots s join subroots r using (g) where level + 1 < height),
+below as (select s.doc_id, s.pos, s.g, s.level,
+    coalesce(string_agg(o.h, '' order by o.pos) filter (o.pos < s.spot), '') as l,
+    coalesce(string_agg(o.h, '' order by o.pos) filter (o.pos > s.spot), '') as r
+  from spots s join subroots t on t.g = s.g and s.level < t.height join nodes o on o.g = s.g and o.level = s.level and o.pos // 3 = s.spot // 3 group by all),
+climbs(g, level, spot) as (
+  select g, 0, pos from subroots
+  union all select g, level + 1, spot // 3 from climbs where level + 1 < (select max(level) from tops)),
+above as (select s.g, s.level, coalesce(string_agg(o.h, '' order by o.pos) filter (o.pos < s.spot), '') as l,
+    coalesce(string_agg(o.h, '' order by o.pos) filter (o.pos > s.spot), '') as r
+  from climbs s join tops o on o.level = s.level and o.pos // 3 = s.spot // 3
+  where s.level < (select max(level) from tops) group by all),
+steps as (
+  select doc_id, pos, g, level, l, r from below
+  union all select p.doc_id, p.pos, p.g, height + a.level, l, r from placed p join subroots using (g) join above a using (g)),
+paths as (select doc_id, pos, g, list({{'l': l, 'r': r}} order by level) as path from steps group by all)
+select p.doc_id, leaf, subroot, (select h from tops where n = 1) as root,
+  sha256(coalesce(list_reduce(list_transform(path, lambda s: s.l || s.r), lambda a, b: a || b, ''), '')) as proof_sha256,
+  folded as folded_root, folded = (select h from tops where n = 1) as verified
+from (select *, list_reduce([coalesce(presented, leaf)] || coalesce(list_transform(path, lambda s: s.l || '|' || s.r), []),
+    lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) as folded
+  from placed left join paths using (doc_id, pos, g)) p join subroots using (g)
+"""
+
 ORACLE_SQL = {
     "op1_license_scan": _op1(),
     "op2_chat_format": OP2,
     "op4_warc": OP4,
     "op8_exact_dedup": OP8,
     "op9_jaccard_join": OP9,
+    "op11_merkle_manifest": OP11,
 }

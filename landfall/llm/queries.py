@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import ann, bpe, chat, exact_dedup, jaccard, licenses, lm, packing, quality, warc
+from landfall.llm import ann, bpe, chat, exact_dedup, jaccard, licenses, lm, merkle, packing, quality, warc
 
 #: Grades: 0 poor, 1 good but toxic, 2 good. A document needs at least even odds of the top grade.
 N_GRADES = 3
@@ -115,6 +115,19 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, k=20)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    digest = lambda text: merkle.record_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    now = F.when(tampered, digest(F.replace(F.col("text"), F.lit("\n"), F.lit(""))))
+    proofs = merkle.prove(docs, "doc_id", "source", digest(F.col("text")), now, fanout=3)
+    folded = merkle.fold(F.coalesce("presented", "leaf"), F.col("path"))
+    return proofs.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -134,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_jaccard_join,
         op10_nearest,
+        op11_merkle_manifest,
         pipeline,
     )
 }
