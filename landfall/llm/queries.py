@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import ann, bpe, chat, exact_dedup, jaccard, licenses, lm, merkle, packing, quality, warc
+from landfall.llm import ann, bpe, chat, exact_dedup, forest, jaccard, licenses, lm, merkle, packing, quality, warc
 
 #: Grades: 0 poor, 1 good but toxic, 2 good. A document needs at least even odds of the top grade.
 N_GRADES = 3
@@ -128,6 +128,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.95)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -148,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_jaccard_join,
         op10_nearest,
         op11_merkle_manifest,
+        op12_embedding_near_dedup,
         pipeline,
     )
 }
