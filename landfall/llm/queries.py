@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import ann, bpe, chat, exact_dedup, forest, jaccard, licenses, lm, merkle, packing, quality, warc
+from landfall.llm import align, ann, bpe, chat, exact_dedup, forest, jaccard, licenses, lm, merkle, packing, quality, warc
 
 #: Grades: 0 poor, 1 good but toxic, 2 good. A document needs at least even odds of the top grade.
 N_GRADES = 3
@@ -132,6 +132,12 @@ def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.95)
 
 
+def op13_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    documents, _ = align.align_documents(table(spark, sf_dir, "documents"), "doc_id", "text", a, b)
+    return documents
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -153,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_nearest,
         op11_merkle_manifest,
         op12_embedding_near_dedup,
+        op13_cross_alignment,
         pipeline,
     )
 }
