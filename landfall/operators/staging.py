@@ -39,14 +39,34 @@ def spread(df: DataFrame) -> DataFrame:
     arrives as a single partition, and every later narrow step (text
     staging, typing, the writes) would run in that one task. Such a frame is
     repartitioned round-robin to the default parallelism. A frame that has as
-    many partitions, or whose plan ends in shuffles, is returned unchanged;
-    nothing is executed to find out.
+    many partitions, or whose rows pass a shuffle anyway, is returned
+    unchanged; nothing is executed to find out.
     """
     try:
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
+        partitions = _scan_partitions(df._jdf.queryExecution().executedPlan())
         parallelism = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < parallelism
-    except Exception:  # Spark Connect: no plan or RDD view; leave partitioning to the server
+    except Exception:  # Spark Connect: no plan; leave partitioning to the server
         return df
-    return df.repartition(parallelism) if narrow else df
+    return df if partitions is None or partitions >= parallelism else df.repartition(parallelism)
+
+
+def _scan_partitions(plan) -> int | None:
+    """Partitions of the scans that the rows come from; None if they pass a shuffle.
+
+    The other side of a broadcast join adds columns, not partitions, and its
+    exchange moves no row of the result.
+    """
+    node = plan.getClass().getSimpleName()
+    if node == "AdaptiveSparkPlanExec":
+        return _scan_partitions(plan.executedPlan())
+    if node == "BroadcastExchangeExec":
+        return 0
+    if node == "ShuffleExchangeExec":
+        return None
+    children = plan.children()
+    if children.isEmpty():
+        return plan.execute().getNumPartitions()
+    below = [_scan_partitions(children.apply(i)) for i in range(children.size())]
+    if None in below:
+        return None
+    return min(sum(below), plan.numPartitions()) if node == "CoalesceExec" else sum(below)

@@ -4,8 +4,9 @@
 in the change set are replaced by the change set's latest row for that key.
 With an order, a target row that is later than the change stays. The anti join
 moves only the key columns of the change set; Spark broadcasts them if their
-run-time size allows it, otherwise both sides are shuffled on the key. Keys are unique in a keyed table, so the
-join has no hot key on the target side.
+run-time size allows it, otherwise both sides are shuffled on the key. Keys are
+unique in a keyed table, so the join has no hot key on the target side; rows
+without a key are matched by a hash of all their columns.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.operators.dedup import keep_latest
+from landfall.operators.fingerprint import row_hash
 
 
 def merge_latest(
@@ -24,16 +26,33 @@ def merge_latest(
     changes: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = (),
+    fresh: bool = False,
 ) -> DataFrame:
-    """The latest row per key of both under ``order``; ties, and all of them without an order, go to the change."""
+    """The latest row per key of both under ``order``; ties, and all of them without an order, go to the change.
+
+    A NULL key is unknown, so such rows replace nothing: one is added if the
+    target lacks an equal row, so that a change set read again adds nothing.
+
+    ``fresh`` promises that the rows of ``changes`` were never merged before.
+    Then every row with a NULL key is added, and ties are decided by the total
+    order of :func:`keep_latest`: merging in parts gives the same table as
+    :func:`keep_latest` of all rows at once.
+    """
     keys = list(keys)
-    latest = keep_latest(changes.select(*target.columns), keys, order)
+    changes = changes.select(*target.columns)
+    known = changes.filter(~_unknown(keys))
+    unkeyed = changes.filter(_unknown(keys))
+    if not fresh:
+        unkeyed = _absent(target.filter(_unknown(keys)), unkeyed)
+    latest = keep_latest(known, keys, order)
     change_keys = latest.select(*keys)
-    kept = target.join(change_keys, keys, "left_anti")
-    if not order:
+    kept = target.join(change_keys, keys, "left_anti").unionByName(unkeyed)
+    if not order and not fresh:
         return kept.unionByName(latest)
-    contested = target.join(change_keys, keys, "left_semi").withColumn("_change", F.lit(0))
-    rivals = contested.unionByName(latest.withColumn("_change", F.lit(1)))
+    contested = target.join(change_keys, keys, "left_semi")
+    if fresh:
+        return kept.unionByName(keep_latest(contested.unionByName(latest), keys, order))
+    rivals = contested.withColumn("_change", F.lit(0)).unionByName(latest.withColumn("_change", F.lit(1)))
     return kept.unionByName(keep_latest(rivals, keys, [*order, "-_change"]).drop("_change"))
 
 
@@ -47,13 +66,29 @@ def insert_new(
 
     For immutable rows (events): only the overlap window of the target has to
     be read, and the result is *appended*, so the target is never rewritten.
+    Rows with a NULL key are known again only if all their columns are equal.
     """
     keys = list(keys)
-    batch = keep_latest(batch, keys, order).alias("b")
-    window = target_window.select(*batch.columns).alias("t")
-    same = lambda cols: reduce(
-        lambda x, y: x & y, [F.col(f"b.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in cols]
-    )
-    unknown = reduce(lambda x, y: x | y, [F.col(f"b.`{k}`").isNull() for k in keys])
-    # Rows with a NULL key are known again only if all their columns are equal.
-    return batch.join(window, same(keys) & (~unknown | same(batch.columns)), "left_anti")
+    window = target_window.select(*batch.columns)
+    known = keep_latest(batch.filter(~_unknown(keys)), keys, order)
+    new = known.join(window.filter(~_unknown(keys)).select(*keys), keys, "left_anti")
+    return new.unionByName(_absent(window.filter(_unknown(keys)), batch.filter(_unknown(keys))))
+
+
+def _unknown(keys: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+
+
+def _absent(there: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows that have no equal row in ``there``, as often as they come.
+
+    They are matched by a hash of all columns (a row that only its hash shares
+    is told apart by the columns), so rows without a key spread over all tasks.
+    """
+    columns = rows.columns
+    digest = row_hash(*columns)
+    left = rows.withColumn("_hash", digest).alias("b")
+    right = there.select(*columns).distinct().withColumn("_hash", digest).alias("t")
+    equal = [F.col(f"b.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in columns]
+    match = reduce(lambda x, y: x & y, equal, F.col("b._hash") == F.col("t._hash"))
+    return left.join(right, match, "left_anti").drop("_hash")

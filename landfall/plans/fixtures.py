@@ -101,6 +101,11 @@ def dirty_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*cols)
 
 
+def load_of_line() -> F.Column:
+    """The load (0 to 2) that a dirty line comes with: by its supplier, so that lines of one key come with several."""
+    return F.col("l_suppkey").cast("bigint") % 3
+
+
 def boolean_text(customer: DataFrame) -> DataFrame:
     word = F.element_at(F.array(*[F.lit(w) for w in BOOLEAN_WORDS]), (F.col("c_custkey") % 8 + 1).cast("int"))
     return customer.select("c_custkey", word.alias("raw_value"))
@@ -126,6 +131,36 @@ def first_event_load(events: DataFrame) -> DataFrame:
     return events.filter((F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")) & ~late)
 
 
+# Fixed value: the orders of a first load; the others, late ones among them, come with a second.
+FIRST_ORDERS = "o_orderkey % 4 <> 1"
+
+
+def order_snapshots(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders before and after: some come (``% 997 = 1``), some go (``% 991 = 2``), some change (``% 983 = 3``)."""
+    key = F.col("o_orderkey")
+    before = orders.filter(key % 997 != 1)
+    status = F.when(key % 983 == 3, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    customer = F.when((key % 983 == 3) & (key % 2 == 1), F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    after = orders.filter(key % 991 != 2).withColumn("o_orderstatus", status).withColumn("o_custkey", customer)
+    return before, after
+
+
+def order_cells_changed(orders: DataFrame) -> DataFrame:
+    """One cell changed in some rows: customer (``% 500 = 7``), status made NULL (``% 700 = 9``); one row replaced (``% 900 = 4``)."""
+    key = F.col("o_orderkey")
+    return orders.select(
+        F.when(key % 900 == 4, -key).otherwise(key).alias("o_orderkey"),
+        F.when(key % 500 == 7, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.when(key % 700 != 9, F.col("o_orderstatus")).alias("o_orderstatus"),
+        "o_totalprice", "o_orderdate", "o_orderpriority",
+    )
+
+
+def orders_without_keys(orders: DataFrame) -> DataFrame:
+    """Every twentieth order without its key."""
+    return orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 20 != 0, F.col("o_orderkey")))
+
+
 def order_changes(orders: DataFrame) -> DataFrame:
     """Every tenth order changed: status ``X``, price + 1."""
     return orders.filter(F.col("o_orderkey") % 10 == 0).select(

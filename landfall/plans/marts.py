@@ -28,6 +28,7 @@ def fact_lines(
     """One row per line with order date/status, customer segment and nation,
     part brand/type, supplier nation, and measures."""
     # Customers meet the orders first: the lines are shuffled by order, part and supplier only.
+    # Orders come last: the lines then stay spread over the cores that the smaller joins left them on.
     o = orders.select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus"
     ).join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey"), "o_custkey")
@@ -38,9 +39,9 @@ def fact_lines(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount", "l_shipdate",
         )
-        .join(o, "l_orderkey")
         .join(p, "l_partkey")
         .join(s, "l_suppkey")
+        .join(o, "l_orderkey")
     )
     return f.select(
         "l_orderkey", "l_linenumber",

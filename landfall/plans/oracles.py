@@ -270,6 +270,77 @@ def _steps_cte(steps) -> str:
     return f"with {ctes}\n{clean_query(last.sql)}"
 
 
+INCREMENTAL_TRANSFORM = f"""
+with {_dirty_cte()},
+{_typed_ctes()},
+acc as (select {', '.join(LINEITEM_COLUMNS)} from typed where not rejected)
+{_latest_lines('acc', money=False)}
+"""
+
+SNAPSHOT_DIFF = """
+with before as (select * from orders where o_orderkey % 997 <> 1),
+after as (select * replace (case when o_orderkey % 983 = 3 then 'X' else o_orderstatus end as o_orderstatus,
+                            case when o_orderkey % 983 = 3 and o_orderkey % 2 = 1 then o_custkey + 1 else o_custkey end as o_custkey)
+          from orders where o_orderkey % 991 <> 2)
+select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey,
+       case when b.o_orderkey is null then 'inserted' when a.o_orderkey is null then 'deleted' else 'changed' end as kind,
+       case when a.o_orderkey is null or b.o_orderkey is null then '' else concat_ws(',',
+         case when a.o_custkey <> b.o_custkey then 'o_custkey' end,
+         case when a.o_orderstatus <> b.o_orderstatus then 'o_orderstatus' end) end as changed,
+       b.o_orderstatus as old_status, a.o_orderstatus as new_status
+from before b full join after a on a.o_orderkey = b.o_orderkey
+where a.o_orderkey is null or b.o_orderkey is null or a.o_custkey <> b.o_custkey or a.o_orderstatus <> b.o_orderstatus
+"""
+
+CONTENT_CHECK = """
+with o as (select *, o_orderkey % 900 = 4 as replaced from orders)
+select o_orderkey, 'changed' as kind, 'o_custkey' as column_name,
+       cast(o_custkey as varchar) as left_value, cast(o_custkey + 1 as varchar) as right_value
+from o where o_orderkey % 500 = 7 and not replaced
+union all
+select o_orderkey, 'changed', 'o_orderstatus', o_orderstatus, null from o where o_orderkey % 700 = 9 and not replaced
+union all
+select o_orderkey, 'deleted', null, null, null from o where replaced
+union all
+select -o_orderkey, 'inserted', null, null, null from o where replaced
+"""
+
+SURROGATE_KEYS = f"""
+with o as (select case o_orderkey % 3 when 0 then 'a' when 1 then 'b' else 'c' end as source, * from orders),
+first as (select source, o_custkey, row_number() over (order by source, o_custkey) as customer_sk
+          from (select distinct source, o_custkey from o where {fx.FIRST_ORDERS})),
+later as (select source, o_custkey, row_number() over (order by source, o_custkey) + (select count(*) from first) as customer_sk
+          from (select distinct source, o_custkey from o anti join first using (source, o_custkey)))
+select source, o_custkey, customer_sk, count(*) as order_count
+from o join (select * from first union all select * from later) using (source, o_custkey) group by all
+"""
+
+_HISTORY = """
+changes as (select o_custkey, o_orderdate, max_by(o_orderpriority, (o_orderpriority, o_orderstatus)) as o_orderpriority,
+                   max_by(o_orderstatus, (o_orderpriority, o_orderstatus)) as o_orderstatus
+            from orders group by o_custkey, o_orderdate),
+told as (select *, lag(o_orderpriority) over w is not distinct from o_orderpriority
+                   and lag(o_orderstatus) over w is not distinct from o_orderstatus as same
+         from changes window w as (partition by o_custkey order by o_orderdate)),
+history as (select o_custkey, o_orderpriority, o_orderstatus, o_orderdate as valid_from,
+                   lead(o_orderdate) over (partition by o_custkey order by o_orderdate) as valid_to
+            from told where not same)
+"""
+
+DIMENSION_HISTORY = f"with {_HISTORY} select * from history"
+
+FACT_AS_OF = f"""
+with {_HISTORY},
+lines as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, o_custkey
+          from lineitem left join (select o_orderkey, o_custkey from orders where o_orderkey % 40 <> 0) on o_orderkey = l_orderkey)
+select lines.*, o_orderpriority, o_orderstatus, valid_from
+from lines left join history on history.o_custkey = lines.o_custkey
+  and l_shipdate >= valid_from and (valid_to is null or l_shipdate < valid_to)
+"""
+
+UPSERT_UNKEYED = "select * replace (case when o_orderkey % 20 <> 0 then o_orderkey end as o_orderkey) from orders"
+
+
 ORACLE_SQL: dict[str, str] = {
     "pipeline_report": PIPELINE_REPORT,
     "extract_query": clean_query(EXTRACT_SQL),
@@ -297,4 +368,11 @@ ORACLE_SQL: dict[str, str] = {
     "fact_unmatched": FACT_UNMATCHED,
     "orphan_rows": ORPHAN_ROWS,
     "upsert_latest": UPSERT_LATEST,
+    "upsert_unkeyed": UPSERT_UNKEYED,
+    "incremental_transform": INCREMENTAL_TRANSFORM,
+    "snapshot_diff": SNAPSHOT_DIFF,
+    "content_check": CONTENT_CHECK,
+    "surrogate_keys": SURROGATE_KEYS,
+    "dimension_history": DIMENSION_HISTORY,
+    "fact_as_of": FACT_AS_OF,
 }

@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from landfall.functions.casts import parse_as, parse_boolean, parse_int, parse_timestamp
 from landfall.operators.dedup import duplicate_groups, keep_latest
+from landfall.operators.diff import content_differences
+from landfall.operators.history import as_of, close_and_open, validity
 from landfall.operators.staging import spread, to_text
 from landfall.plans import fixtures as fx
 from landfall.plans.layers import (
     accepted,
     rejects,
     run_pipeline,
+    transform_increment,
     transform_source,
     transformed_table,
     type_table,
@@ -40,6 +43,8 @@ from landfall.sources.incremental import load_increment
 from landfall.sources.lake import ParquetSource, read_table
 from landfall.streaming.landing import load_landed_files
 from landfall.tables.audit import reconcile as reconcile_audit
+from landfall.tables.keymap import extend_key_map, with_surrogate
+from landfall.tables.snapshots import changes_table, load_snapshot
 from landfall.tables.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +156,22 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("events_stg.events")
 
 
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of orders without a change column: what came, changed and went, from the buckets that differ."""
+    store = _store(spark, "snapshot_diff")
+    first, second = fx.order_snapshots(_t(spark, sf_dir, "orders"))
+    for snapshot in (first, second, second):
+        load_snapshot(store, snapshot, "erp_stg.orders", ["o_orderkey"], buckets=64, source="erp")
+    changes = store.read(changes_table("erp_stg.orders"))
+    return changes.select(
+        F.coalesce("new.o_orderkey", "old.o_orderkey").alias("o_orderkey"),
+        "kind",
+        F.array_join("changed", ",").alias("changed"),
+        F.col("old.o_orderstatus").alias("old_status"),
+        F.col("new.o_orderstatus").alias("new_status"),
+    )
+
+
 # -- sinks and audit --------------------------------------------------------
 
 def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +261,16 @@ def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects(_typed_dirty(spark, sf_dir, "reject_rows"), "dirty", fx.LINEITEM_RULE)
 
 
+def incremental_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty lines staged in three loads (keys recur across them); each is typed and merged alone."""
+    store = _store(spark, "incremental_transform")
+    dirty = _dirty(spark, sf_dir).withColumn("_load", fx.load_of_line())
+    for load in range(3):
+        store.append(dirty.filter(F.col("_load") == load).drop("_load"), staging_table("dirty", "lineitem"), source="dirty", layer="stg")
+        transform_increment(store, "dirty", fx.LINEITEM_RULE)
+    return store.read(transformed_table("dirty", "lineitem"))
+
+
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_t(spark, sf_dir, "documents"), "text", "doc_id")
 
@@ -371,6 +402,53 @@ def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans(_t(spark, sf_dir, "lineitem"), kept_orders, "l_orderkey", "o_orderkey")
 
 
+def content_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a copy of equal counts with single cells changed: the cells."""
+    orders = _t(spark, sf_dir, "orders")
+    return content_differences(orders, fx.order_cells_changed(orders), ["o_orderkey"], buckets=256).drop("copies")
+
+
+def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of three sources numbered in two loads (a third brings nothing new); orders counted by number."""
+    store = _store(spark, "surrogate_keys")
+    sources = F.element_at(F.array(*[F.lit(n) for n in fx.SOURCE_NAMES]), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    orders = _t(spark, sf_dir, "orders").select(sources.alias("source"), "o_custkey", "o_orderkey")
+    for rows in (orders.filter(fx.FIRST_ORDERS), orders, orders):
+        extend_key_map(store, rows, "dwh.customer_keys", ["source", "o_custkey"], name="customer_sk")
+    numbered = with_surrogate(orders, store.read("dwh.customer_keys"), ["source", "o_custkey"], "customer_sk")
+    return numbered.groupBy("source", "o_custkey", "customer_sk").agg(F.count("*").alias("order_count"))
+
+
+def _order_changes_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_orderkey")
+
+
+def dimension_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priority and status of customers over time, from their orders, which come in two loads (the second brings late ones)."""
+    changes = _order_changes_of_customers(spark, sf_dir)
+    first = changes.filter(fx.FIRST_ORDERS)
+    second = changes.filter(~F.expr(fx.FIRST_ORDERS))
+    of = (["o_custkey"], "o_orderdate", ["o_orderpriority", "o_orderstatus"])
+    store, log, target = _store(spark, "dimension_history"), "dwh.customer_changes", "dwh.customer_history"
+    store.append(first, log, layer="dwh")
+    store.refresh(validity(store.read(log), *of), target, layer="dwh")
+    store.append(second, log, layer="dwh")
+    known = store.read(target)
+    store.publish(lambda: close_and_open(known, store.read(log), second, *of), target, "upsert", layer="dwh")
+    return store.read(target)
+
+
+def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their customer's priority and status at the time of shipping."""
+    changes = _order_changes_of_customers(spark, sf_dir)
+    attributes = ["o_orderpriority", "o_orderstatus"]
+    history = validity(changes, ["o_custkey"], "o_orderdate", attributes)
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    # Every fortieth order has not come yet, so its lines have no customer.
+    owners = changes.filter("o_orderkey % 40 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return as_of(lines.join(owners, "l_orderkey", "left"), history, ["o_custkey"], "l_shipdate", attributes)
+
+
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders kept by order year; the change set rewrites only the years it touches."""
     store = _store(spark, "upsert_latest")
@@ -382,6 +460,16 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("dwh.orders").drop("o_year")
 
 
+def upsert_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, some without a key, loaded three times by increments that read their last days again."""
+    store = _store(spark, "upsert_unkeyed")
+    orders = fx.orders_without_keys(_t(spark, sf_dir, "orders"))
+    for _ in range(3):
+        load_increment(store, orders, "erp_stg.orders", keys=["o_orderkey"], column="o_orderdate",
+                       lookback=dt.timedelta(days=400), merge="upsert", source="erp")
+    return store.read("erp_stg.orders")
+
+
 QUERIES: dict[str, Query] = {
     "pipeline_report": pipeline_report,
     "extract_query": extract_query,
@@ -389,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "multi_source_stage": multi_source_stage,
     "incremental_hwm": incremental_hwm,
     "incremental_stream": incremental_stream,
+    "snapshot_diff": snapshot_diff,
     "load_append": load_append,
     "full_refresh": full_refresh,
     "load_audit": load_audit,
@@ -399,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "cast_timestamp": cast_timestamp,
     "typed_accepted": typed_accepted,
     "reject_rows": reject_rows,
+    "incremental_transform": incremental_transform,
     "dedup_exact": dedup_exact,
     "dedup_latest": dedup_latest,
     "reconcile": reconcile,
@@ -409,4 +499,9 @@ QUERIES: dict[str, Query] = {
     "fact_unmatched": fact_unmatched,
     "orphan_rows": orphan_rows,
     "upsert_latest": upsert_latest,
+    "upsert_unkeyed": upsert_unkeyed,
+    "content_check": content_check,
+    "surrogate_keys": surrogate_keys,
+    "dimension_history": dimension_history,
+    "fact_as_of": fact_as_of,
 }

@@ -66,9 +66,10 @@ def run_steps(
     done: list[LoadResult] = []
     for step in steps:
         table = f"{prefix}{step.name}"
-        text = clean_query(step.sql)
         try:
-            result = store.publish(lambda t=text: spark.sql(t), table, "refresh", layer=layer, source=source)
+            result = store.publish(
+                lambda s=step: spark.sql(clean_query(s.sql)), table, "refresh", layer=layer, source=source
+            )
         except Exception as exc:
             raise StepFailed(step.name, done, exc) from exc
         store.read(table).createOrReplaceTempView(view_name(step.name))

@@ -2,7 +2,8 @@
 
 The first six columns are the load log the reference keeps; the rest are ours
 (source, layer, mode, exact counts, high-water mark, partition layout, the
-written schema of the version and rows that came too late for an increment). Rows are appended as one small Parquet folder
+written schema of the version, rows that came too late for an increment, and the
+last version of other tables that the load has taken in). Rows are appended as one small Parquet folder
 each, under a folder per table and month
 (``<audit>/<table>/<YYYYMM>/<load_id>-s<status>``), so concurrent loads never
 share an output folder and a table's readers list only its own recent loads.
@@ -38,6 +39,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("partitions", T.StringType()),
         T.StructField("schema_json", T.StringType()),
         T.StructField("rows_late", T.LongType()),
+        T.StructField("consumed", T.StringType()),
     ]
 )
 
@@ -65,6 +67,7 @@ def audit_row(
     partitions: str | None = None,
     schema_json: str | None = None,
     rows_late: int | None = None,
+    consumed: str | None = None,
 ) -> Row:
     return Row(
         database_name=database_name,
@@ -85,6 +88,7 @@ def audit_row(
         partitions=partitions,
         schema_json=schema_json,
         rows_late=rows_late,
+        consumed=consumed,
     )
 
 

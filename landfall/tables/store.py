@@ -13,6 +13,11 @@ versions: they hold only the partitions a change set touched, and hide those
 partitions in every earlier visible version. An upsert then rewrites only the
 touched partitions instead of the whole table.
 
+A load that is made from the versions of another table can note the newest of
+them it has taken in (``consumed``) in its own audit row. The version and the
+note become visible together, so each version is taken in exactly once:
+``unconsumed`` gives those that came since.
+
 ``load_id`` sorts in time order; one job at a time may load a given table.
 """
 
@@ -100,10 +105,12 @@ class TableStore:
         source: str | None = None,
         layer: str | None = None,
         partition_by: Sequence[str] = (),
+        gather: bool = True,
         cluster_by: Sequence[str] = (),
         observe: Mapping[str, Column] | None = None,
         counts: Mapping[str, int | None | Callable[[dict], int]] | None = None,
         high_water: str | None = None,
+        consumed: Mapping[str, str] | None = None,
         replaces: Sequence | None = None,
         comment: str = OK_COMMENT,
         raise_on_error: bool = True,
@@ -115,7 +122,11 @@ class TableStore:
         audit columns (``rows_read``, ``rows_rejected``, ``rows_duplicate``,
         ``rows_late``, ``high_water``) are stored there. ``counts`` gives such values known
         from earlier loads, or as functions of this load's metrics.
-        ``cluster_by`` sorts rows within each write task so Parquet row-group
+        ``consumed`` maps tables to
+        the newest of their load ids that went into ``data``.
+        ``gather`` shuffles rows of a partition value together, for few files;
+        without it each task writes a file for each value it meets, which is
+        better where the values are few. ``cluster_by`` sorts rows within each write task so Parquet row-group
         statistics let later filters on those columns skip data. ``data`` may
         be a callable so that SQL analysis errors are logged as failed loads.
         """
@@ -132,7 +143,7 @@ class TableStore:
             df = data() if callable(data) else data
             if mode == "append" and vis:
                 self._check_append_schema(table, df, vis)
-            if partition_by:
+            if partition_by and gather:
                 # Few files per partition value; hot values are split by size.
                 df = df.hint("rebalance", *[F.col(c) for c in partition_by])
             obs = Observation(f"load_{load_id}")
@@ -164,6 +175,7 @@ class TableStore:
             rows_duplicate=_int(merged.get("rows_duplicate")),
             rows_late=_int(merged.get("rows_late")),
             high_water=None if hw is None else str(hw),
+            consumed=json.dumps(dict(consumed)) if consumed else None,
             partitions=partitions,
             schema_json=df.schema.json(),
             **logged,
@@ -264,7 +276,7 @@ class TableStore:
         in time order, so nothing older can be visible; the reader's clock
         plays no part.
         """
-        cols = ["load_id", "mode", "partitions", "schema_json", "high_water", "comment"]
+        cols = ["load_id", "mode", "partitions", "schema_json", "high_water", "comment", "consumed"]
         rows: list = []
         for month in logged_months(self.spark, self.audit_path, table):
             df = read_audit(self.spark, self.audit_path, table, month)
@@ -361,13 +373,60 @@ class TableStore:
         marked = [r for r in rows if r["high_water"] is not None and r["load_id"] >= start]
         return max(marked, key=lambda r: r["load_id"])["high_water"] if marked else None
 
+    # -- versions as a queue -------------------------------------------
+    def consumed(self, table: str) -> dict[str, str]:
+        """Of each table that loads of ``table`` were made from, the newest version taken in."""
+        rows = self._recent_ok_rows(table)
+        start = max((r["load_id"] for r in rows if r["mode"] in FULL_MODES), default="")
+        out: dict[str, str] = {}
+        for r in sorted(rows, key=lambda r: r["load_id"]):
+            if r["load_id"] >= start and r["consumed"]:
+                out.update(json.loads(r["consumed"]))
+        return out
+
+    def unconsumed(self, upstream: str, consumer: str) -> tuple[list[str], bool]:
+        """Visible versions of ``upstream`` that no load of ``consumer`` has taken in, and whether they are all of it.
+
+        They are all of it at the first time and when a newer full version
+        replaced what was taken in; a compaction of versions already taken in
+        is not new.
+        """
+        vis = self._visible(upstream)
+        if not vis:
+            raise NoVisibleVersion(upstream)
+        ids = [i for i, *_ in vis]
+        mark = self.consumed(consumer).get(upstream) if self.exists(consumer) else None
+        if mark is None:
+            return ids, True
+        new = [i for i in ids if i > mark]
+        if ids[0] <= mark:
+            return new, False
+        folded = next((r["consumed"] for r in self._recent_ok_rows(upstream) if r["load_id"] == ids[0]), None)
+        if folded and json.loads(folded).get(upstream, "~") <= mark:
+            return new[1:], False
+        return ids, True
+
+    def read_versions(self, table: str, load_ids: Sequence[str]) -> DataFrame:
+        """Rows of some of the visible versions; only their files are opened."""
+        chosen = set(load_ids)
+        vis = [v for v in self._visible(table) if v[0] in chosen]
+        if len(vis) != len(chosen):
+            raise NoVisibleVersion(f"{table}: {sorted(chosen - {v[0] for v in vis})}")
+        return self._read_visible(table, vis)
+
+    def replaced_values(self, table: str, load_id: str) -> list:
+        """Partition values (as text) that a ``replace_partitions`` version replaced."""
+        info = next((info for i, _, info, _ in self._visible(table) if i == load_id), None)
+        return list((info or {}).get("values", []))
+
     def ok_comments(self, table: str) -> DataFrame:
         """Comments of all successful loads of ``table``, however old."""
         return self.audit(table).filter(F.col("status") == STATUS_OK).select("comment")
 
     def compact(self, table: str, **kw) -> LoadResult:
-        """Fold the visible versions (a refresh plus many appends) into one refresh; layout and mark stay."""
+        """Fold the visible versions (a refresh plus many appends) into one refresh; layout and marks stay."""
         current = self.read(table)
+        kw.setdefault("consumed", {**self.consumed(table), table: self.visible_load_ids(table)[-1]})
         kw.setdefault("partition_by", self.partition_columns(table) or [])
         kw.setdefault("high_water", self.high_water(table))
         return self.publish(current, table, "refresh", comment="compaction", **kw)
@@ -379,10 +438,14 @@ class TableStore:
         keys: Sequence[str],
         order: Sequence[str] = (),
         partition_column: str | None = None,
+        fresh: bool = False,
         **kw,
     ) -> LoadResult:
         """Merge ``changes`` into the visible table by key; the latest row per key under ``order`` stays.
 
+        ``fresh`` says that no row of ``changes`` was merged before
+        (see :func:`merge_latest`).
+
         The change set is written once and merged from there, so a source that
         changes meanwhile can't be read in two states. Without
         ``partition_column`` the whole table is rewritten as a new version.
@@ -402,6 +465,7 @@ class TableStore:
         changes = self.spark.read.schema(changes.schema).parquet(path)
         if "high_water" not in (kw.get("observe") or {}):
             kw.setdefault("high_water", self.high_water(table))
+        kw["consumed"] = {**self.consumed(table), **(kw.get("consumed") or {})}
         current = self.read(table)
         if partition_column and self.partition_column(table) == partition_column:
             value = F.col(partition_column).cast("string")
@@ -409,7 +473,7 @@ class TableStore:
             touched = [r[0] for r in changes.select(value).union(held).distinct().collect()]
             current = current.filter(partition_in(partition_column, touched))
             return self.publish(
-                lambda: merge_latest(current, changes, keys, order),
+                lambda: merge_latest(current, changes, keys, order, fresh),
                 table,
                 "replace_partitions",
                 partition_by=part_by,
@@ -417,7 +481,7 @@ class TableStore:
                 **kw,
             )
         return self.publish(
-            lambda: merge_latest(current, changes, keys, order), table, "upsert", partition_by=part_by, **kw
+            lambda: merge_latest(current, changes, keys, order, fresh), table, "upsert", partition_by=part_by, **kw
         )
 
 
