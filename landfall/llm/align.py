@@ -94,9 +94,9 @@ def product(a: Rows, b: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys[first] // max(b.width, 1), keys[first] % max(b.width, 1), values
 
 
-def entries(a: Rows, b: Rows) -> int:
-    """How many entries rows of ``b`` add to the rows of ``a``, without making them."""
-    return int(np.diff(b.starts)[a.columns].sum())
+def entries(a: Rows, b: Rows) -> np.ndarray:
+    """How many entries of ``b`` are added for each entry of ``a``, without making them."""
+    return np.diff(b.starts)[a.columns]
 
 
 # -- tokens of one text -------------------------------------------------------
@@ -141,6 +141,15 @@ class Aligned:
         return one(self.a_lengths), one(self.b_lengths)
 
 
+@dataclass(frozen=True)
+class Joined:
+    """Tokens of several texts, and where each text's tokens end (from 0)."""
+
+    tokens: Aligned
+    a_ends: np.ndarray
+    b_ends: np.ndarray
+
+
 class Tokenizers:
     """Both tokenizers, the bytes of their tokens and the texts of their ids."""
 
@@ -169,23 +178,49 @@ class Tokenizers:
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         return Aligned(a, b, self.a_lengths[a], self.b_lengths[b])
 
-    def groups_digest(self, tokens: Aligned) -> tuple[int, int, str]:
-        """(groups, links of tokens that share a group, digest of the groups' ids)."""
+    def joined(self, texts: list[str | None]) -> Joined:
+        """The tokens of several texts one behind the other: both cut where a text ends, so nothing crosses it."""
+        parts = [self.align(t) for t in texts]
+        there = [p for p in parts if p is not None]
+        none = np.zeros(0, np.int64)
+        whole = Aligned(*(np.concatenate([none, *(getattr(p, f) for p in there)]) for f in ("a", "b", "a_lengths", "b_lengths")))
+        ends = lambda f: np.cumsum([0, *(0 if p is None else len(getattr(p, f)) for p in parts)])
+        return Joined(whole, ends("a"), ends("b"))
+
+    def pairs(self, texts: Joined) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Links of each text; its distinct linked id pairs, and how often they are linked."""
+        tokens, width = texts.tokens, len(self.b_bytes)
+        x, y, _ = tokens.links()
+        n = np.diff(np.searchsorted(x, texts.a_ends))
+        space = len(self.a_bytes) * width
+        keys = np.repeat(np.arange(len(n)), n) * space + tokens.a[x] * width + tokens.b[y]
+        keys, often = np.unique(keys, return_counts=True)
+        cuts = np.searchsorted(keys, np.arange(1, len(n)) * space)
+        return n, np.split(keys % space, cuts), np.split(often, cuts)
+
+    def groups(self, texts: Joined) -> list[tuple[int, int, str]]:
+        """(groups, links of tokens that share a group, digest of the groups' ids) of each text."""
+        tokens = texts.tokens
         by_a, by_b = tokens.groups()
         n_a, n_b, half = len(tokens.a), len(tokens.b), len(self.a_bytes)
-        last = lambda g: np.append(g.columns[1:] != g.columns[:-1], True)
+        last = lambda g: np.append(g.columns[1:] != g.columns[:-1], True)[: len(g)]
         # A group's tokens of a stand behind all tokens of the groups before, its tokens of b behind those.
-        a_at = np.arange(n_a) + np.searchsorted(by_b.columns, by_a.columns, "left")
-        b_at = np.arange(n_b) + np.searchsorted(by_a.columns, by_b.columns, "right")
         order = np.empty(n_a + n_b, np.int64)
-        order[a_at] = tokens.a + half * last(by_a)
-        order[b_at] = 2 * half + tokens.b + len(self.b_bytes) * last(by_b)
-        digest = hashlib.sha256()
-        for at in range(0, len(order), 1 << 20):
-            end = at + (1 << 20)
-            shown = "".join(map(self.shown.__getitem__, order[at:end].tolist()))
-            digest.update((shown if end < len(order) else shown[:-1]).encode())
-        return by_a.width, entries(by_a, by_b.transposed()), digest.hexdigest()
+        order[np.arange(n_a) + np.searchsorted(by_b.columns, by_a.columns, "left")] = tokens.a + half * last(by_a)
+        ids_b = 2 * half + tokens.b + len(self.b_bytes) * last(by_b)
+        order[np.arange(n_b) + np.searchsorted(by_a.columns, by_b.columns, "right")] = ids_b
+        n_groups = np.concatenate([[0], np.cumsum(last(by_a))])[texts.a_ends]
+        shared = np.concatenate([[0], np.cumsum(entries(by_a, by_b.transposed()))])[texts.a_ends]
+        out, ends = [], texts.a_ends + texts.b_ends
+        for i, (start, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            digest = hashlib.sha256()
+            for at in range(start, end, 1 << 20):
+                to = min(at + (1 << 20), end)
+                shown = "".join(map(self.shown.__getitem__, order[at:to].tolist()))
+                digest.update((shown if to < end else shown[:-1]).encode())
+            text = digest.hexdigest() if end > start else ""
+            out.append((int(n_groups[i + 1] - n_groups[i]), int(shared[i + 1] - shared[i]), text))
+        return out
 
 
 def byte_level(path: str):
@@ -252,7 +287,7 @@ def _tokenized(a_path: str, b_path: str, block_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = load(a_path, b_path)
-        width = len(both.b_bytes)
+        piece = min(PIECE_BYTES, block_bytes)
         block, ids, rows, pairs, times, held = TaskContext.get().partitionId() << 32, [], [], [], [], 0
 
         def close() -> pa.RecordBatch:
@@ -278,27 +313,26 @@ def _tokenized(a_path: str, b_path: str, block_bytes: int):
         names = [f.split()[0] for f in FIELDS.split(", ")]
         for batch in batches:
             texts = batch.column("text").to_pylist()
+            sizes = np.cumsum([len(t or "") + 16 for t in texts])
             begun = 0
-            for i, text in enumerate(texts):
-                tokens = both.align(text)
-                if tokens is None:
-                    rows.append((0, 0, 0, 0, 0, ""))
-                    found, often = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                else:
-                    x, y, _ = tokens.links()
-                    found, often = np.unique(tokens.a[x] * width + tokens.b[y], return_counts=True)
-                    n_groups, shared, digest = both.groups_digest(tokens)
-                    rows.append((len(tokens.a), len(tokens.b), n_groups, len(x), shared, digest))
-                pairs.append(found)
-                times.append(often)
-                held += len(text or "") + 16
+            while begun < len(texts):
+                # Texts are multiplied together up to a piece's size.
+                base = sizes[begun - 1] if begun else 0
+                to = max(begun + 1, int(np.searchsorted(sizes, base + piece)))
+                joined = both.joined(texts[begun:to])
+                n_links, found, often = both.pairs(joined)
+                n_a, n_b = np.diff(joined.a_ends).tolist(), np.diff(joined.b_ends).tolist()
+                for a, b, links, (groups, shared, digest) in zip(n_a, n_b, n_links.tolist(), both.groups(joined), strict=True):
+                    rows.append((a, b, groups, links, shared, digest))
+                pairs += found
+                times += often
+                ids.append(batch.column("id").slice(begun, to - begun))
+                held += int(sizes[to - 1] - base)
+                begun = to
                 if held >= block_bytes:
-                    ids.append(batch.column("id").slice(begun, i + 1 - begun))
                     yield close()
-                    block, begun, held = block + 1, i + 1, 0
+                    block, held = block + 1, 0
                     ids, rows, pairs, times = [], [], [], []
-            if begun < len(texts):
-                ids.append(batch.column("id").slice(begun))
         if rows:
             yield close()
 
