@@ -25,16 +25,19 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import cache
+from functools import cache, reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import col
+from landfall.llm.common import col, written
 
 CUE = r"(?i)licen[sc]e|copyright|spdx|public domain|creativecommons"
 BLOCK_CUE = CUE + r"|permission|redistribut|endorse|warrant"
+#: A text without any of these, in lower case, holds no cue; finding them takes no pattern.
+CUE_WORDS = ("license", "licence", "copyright", "spdx", "public domain", "creativecommons")
+BLOCK_WORDS = (*CUE_WORDS, "permission", "redistribut", "endorse", "warrant")
 PARAGRAPH_END = r"\n[^\p{L}\p{N}\n]*(?=\n)"
 SENTENCE_END = r"[.;!?]\s+|\n"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -129,50 +132,58 @@ def scan_licenses(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, path, license, score, origin (own, inherited, none), from_directory."""
-    statements = F.filter(
-        F.split(F.coalesce(col(text_col), F.lit("")), SENTENCE_END), lambda s: s.rlike(CUE)
-    )
-    speaks = F.coalesce(is_license_file, F.lit(False))
+    spark = df.sparkSession
+    text, low = F.col("text"), F.lower("text")
+    holds = lambda words: reduce(lambda a, b: a | b, [low.contains(w) for w in words])
     no_blocks = F.array().cast("array<string>")
-    paragraphs = F.filter(F.split(col(text_col), PARAGRAPH_END), lambda s: s.rlike(BLOCK_CUE))
-    blocks = F.array_distinct(
-        F.concat(
-            F.when(col(text_col).rlike(BLOCK_CUE), paragraphs).otherwise(no_blocks),
-            F.when(speaks & col(text_col).rlike("(?i)[a-z0-9]"), F.array(col(text_col))).otherwise(no_blocks),
-        )
-    )
+    statements = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(CUE))
+    paragraphs = F.filter(F.split(text, PARAGRAPH_END), lambda s: s.rlike(BLOCK_CUE))
+    # Texts are read and cut once; what was cut out is written.
+    cut = df.select(
+        col(id_col).alias("id"),
+        col(path_col).alias("path"),
+        F.regexp_extract(col(path_col), "^(.*)/[^/]*$", 1).alias("directory"),
+        F.coalesce(is_license_file, F.lit(False)).alias("speaks"),
+        col(text_col).alias("text"),
+    ).select(
+        "id", "path", "directory", "speaks",
+        F.when(holds(CUE_WORDS), statements).otherwise(no_blocks).alias("sentences"),
+        F.array_distinct(
+            F.concat(
+                F.when(holds(BLOCK_WORDS), paragraphs).otherwise(no_blocks),
+                F.when(F.col("speaks") & text.rlike("(?i)[a-z0-9]"), F.array(text)).otherwise(no_blocks),
+            )
+        ).alias("blocks"),
+    )
+    cut = written(spark, cut, "statements")
     # A block stands among the statements by its hash, which holds no cue, so no statement equals it.
     mark = lambda b: F.concat(F.lit("\0"), F.sha2(b, 256))
     texts = (
-        df.select(F.explode(blocks).alias("text"))
+        cut.select(F.explode("blocks").alias("text"))
         .select(mark(F.col("text")).alias("statement"), "text")
         .dropDuplicates(["statement"])
     )
-    files = df.select(
-        col(id_col).alias("id"),
-        col(path_col).alias("path"),
-        F.regexp_extract(col(path_col), "^(.*)/[^/]*$", 1).alias("directory"),
-        speaks.alias("speaks"),
-        F.concat(
-            F.when(col(text_col).rlike(CUE), statements).otherwise(no_blocks), F.transform(blocks, mark)
-        ).alias("statements"),
-    )
     # Files with equal statements share a key; those without any get keys that match nothing and spread.
-    key = F.when(F.size("statements") > 0, F.array_join("statements", "\n"))
+    files = cut.select(
+        "id", "path", "directory", "speaks", F.concat("sentences", F.transform("blocks", mark)).alias("statements")
+    )
+    key = F.when(F.size("statements") > 0, F.sha2(F.array_join("statements", "\n"), 256))
     files = files.withColumn("key", F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64("id", "path").cast("string"))))
-    keys = files.filter(F.size("statements") > 0).select("key").distinct()
-    said = keys.select("key", F.explode(F.split("key", "\n")).alias("statement"))
+    keys = files.filter(F.size("statements") > 0).groupBy("key").agg(F.first("statements").alias("statements"))
+    said = written(spark, keys.select("key", F.explode("statements").alias("statement")), "said")
     sentences = said.filter(~F.col("statement").rlike("^\\x00[0-9a-f]{64}$")).select("statement").distinct()
     scored = score_statements(sentences, templates, threshold).union(
         _score(texts, (*templates, *text_templates()), threshold)
     )
+    scored = written(spark, scored, "scored")
     own = (
         said.join(scored, "statement")
         .groupBy("key")
         .agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
         .select("key", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
     )
-    marked = files.drop("statements").join(own, "key", "left").drop("key")
+    own = written(spark, own, "own")
+    marked = written(spark, files.drop("statements").join(own, "key", "left").drop("key"), "marked")
     speaking = (
         marked.filter("speaks and license is not null and path is not null")
         .groupBy("directory")
