@@ -16,7 +16,8 @@ position of every document in one of its rounds (of two rounds, each every
 second position): each task runs stochastic gradients over its
 documents, and the parameters of all tasks are averaged, weighted by their
 positions. So every document adds to the model, and what is gathered grows
-with the tasks, that is with the input.
+with the tasks, that is with the input. Words are looked up once: training and
+scoring read the written tokens.
 
 Defined cases: null or blank text has no tokens, score 0 and no mean; a single
 token is predicted from padding; a word that was never counted has the share
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -231,12 +233,27 @@ def _shared_token(word: Column) -> Column:
     return F.crc32(word.cast("binary")) % SHARED + (1 + OWN)
 
 
+def _common_from(words: DataFrame, most: int) -> int:
+    """A count that at most ``most`` words reach, from a histogram of counts with 16 classes for each power of two."""
+    kind = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    held = words.groupBy(kind.alias("kind")).agg(F.count("*").alias("words"), F.min("n").alias("least"))
+    total, cut = 0, 1 << 62
+    for row in sorted(held.collect(), key=lambda r: -r["kind"]):  # no more than 16 * 63 rows
+        total += row["words"]
+        if total > most:
+            break
+        cut = row["least"]
+    return cut
+
+
 def build_vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """The commonest words of all documents, and the count of every token."""
     counted = docs.mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     words = written(docs.sparkSession, counted, "words")  # read three times, counted once
-    top = words.orderBy(F.desc("n"), "word").limit(OWN + KNOWN).collect()
-    own, known = top[:OWN], top[OWN:]
+    cut = _common_from(words, OWN + KNOWN)
+    own = words.orderBy(F.desc("n"), "word").limit(OWN).collect()
+    mine = {row["word"] for row in own}
+    known = [r for r in words.filter(F.col("n") >= cut).collect() if r["word"] not in mine]
     counts = np.zeros(TOKENS)
     for row in words.groupBy(_shared_token(F.col("word")).alias("token")).agg(F.sum("n").alias("n")).collect():
         counts[row["token"]] = row["n"]  # at most SHARED rows
@@ -266,7 +283,57 @@ def turn_targets(tokens: np.ndarray, turn: int, rounds: int) -> slice:
     return slice((zlib.crc32(tokens[:16].tobytes()) + turn) % rounds, None, rounds)
 
 
-def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rounds: int, rate: float):
+TOKENIZED = "n_tokens bigint, tokens binary, share double, key string, words array<string>"
+
+
+def _tokenized(vocabulary: Vocabulary):
+    """Tokens (two bytes each), the summed known log shares, and the words whose share is not known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, tokens, shares, keys, rare = [], [], [], [], []
+            for text in batch.column("text").to_pylist():
+                words = (text or "").lower().split()
+                places = vocabulary.places(words)
+                share = vocabulary.share_of[places]
+                unknown = np.nonzero(np.isnan(share))[0].tolist()
+                sizes.append(len(words))
+                tokens.append(vocabulary.token_of[places].astype("<u2").tobytes())
+                shares.append(float(np.nansum(share)))
+                keys.append(hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if unknown else None)
+                rare.append([words[i] for i in unknown])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(tokens, pa.binary()),
+                    pa.array(shares, pa.float64()),
+                    pa.array(keys, pa.string()),
+                    pa.array(rare, pa.list_(pa.string())),
+                ],
+                names=["id", "n_tokens", "tokens", "share", "key", "words"],
+            )
+
+    return run
+
+
+def tokenize(df: DataFrame, id_col: str | None, text_col: str, vocabulary: Vocabulary) -> DataFrame:
+    """(id, tokens and what their scores need) of every row, written once: training and scoring read it."""
+    ident = F.lit(None).cast("bigint") if id_col is None else col(id_col)
+    docs = df.select(ident.alias("id"), col(text_col).alias("text"))
+    schema = T.StructType([docs.schema["id"]] + T._parse_datatype_string(TOKENIZED).fields)
+    return written(df.sparkSession, docs.mapInArrow(_tokenized(vocabulary), schema), "tokens")
+
+
+def _read_tokens(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(t, "<u2").astype(np.int32) for t in batch.column("tokens").to_pylist()]
+
+
+#: Parameters travel in parts of so many numbers.
+PART = 1 << 12
+
+
+def _train(params: Parameters, turn: int, rounds: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {k: v.copy() for k, v in params.items()}
         squares = {k: np.full_like(v, 1e-6) for k, v in params.items()}
@@ -278,8 +345,7 @@ def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rounds: int, r
                 step(own, squares, target[at : at + BATCH], near[:, at : at + BATCH], rate)
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                tokens = vocabulary.tokens(text)
+            for tokens in _read_tokens(batch):
                 if not len(tokens):
                     continue
                 target, near = contexts([tokens])
@@ -293,46 +359,97 @@ def _train(params: Parameters, vocabulary: Vocabulary, turn: int, rounds: int, r
             learn()
             seen += held
         if seen:
+            flat = _flat(own).astype(np.float64) * seen
+            parts = [flat[at : at + PART].tobytes() for at in range(0, len(flat), PART)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*own], pa.string()),
-                    pa.array([float(seen)] * len(own), pa.float64()),
-                    pa.array([v.ravel().astype(np.float32) for v in own.values()], pa.list_(pa.float32())),
+                    pa.array(range(len(parts)), pa.int32()),
+                    pa.array([float(seen)] * len(parts), pa.float64()),
+                    pa.array(parts, pa.binary()),
                 ],
-                names=["name", "weight", "parts"],
+                names=["part", "weight", "total"],
             )
 
     return run
 
 
+def _flat(params: Parameters) -> np.ndarray:
+    return np.concatenate([v.ravel() for v in params.values()])
+
+
+def _unflat(flat: np.ndarray, like: Parameters) -> Parameters:
+    out, at = {}, 0
+    for name, v in like.items():
+        out[name] = flat[at : at + v.size].astype(np.float32).reshape(v.shape)
+        at += v.size
+    return out
+
+
+def _added(key: tuple, table: pa.Table) -> pa.Table:
+    """One row for the rows of a part."""
+    # In the order of their bytes, so that the sum doesn't depend on the order of arrival.
+    rows = sorted(zip(table.column("total").to_pylist(), table.column("weight").to_pylist(), strict=True))
+    total = np.zeros(len(rows[0][0]) // 8)
+    for part, _ in rows:
+        total += np.frombuffer(part, np.float64)
+    weight = sum(w for _, w in rows)
+    return pa.table(
+        {
+            "part": pa.array([key[0].as_py()], pa.int32()),
+            "weight": pa.array([weight], pa.float64()),
+            "total": pa.array([total.tobytes()], pa.binary()),
+        }
+    )
+
+
+def fit_tokens(tokens: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, rate: float = 0.1) -> Parameters:
+    """Averaged parameters from all documents of a table of :func:`tokenize`.
+
+    Each task trains on its partition, so the model depends on how the table
+    is cut into tasks.
+    """
+    params, kind = initial(counts), "part int, weight double, total binary"
+    for turn in range(rounds):
+        sums = (
+            tokens.select("tokens")
+            .mapInArrow(_train(params, turn, rounds, rate), kind)
+            .withColumn("salt", F.spark_partition_id() % 64)
+            .groupBy("part", "salt")
+            .applyInArrow(_added, kind)
+            .groupBy("part")
+            .applyInArrow(_added, kind)
+            .collect()  # one row for each part of the parameters, of fixed size
+        )
+        if sums:
+            parts = sorted(sums, key=lambda r: r["part"])
+            params = _unflat(np.concatenate([np.frombuffer(r["total"], np.float64) / r["weight"] for r in parts]), params)
+    return params
+
+
 def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.1) -> tuple[Vocabulary, Parameters]:
     """Vocabulary and averaged parameters from all documents (column ``text``)."""
     vocabulary, counts = build_vocabulary(docs)
-    params = initial(counts)
-    for turn in range(rounds):
-        averaged = (
-            docs.mapInArrow(_train(params, vocabulary, turn, rounds, rate), "name string, weight double, parts array<float>")
-            .select("name", "weight", F.posexplode("parts").alias("at", "x"))
-            .groupBy("name", "at")
-            .agg((F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).cast("float").alias("x"))
-            .groupBy("name")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda v: v["x"]).alias("parts"))
-        )
-        for row in averaged.collect():  # one row per parameter array, of fixed size
-            params[row["name"]] = np.array(row["parts"], np.float32).reshape(params[row["name"]].shape)
-    return vocabulary, params
+    return vocabulary, fit_tokens(tokenize(docs, None, "text", vocabulary), counts, rounds, rate)
 
 
 def score_documents(
     df: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, params: Parameters
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, n_tokens, sum_log_prob, mean_log_prob."""
-    docs = df.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    return score_tokens(tokenize(df, id_col, text_col, vocabulary), vocabulary, params)
+
+
+def train_and_score(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """:func:`score_documents` by a model of the same documents; words are looked up once for both."""
+    vocabulary, counts = build_vocabulary(df.select(col(text_col).alias("text")))
+    tokens = tokenize(df, id_col, text_col, vocabulary)
+    return score_tokens(tokens, vocabulary, fit_tokens(tokens, counts))
+
 
+def score_tokens(tokens: DataFrame, vocabulary: Vocabulary, params: Parameters) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums, sizes, waiting, held = [], [], [], 0
-            shares, keys, rare = [], [], []
+            sums, waiting, held = [], [], 0
 
             def score(waiting: list[np.ndarray]) -> list[float]:
                 # Long documents pass in slices; each position sees its true neighbours.
@@ -345,17 +462,9 @@ def score_documents(
                 total = np.concatenate([[0.0], np.cumsum(np.concatenate([[], *logs]), dtype=np.float64)])
                 return (total[ends[1:]] - total[ends[:-1]]).tolist()
 
-            for text in batch.column("text").to_pylist():
-                words = (text or "").lower().split()
-                places = vocabulary.places(words)
-                share = vocabulary.share_of[places]
-                unknown = np.nonzero(np.isnan(share))[0].tolist()
-                shares.append(float(np.nansum(share)))
-                rare.append([words[i] for i in unknown])
-                keys.append(hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if unknown else None)
-                sizes.append(len(words))
-                waiting.append(vocabulary.token_of[places])
-                held += len(words)
+            for document in _read_tokens(batch):
+                waiting.append(document)
+                held += len(document)
                 if held >= 16 * BATCH:
                     sums += score(waiting)
                     waiting, held = [], 0
@@ -363,29 +472,28 @@ def score_documents(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array([s + x for s, x in zip(sums, shares, strict=True)], pa.float64()),
-                    pa.array(keys, pa.string()),
-                    pa.array(rare, pa.list_(pa.string())),
+                    batch.column("n_tokens"),
+                    pc.add(pa.array(sums, pa.float64()), batch.column("share")),
+                    batch.column("key"),
                 ],
-                names=["id", "n_tokens", "partial", "key", "words"],
+                names=["id", "n_tokens", "partial", "key"],
             )
 
     schema = T.StructType(
         [
-            docs.schema["id"],
+            tokens.schema["id"],
             T.StructField("n_tokens", T.LongType()),
             T.StructField("partial", T.DoubleType()),
             T.StructField("key", T.StringType()),
-            T.StructField("words", T.ArrayType(T.StringType())),
         ]
     )
-    scored = written(df.sparkSession, docs.mapInArrow(run, schema), "scores")  # read twice, scored once
+    scored = tokens.select("id", "n_tokens", "tokens", "share", "key").mapInArrow(run, schema)
     # Rows of equal text share a key; those without rare words get keys that match nothing and spread.
-    rare = scored.filter("key is not null").select("key", "words").dropDuplicates(["key"])
+    rare = tokens.filter("key is not null").select("key", "words").dropDuplicates(["key"])
+    shares = written(tokens.sparkSession, _joined_shares(rare, vocabulary), "shares")
     seek = F.coalesce("key", F.concat(F.lit("\0"), F.xxhash64("id", "partial").cast("string")))
-    found = scored.drop("words").withColumn("key", seek).join(_joined_shares(rare, vocabulary), "key", "left")
-    total = F.col("partial") + F.coalesce("share", F.lit(0.0))
+    found = scored.withColumn("key", seek).join(shares, "key", "left")
+    total = F.col("partial") + F.coalesce(shares["share"], F.lit(0.0))
     return found.select(
         F.col("id").alias("doc_id"),
         "n_tokens",

@@ -87,9 +87,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    vocabulary, params = lm.train(docs.select("text"))
-    return lm.score_documents(docs, "doc_id", "text", vocabulary, params)
+    return lm.train_and_score(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 def pieces(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import zlib
+from functools import reduce
 
 import duckdb
 import numpy as np
@@ -153,10 +154,10 @@ def test_every_position_is_a_target_once(spark, monkeypatch):
         np.add.at(got, target, 1)
 
     monkeypatch.setattr(lm, "step", seen)
-    batches = df.toArrow().to_batches()
+    batches = lm.tokenize(df, None, "text", vocabulary).select("tokens").toArrow().to_batches()
     weights = []
     for turn in range(lm.ROUNDS):
-        for out in lm._train(lm.initial(counts), vocabulary, turn, lm.ROUNDS, 0.1)(iter(batches)):
+        for out in lm._train(lm.initial(counts), turn, lm.ROUNDS, 0.1)(iter(batches)):
             weights.append(out.column("weight")[0].as_py())
     assert sum(weights) == sum(map(len, docs))
     assert got.tolist() == counts.tolist()
@@ -247,3 +248,24 @@ def test_odd_vectors_take_no_part(spark):
     ]
     assert ann.nearest(df.limit(0), "id", "v", F.col("id") % 20 == 0).count() == 0
     assert ann.nearest(df.filter("id = 1"), "id", "v", F.col("id") % 20 == 0).count() == 0
+
+
+def test_equal_vectors_come_in_the_order_of_their_ids():
+    rng = np.random.default_rng(8)
+    how = ann.Collisions()
+    vectors = rng.standard_normal((601, 37))
+    vectors[rng.choice(601, 200, replace=False)] = rng.standard_normal(37)
+    ids = rng.permutation(601).astype(np.int64)
+    norm = float(np.sqrt((vectors**2).sum(1)).max())
+    projected = ann._directions(37, how) @ ann._lifted(vectors, norm).T
+    order = np.argsort(projected, axis=1, kind="stable")
+    queries = rng.standard_normal((100, 37))
+    found = ann.search_block(
+        ids, vectors, np.argsort(order, axis=1).astype("<i4"), np.take_along_axis(projected, order, 1),
+        np.arange(1000, 1100), queries, norm, 20, ann.Collisions(wanted=601),
+    )
+    for q, got, scores in found:
+        exact = [reduce(lambda s, x: s + x[0] * x[1], zip(v.tolist(), queries[q].tolist(), strict=True), 0.0) for v in vectors]
+        want = sorted(zip([-x for x in exact], ids.tolist(), strict=True))[:20]
+        assert got.tolist() == [i for _, i in want]
+        assert scores.tolist() == [-s for s, _ in want]
