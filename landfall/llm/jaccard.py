@@ -543,6 +543,7 @@ def shingle_links(
     )
     meetings = written(spark, meetings, "meetings")
     load = meetings.groupBy("owner").agg(F.count("*").alias("sets"), F.sum("size").alias("tokens"))
+    load = written(spark, load, "load")  # so that both sides of the join below are shuffled for it, and skew is split
     blocks = F.greatest(
         F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") * 8 / BLOCK_BYTES), F.lit(1)
     ).cast("int")
