@@ -113,6 +113,14 @@ def _gather(key: tuple, table: pa.Table) -> pa.Table:
     )
 
 
+def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, added up component by component, so equal rows get equal sums wherever they stand."""
+    total = np.zeros(len(vectors))
+    for column, x in zip(vectors.T, query, strict=True):
+        total += column * x
+    return total
+
+
 def search_block(
     ids: np.ndarray,
     vectors: np.ndarray,
@@ -150,7 +158,12 @@ def search_block(
         open_, half = np.array(still, int), half * how.growth
     for q, found in best.items():
         found = found[ids[found] != query_ids[q]]
-        scores = np.take(vectors, found, axis=0) @ queries[q]
+        near = np.take(vectors, found, axis=0) @ queries[q]
+        if len(found) > k:
+            # Sums of a matrix product depend on a row's place: what may tie within rounding is scored again.
+            close = 1e-9 * norm * math.sqrt(float(queries[q] @ queries[q]))
+            found = found[near >= np.partition(near, len(near) - k)[len(near) - k] - close]
+        scores = products(vectors[found], queries[q])
         top = np.lexsort((ids[found], -scores))[:k]
         yield q, ids[found][top], scores[top]
 
@@ -219,8 +232,11 @@ def nearest(
         .applyInArrow(_gather, "chunk int, query_ids binary, query_vectors binary")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     )
+    # A task for each block and chunk, as far as a shuffle has partitions.
+    tasks = min(blocks * chunks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = (
         queries.join(index, "block")
+        .repartition(tasks, "block", "chunk")
         .mapInArrow(_search(norm, k, how), "query_id bigint, vec_id bigint, score double")
         .groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))
