@@ -292,6 +292,12 @@ from before b full join after a on a.o_orderkey = b.o_orderkey
 where a.o_orderkey is null or b.o_orderkey is null or a.o_custkey <> b.o_custkey or a.o_orderstatus <> b.o_orderstatus
 """
 
+REPORT_DELTAS = """
+select case when o_orderkey % 983 = 3 then 'X' else o_orderstatus end as o_orderstatus, cast(year(o_orderdate) as integer) as o_year,
+       count(*) as row_count, cast(sum(cast(o_totalprice as decimal(18,4))) as decimal(38,4)) as sum_o_totalprice
+from orders where o_orderkey % 991 <> 2 group by all
+"""
+
 CONTENT_CHECK = """
 with o as (select *, o_orderkey % 900 = 4 as replaced from orders)
 select o_orderkey, 'changed' as kind, 'o_custkey' as column_name,
@@ -372,6 +378,7 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_transform": INCREMENTAL_TRANSFORM,
     "snapshot_diff": SNAPSHOT_DIFF,
     "content_check": CONTENT_CHECK,
+    "report_deltas": REPORT_DELTAS,
     "surrogate_keys": SURROGATE_KEYS,
     "dimension_history": DIMENSION_HISTORY,
     "fact_as_of": FACT_AS_OF,

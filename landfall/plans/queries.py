@@ -36,6 +36,7 @@ from landfall.plans.marts import (
     segment_month_report,
     unmatched_lines,
 )
+from landfall.plans.reports import keep_report
 from landfall.plans.steps import Step, StepFailed, run_steps
 from landfall.session import scratch_dir
 from landfall.sources.catalog import stage_catalog, staging_table
@@ -408,6 +409,17 @@ def content_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_differences(orders, fx.order_cells_changed(orders), ["o_orderkey"], buckets=256).drop("copies")
 
 
+def report_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status and year, kept by what two further snapshots change; the table isn't summed again."""
+    store = _store(spark, "report_deltas")
+    dimensions = {"o_orderstatus": F.col("o_orderstatus"), "o_year": F.year("o_orderdate")}
+    first, second = fx.order_snapshots(_t(spark, sf_dir, "orders"))
+    for snapshot in (first, second.filter("o_orderkey % 3 <> 0"), second):
+        load_snapshot(store, snapshot, "erp_stg.orders", ["o_orderkey"], buckets=16, source="erp")
+        keep_report(store, "erp_stg.orders", "dwh.orders_by_status", dimensions, ["o_totalprice"])
+    return store.read("dwh.orders_by_status")
+
+
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of three sources numbered in two loads (a third brings nothing new); orders counted by number."""
     store = _store(spark, "surrogate_keys")
@@ -501,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": upsert_latest,
     "upsert_unkeyed": upsert_unkeyed,
     "content_check": content_check,
+    "report_deltas": report_deltas,
     "surrogate_keys": surrogate_keys,
     "dimension_history": dimension_history,
     "fact_as_of": fact_as_of,
