@@ -52,6 +52,33 @@ def test_selection_keeps_columns_and_odd_rows(spark):
     assert quality.score_documents(empty, "doc_id", "text", model).count() == 0
 
 
+def plain_loss(weights, cuts, rows, grades):
+    """Mean negative log-likelihood of the cumulative-link model, written out."""
+    total = 0.0
+    for x, y in zip(rows, grades, strict=True):
+        below = [0.0, *(1 / (1 + math.exp(-(c - float(weights @ x)))) for c in cuts), 1.0]
+        total -= math.log(max(below[y + 1] - below[y], 1e-12))
+    return total / len(rows)
+
+
+def test_fit_comes_near_the_plain_maximum_of_likelihood():
+    """Against a descent along numeric gradients of the loss as written out."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((400, 3))
+    noisy = x @ np.array([1.5, -1.0, 0.5]) + rng.logistic(size=400)
+    grades = np.digitize(noisy, [-1.0, 1.2]).tolist()
+    model = quality.fit_ordinal([(np.arange(3), r) for r in x], grades, 3, epochs=30)
+    theta = np.array([0.0, 0.0, 0.0, -1.0, 1.0])
+    loss = lambda t: plain_loss(t[:3], np.sort(t[3:]), x, grades)
+    for _ in range(80):
+        numeric = np.array([(loss(theta + e) - loss(theta - e)) / 2e-4 for e in np.eye(5) * 1e-4])
+        theta -= 2.0 * numeric
+    assert np.abs(numeric).max() < 5e-3
+    got = plain_loss(model.weights[:3], model.thresholds, x, grades)
+    assert got < loss(theta) * 1.03 < loss(np.array([0.0, 0.0, 0.0, -1.0, 1.0])) * 0.9
+    assert not model.weights[3:].any()
+
+
 def test_packed_features_are_the_features():
     for text in (None, "", "a", "Word word WORD ... 42 §§", "straße naïve " * 30_000):
         positions, values = quality.features(text)
