@@ -88,6 +88,54 @@ def test_dedup_of_a_hot_group_over_partitions(spark):
     assert [r.doc_id for r in got if r.kept] == [2997]
 
 
+def test_tries_branch_and_are_cut_into_whole_subtrees():
+    rng = random.Random(5)
+    keys = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    trie, left = exact_dedup.PatriciaTrie(), []
+    for k in keys:
+        node = trie.entry(k)
+        if node[1] is None:
+            left.append((node[2], k))
+        else:
+            node[2] = (node[2] or 0) + 1
+        if trie.size > 20_000:
+            left += [(name, k) for name, below in trie.close(10_000) for k, n in below for _ in range(n)]
+            assert trie.size <= 10_000
+    kept = Counter(dict(trie.terminals()))
+    assert left and kept and max(len(k) for k in kept) > 1
+    assert kept + Counter(k for _, k in left) == Counter(keys)
+    assert not kept.keys() & {k for _, k in left}
+    assert len({k for _, k in left}) == len(set(left))  # equal strings leave by one name
+
+
+def test_texts_below_one_stem_are_cut_below_it():
+    trie = exact_dedup.PatriciaTrie()
+    for k in (b"stem", b"stem of one", b"stem of two"):
+        trie.entry(k)[2] = 1
+    cut = {k for _, below in trie.close(0) for k, _ in below}
+    assert cut == {b"stem of one", b"stem of two"} and dict(trie.terminals()) == {b"stem": 1}
+    alone = exact_dedup.PatriciaTrie()
+    alone.entry(b"only")[2] = 1
+    assert list(alone.close(0)) == []
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_dedup_over_several_rounds_of_subtrees(spark, keep):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("aAb") for _ in range(rng.randint(0, 7))) + "\u00c4" * (i % 2) for i in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, text string").repartition(8)
+    groups = {}
+    for i, t in enumerate(texts):
+        groups.setdefault(norm(t), []).append(i)
+    pick = max if keep == "largest" else min
+    got = exact_dedup.duplicate_classes(df, "id", "text", keep, budget=6_000).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == sorted(
+        (i, pick(v), len(v), i == pick(v)) for v in groups.values() for i in v
+    )
+    out = exact_dedup.drop_copies(df, "id", "text", keep, budget=6_000).collect()
+    assert sorted((r.id, r.text) for r in out) == sorted((pick(v), texts[pick(v)]) for v in groups.values())
+
+
 # -- packing ---------------------------------------------------------------------
 
 
