@@ -161,6 +161,33 @@ def orders_without_keys(orders: DataFrame) -> DataFrame:
     return orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 20 != 0, F.col("o_orderkey")))
 
 
+def customers_of_sources(customer: DataFrame) -> DataFrame:
+    """Customers as three sources know them: ``crm`` all, ``shop`` every second with a character of the name
+    replaced, ``web`` every third with one left out; some share a tax number with the fifth customer after."""
+    key = F.col("c_custkey").cast("bigint")
+    code = F.md5(key.cast("string"))
+    part = lambda at, n: F.substring(code, at, n)
+    place = (key % 12 + 1).cast("int")
+    short = F.substring(code, 1, 12)
+    cut = lambda put, skip: F.concat(
+        F.substring(short, F.lit(1), place - 1), F.lit(put), F.substring(short, place + skip, F.lit(12))
+    )
+    tax = F.when(key % 5 == 0, F.concat(F.lit("DE-"), (key - key % 10).cast("string")))
+    segment = F.col("c_mktsegment")
+
+    def rows(number, source, name, tax_no, market):
+        return customer.select(
+            (key * 4 + number).alias("record_id"), F.lit(source).alias("source"), F.lit(number).alias("trust"),
+            name.alias("name"), F.col("c_nationkey").cast("int").alias("nation"), tax_no.alias("tax_no"),
+            market.alias("segment"), key.alias("_key"),
+        )
+
+    crm = rows(0, "crm", F.concat(part(1, 6), F.lit(" "), F.upper(part(7, 6))), tax, F.when(key % 7 != 0, segment))
+    shop = rows(1, "shop", cut("X", 1), F.lit(None).cast("string"), F.when(key % 4 != 0, segment)).filter("_key % 2 = 0")
+    web = rows(2, "web", cut("", 1), F.lower(tax), F.lower(segment)).filter("_key % 3 = 0")
+    return crm.union(shop).union(web).drop("_key")
+
+
 def order_changes(orders: DataFrame) -> DataFrame:
     """Every tenth order changed: status ``X``, price + 1."""
     return orders.filter(F.col("o_orderkey") % 10 == 0).select(

@@ -347,6 +347,50 @@ from lines left join history on history.o_custkey = lines.o_custkey
 UPSERT_UNKEYED = "select * replace (case when o_orderkey % 20 <> 0 then o_orderkey end as o_orderkey) from orders"
 
 
+# All pairs of a nation by edit distance; Spark never lists them.
+MATCHED_ENTITIES = """
+with recursive base as (
+  select cast(c_custkey as bigint) as k, substr(md5(cast(c_custkey as varchar)), 1, 12) as code,
+         cast(c_custkey % 12 + 1 as int) as place, cast(c_nationkey as int) as nation, c_mktsegment as m,
+         case when c_custkey % 5 = 0 then 'DE-' || cast(c_custkey - c_custkey % 10 as varchar) end as tax
+  from customer
+),
+records as (
+  select k * 4 as record_id, 0 as trust, substr(code, 1, 6) || ' ' || upper(substr(code, 7, 6)) as name,
+         nation, tax as tax_no, case when k % 7 <> 0 then m end as segment from base
+  union all
+  select k * 4 + 1, 1, substr(code, 1, place - 1) || 'X' || substr(code, place + 1), nation, null,
+         case when k % 4 <> 0 then m end from base where k % 2 = 0
+  union all
+  select k * 4 + 2, 2, substr(code, 1, place - 1) || substr(code, place + 1), nation, lower(tax), lower(m)
+  from base where k % 3 = 0
+),
+compared as (
+  select record_id, nation, regexp_replace(lower(name), '[^a-z0-9]+', '', 'g') as name,
+         regexp_replace(lower(tax_no), '[^a-z0-9]+', '', 'g') as tax_no from records
+),
+links as (
+  select l.record_id as a, r.record_id as b from compared l join compared r
+    on l.nation = r.nation and l.record_id <> r.record_id
+   and abs(length(l.name) - length(r.name)) <= 1 and levenshtein(l.name, r.name) <= 1
+  union
+  select l.record_id, r.record_id from compared l join compared r on l.tax_no = r.tax_no and l.record_id <> r.record_id
+),
+reach as (
+  select record_id as a, record_id as b from records
+  union
+  select reach.a, links.b from reach join links on reach.b = links.a
+),
+entities as (select a as record_id, min(b) as entity_id from reach group by a)
+select entity_id, count(*) as record_count,
+       arg_min(name, (trust, record_id)) filter (where name is not null) as name,
+       arg_min(nation, (trust, record_id)) filter (where nation is not null) as nation,
+       arg_min(tax_no, (trust, record_id)) filter (where tax_no is not null) as tax_no,
+       arg_min(segment, (trust, record_id)) filter (where segment is not null) as segment
+from records join entities using (record_id)
+group by entity_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "pipeline_report": PIPELINE_REPORT,
     "extract_query": clean_query(EXTRACT_SQL),
@@ -380,6 +424,7 @@ ORACLE_SQL: dict[str, str] = {
     "content_check": CONTENT_CHECK,
     "report_deltas": REPORT_DELTAS,
     "surrogate_keys": SURROGATE_KEYS,
+    "matched_entities": MATCHED_ENTITIES,
     "dimension_history": DIMENSION_HISTORY,
     "fact_as_of": FACT_AS_OF,
 }

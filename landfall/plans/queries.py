@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from landfall.functions.casts import parse_as, parse_boolean, parse_int, parse_timestamp
 from landfall.operators.dedup import duplicate_groups, keep_latest
 from landfall.operators.diff import content_differences
+from landfall.operators.entities import MatchRule, match_entities, surviving_records
 from landfall.operators.history import as_of, close_and_open, validity
 from landfall.operators.staging import spread, to_text
 from landfall.plans import fixtures as fx
@@ -431,6 +432,16 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.groupBy("source", "o_custkey", "customer_sk").agg(F.count("*").alias("order_count"))
 
 
+CUSTOMER_MATCHES = (MatchRule(("nation",), "name"), MatchRule(("tax_no",)))
+
+
+def matched_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of three sources, one row for each: matched by name (one edit) in a nation or by tax number."""
+    records = fx.customers_of_sources(_t(spark, sf_dir, "customer"))
+    entities = match_entities(records, "record_id", CUSTOMER_MATCHES)
+    return surviving_records(records, entities, "record_id", "trust", ["name", "nation", "tax_no", "segment"])
+
+
 def _order_changes_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_orderkey")
 
@@ -515,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "content_check": content_check,
     "report_deltas": report_deltas,
     "surrogate_keys": surrogate_keys,
+    "matched_entities": matched_entities,
     "dimension_history": dimension_history,
     "fact_as_of": fact_as_of,
 }

@@ -1,0 +1,101 @@
+"""Entities of several sources against all pairs, components against a plain union-find."""
+
+import random
+
+from landfall.operators.components import components
+from landfall.operators.entities import MatchRule, match_entities, surviving_records
+
+
+def plain_components(nodes, links):
+    up = {n: n for n in nodes}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    return {n: top(n) for n in nodes}
+
+
+def one_edit(s, t):
+    if len(s) > len(t):
+        s, t = t, s
+    if len(t) - len(s) > 1:
+        return False
+    if len(s) == len(t):
+        return sum(a != b for a, b in zip(s, t)) <= 1
+    return any(t[:i] + t[i + 1 :] == s for i in range(len(t)))
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)]
+    links += [(rng.randint(1000, 1100), rng.randint(1000, 1100)) for _ in range(60)] + [(7, 7), (9, 8), (8, 9)]
+    df = spark.createDataFrame([*links, (None, 3)], "a bigint, b bigint")
+    real = [(a, b) for a, b in links if a != b]
+    want = plain_components({x for pair in real for x in pair}, real)
+    assert {r.node: r.component for r in components(df).collect()} == want
+    assert components(df.filter("a < 0")).count() == 0
+
+
+RECORDS = "id bigint, name string, land string, tax string"
+
+
+def expected(rows):
+    norm = lambda v: "".join(c for c in (v or "").lower() if c.isalnum()) or None
+    seen = {i: (norm(n), norm(c), norm(t)) for i, n, c, t in rows}
+    links = []
+    for a, (n, c, t) in seen.items():
+        for b, (m, d, u) in seen.items():
+            if (n and m and c and c == d and one_edit(n, m)) or (t and t == u):
+                links.append((a, b))
+    return plain_components(seen, links)
+
+
+RULES = [MatchRule(("land",), "name"), MatchRule(("tax",))]
+
+
+def test_entities_equal_those_of_all_pairs(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        name = "".join(rng.choice("abcdef") for _ in range(rng.randint(0, 5)))
+        rows.append((i, name.upper() if i % 3 else f" {name}-", rng.choice(["x", "Y", None, "y "]), f"T{i // 2}" if i % 40 < 2 else None))
+    df = spark.createDataFrame(rows, RECORDS)
+    got = {r.id: r.entity_id for r in match_entities(df, "id", RULES).collect()}
+    assert got == expected(rows)
+    assert len(set(got.values())) > 20
+
+
+def test_odd_records(spark):
+    rows = [
+        (1, "Ann Lee", "de", None), (2, "ann-lee", "DE", None), (3, "anne lee", "de", None), (4, "annelees", "de", None),
+        (5, "ann lee", None, None), (6, None, "de", "7"), (7, "", "de", "7 "), (8, " - ", "de", None), (9, "Ünal", "tr", ""),
+        (10, "ünl", "tr", None), (11, "b", "tr", None), (12, "c", "tr", None), (13, "b", "us", None),
+    ]
+    df = spark.createDataFrame([*rows, rows[0]], RECORDS).selectExpr("*", "1 as node", "2 as entity", "3 as a")
+    got = {r.id: r.entity_id for r in match_entities(df, "id", RULES).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6, 7: 6, 8: 8, 9: 9, 10: 9, 11: 11, 12: 11, 13: 13}
+    assert match_entities(df.filter("id < 0"), "id", RULES).count() == 0
+
+
+def test_a_third_of_all_rows_in_one_block(spark):
+    df = spark.range(3000).selectExpr(
+        "id", "case when id % 3 = 0 then 'same name' else concat('n', md5(string(id))) end as name", "'de' as land",
+        "cast(null as string) as tax",
+    )
+    got = match_entities(df, "id", RULES)
+    assert got.filter("id % 3 = 0 and entity_id = 0").count() == 1000
+    assert got.select("entity_id").distinct().count() == 2001
+
+
+def test_fields_survive_from_the_most_trusted_source_that_has_them(spark):
+    rows = [(1, 2, "low", None), (2, 1, None, "x"), (3, 3, "c", "y")]
+    df = spark.createDataFrame(rows, "id bigint, trust int, name string, land string")
+    entities = spark.createDataFrame([(1, 1), (2, 1), (3, 3)], "id bigint, entity_id bigint")
+    got = {r.entity_id: r for r in surviving_records(df, entities, "id", "trust", ["name", "land"]).collect()}
+    assert (got[1].record_count, got[1].name, got[1].land) == (2, "low", "x")
+    assert (got[3].record_count, got[3].name, got[3].land) == (1, "c", "y")
