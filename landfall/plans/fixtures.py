@@ -161,6 +161,14 @@ def orders_without_keys(orders: DataFrame) -> DataFrame:
     return orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 20 != 0, F.col("o_orderkey")))
 
 
+def arrivals(dimension: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A dimension in three loads: most rows, those of ``% 7 = 3``, those of ``% 11 = 5``; ``% 13 = 6`` never come."""
+    k = F.col(key)
+    there = dimension.filter(k % 13 != 6)
+    second, third = k % 7 == 3, k % 11 == 5
+    return there.filter(~second & ~third), there.filter(second & ~third), there.filter(third)
+
+
 def customers_of_sources(customer: DataFrame) -> DataFrame:
     """Customers as three sources know them: ``crm`` all, ``shop`` every second with a character of the name
     replaced, ``web`` every third with one left out; some share a tax number with the fifth customer after."""

@@ -347,6 +347,20 @@ from lines left join history on history.o_custkey = lines.o_custkey
 UPSERT_UNKEYED = "select * replace (case when o_orderkey % 20 <> 0 then o_orderkey end as o_orderkey) from orders"
 
 
+EARLY_FACTS = """
+with o as (select * from orders where o_orderkey % 13 <> 6),
+     c as (select * from customer where c_custkey % 13 <> 6),
+     p as (select * from part where p_partkey % 13 <> 6),
+     s as (select * from supplier where s_suppkey % 13 <> 6)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, o_custkey, o_orderdate, c_nationkey,
+       case when c_custkey is not null then p_brand end as p_brand,
+       case when c_custkey is not null and p_partkey is not null then s_nationkey end as s_nationkey,
+       case when o_orderkey is null then 'erp.orders' when c_custkey is null then 'erp.customer'
+            when p_partkey is null then 'erp.part' when s_suppkey is null then 'erp.supplier' end as missing
+from lineitem left join o on l_orderkey = o_orderkey left join c on o_custkey = c_custkey
+left join p on l_partkey = p_partkey left join s on l_suppkey = s_suppkey
+"""
+
 # All pairs of a nation by edit distance; Spark never lists them.
 MATCHED_ENTITIES = """
 with recursive base as (
@@ -416,6 +430,7 @@ ORACLE_SQL: dict[str, str] = {
     "dwh_fact": DWH_FACT,
     "dwh_report": DWH_REPORT,
     "fact_unmatched": FACT_UNMATCHED,
+    "early_facts": EARLY_FACTS,
     "orphan_rows": ORPHAN_ROWS,
     "upsert_latest": UPSERT_LATEST,
     "upsert_unkeyed": UPSERT_UNKEYED,

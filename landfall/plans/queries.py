@@ -21,6 +21,7 @@ from landfall.operators.entities import MatchRule, match_entities, surviving_rec
 from landfall.operators.history import as_of, close_and_open, validity
 from landfall.operators.staging import spread, to_text
 from landfall.plans import fixtures as fx
+from landfall.plans.early_facts import Side, load_lines, parked_lines, place_parked, placed_lines
 from landfall.plans.layers import (
     accepted,
     rejects,
@@ -399,6 +400,31 @@ def fact_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+LINE_SIDES = (
+    Side("erp.orders", "o_orderkey", "l_orderkey", ("o_custkey", "o_orderdate")),
+    Side("erp.customer", "c_custkey", "o_custkey", ("c_nationkey",)),
+    Side("erp.part", "p_partkey", "l_partkey", ("p_brand",)),
+    Side("erp.supplier", "s_suppkey", "l_suppkey", ("s_nationkey",)),
+)
+
+
+def early_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in two loads, their dimensions in three, some rows late, some never; every line with what it still misses."""
+    store, fact = _store(spark, "early_facts"), "dwh.lines"
+    arrivals = lambda side: fx.arrivals(_t(spark, sf_dir, side.table.split(".")[1]), side.key)
+    lines = _t(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    for arrival in range(3):
+        for side in LINE_SIDES:
+            store.append(arrivals(side)[arrival], side.table, layer="stg")
+        if store.exists(fact):
+            place_parked(store, fact, LINE_COLUMNS, LINE_SIDES)
+        if arrival < 2:
+            load_lines(store, fact, lines.filter(F.col("l_partkey") % 2 == arrival), LINE_SIDES)
+    placed = placed_lines(store, fact).withColumn("missing", F.lit(None).cast("string"))
+    return placed.unionByName(parked_lines(store, fact).withColumnRenamed("_missing", "missing"))
+
+
 def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept_orders = _t(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 50 != 0)
     return orphans(_t(spark, sf_dir, "lineitem"), kept_orders, "l_orderkey", "o_orderkey")
@@ -520,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "dwh_fact": dwh_fact,
     "dwh_report": dwh_report,
     "fact_unmatched": fact_unmatched,
+    "early_facts": early_facts,
     "orphan_rows": orphan_rows,
     "upsert_latest": upsert_latest,
     "upsert_unkeyed": upsert_unkeyed,
