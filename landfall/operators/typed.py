@@ -81,6 +81,34 @@ def apply_types(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     return parsed.select(*df.columns, rejects.alias(REJECTS)).withColumn(REJECTED, F.size(F.col(REJECTS)) > 0)
 
 
+def repair_types(rejected: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
+    """Rejected rows of :func:`apply_types` read again under other ``specs``, from the raw text that they keep.
+
+    Only values that were bad are parsed; the others stay as they were typed.
+    The types have to be those of before, so that the rows fit the accepted ones.
+    """
+    entries = []
+    out = {c: F.col(c) for c in rejected.columns if c not in (REJECTS, REJECTED)}
+    raw_of = {}
+    for spec in specs:
+        place = F.array_position(F.col(f"{REJECTS}.column_name"), spec.name)
+        raw_of[spec.name] = F.when(place > 0, F.get(F.col(f"{REJECTS}.raw_value"), (place - 1).cast("int")))
+        out[spec.name] = F.when(place > 0, parse_as(raw_of[spec.name], spec.type, spec.formats)).otherwise(F.col(spec.name))
+    parsed = rejected.select(
+        *[c.alias(n) for n, c in out.items()],
+        *[raw_of[s.name].alias(f"__raw_{s.name}") for s in specs],
+        F.col(f"{REJECTS}.column_name").alias("__bad"),
+    )
+    changed = [n for n in out if parsed.schema[n].dataType != rejected.schema[n].dataType]
+    if changed:
+        raise ValueError(f"a rule that changes types needs a full run: {changed}")
+    none = F.array().cast(f"array<{REJECT_ENTRY}>")
+    for spec in specs:
+        again = _entry(spec, F.col(f"__raw_{spec.name}"), F.col(spec.name))
+        entries.append(F.when(F.array_contains("__bad", spec.name), again).otherwise(none))
+    return parsed.select(*out, F.concat(none, *entries).alias(REJECTS)).withColumn(REJECTED, F.size(REJECTS) > 0)
+
+
 def accepted_rows(typed: DataFrame) -> DataFrame:
     return typed.filter(~F.col(REJECTED)).drop(REJECTS, REJECTED)
 

@@ -28,10 +28,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.tables.store import LoadResult, TableStore, new_load_id
+from landfall.tables.store import LoadResult, TableStore
 
 STATE = "_state"
-PARKED = "parked"
+PARKED, PLACED = "parked", "placed"
 MISSING = "_missing"
 
 
@@ -45,7 +45,7 @@ class Side:
     adds: tuple[str, ...] = ()
 
 
-def _joined(lines: DataFrame, sides: Sequence[Side], tables: Mapping[str, DataFrame], placed_as: str) -> DataFrame:
+def _joined(lines: DataFrame, sides: Sequence[Side], tables: Mapping[str, DataFrame]) -> DataFrame:
     """``lines`` with what the sides add, the first side they miss and their state."""
     out, missing = lines, F.lit(None).cast("string")
     for side in sides:
@@ -55,7 +55,7 @@ def _joined(lines: DataFrame, sides: Sequence[Side], tables: Mapping[str, DataFr
         out = out.join(rows, side.refers, "left")
     for side in reversed(sides):
         missing = F.when(F.col(f"`_{side.table}`").isNull(), side.table).otherwise(missing)
-    state = F.when(F.col(MISSING).isNull(), F.lit(placed_as)).otherwise(F.lit(PARKED))
+    state = F.when(F.col(MISSING).isNull(), F.lit(PLACED)).otherwise(F.lit(PARKED))
     adds, found = [], F.lit(True)
     for side in sides:  # what lies behind the first missing side is left open until the line is tried again
         found = found & F.col(f"`_{side.table}`").isNotNull()
@@ -63,17 +63,13 @@ def _joined(lines: DataFrame, sides: Sequence[Side], tables: Mapping[str, DataFr
     return out.select(*lines.columns, *adds, missing.alias(MISSING)).withColumn(STATE, state)
 
 
-def _placed_as() -> str:
-    return f"placed {new_load_id()}"  # a partition of its own: a version that replaces others must not hide it
-
-
 def load_lines(store: TableStore, fact: str, lines: DataFrame, sides: Sequence[Side], *, layer: str = "dwh") -> LoadResult:
     """Append ``lines``: placed where every side has their row, parked where not."""
     first = not store.exists(fact)
     seen = {s.table: store.visible_load_ids(s.table)[-1] for s in sides} if first else None
     tables = {s.table: store.read(s.table) for s in sides}
     return store.publish(
-        lambda: _joined(lines, sides, tables, _placed_as()),
+        lambda: _joined(lines, sides, tables),
         fact,
         "append",
         layer=layer,
@@ -124,11 +120,10 @@ def place_parked(
     note = {**store.consumed(fact), **{t: ids[-1] for t, ids in new_ids.items()}}
     tables = {t: store.read_versions(t, [i for i in ids if i <= note[t]]) for t, ids in visible.items()}
     new_rows = {t: store.read_versions(t, ids) for t, ids in new_ids.items()}
-    parked, placed_as = parked_lines(store, fact), _placed_as()
-    hit, rest = came_since(parked, sides, new_rows)
+    hit, rest = came_since(parked_lines(store, fact), sides, new_rows)
 
     def both() -> DataFrame:
-        again = _joined(hit.select(*line_columns), sides, tables, placed_as)
+        again = _joined(hit.select(*line_columns), sides, tables)
         return again.unionByName(rest.withColumn(STATE, F.lit(PARKED)).select(*again.columns))
 
     return store.publish(
@@ -138,7 +133,8 @@ def place_parked(
         layer=layer,
         partition_by=[STATE],
         gather=False,
-        replaces=[PARKED, placed_as],
+        replaces=[PARKED],
+        adds=[PLACED],
         consumed=note,
         observe={"parked": F.sum(F.when(F.col(STATE) == PARKED, 1).otherwise(0))},
     )

@@ -6,6 +6,8 @@ SQL, so both engines see the same dirty text, sources and change sets.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +103,22 @@ def dirty_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*cols)
 
 
+#: The lines' rule once a third date format is known.
+REPAIRED_RULE = replace(
+    LINEITEM_RULE,
+    specs=tuple(
+        replace(s, formats=(*s.formats, "MM/dd/yyyy")) if s.name == "l_shipdate" else s for s in LINEITEM_RULE.specs
+    ),
+)
+
+
+def lines_with_slashed_dates(dirty: DataFrame) -> DataFrame:
+    """Dirty lines, the dates of every fifth order (``% 5 = 2``) written as month/day/year."""
+    slashed = F.date_format(F.col("l_shipdate").try_cast("timestamp_ntz"), "MM/dd/yyyy")
+    changed = F.when(F.col("l_orderkey").cast("bigint") % 5 == 2, F.coalesce(slashed, "l_shipdate"))
+    return dirty.withColumn("l_shipdate", F.coalesce(changed, "l_shipdate"))
+
+
 def load_of_line() -> F.Column:
     """The load (0 to 2) that a dirty line comes with: by its supplier, so that lines of one key come with several."""
     return F.col("l_suppkey").cast("bigint") % 3

@@ -18,12 +18,18 @@ consumed, job 2 the typed versions that the transformed table has not
 consumed, merged by key. Each notes in the audit row of its own version what it
 took in, so a run that fails between the two goes on where it stopped, and no
 version is taken in twice.
+
+When a rule is changed to accept more, :func:`repair_rejects` reads the rejects
+alone and types their bad values again from the raw text that they keep. One
+version replaces the rejects and adds the rows that are good now, which the
+merge takes in like any other increment.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +42,7 @@ from landfall.operators.typed import (
     accepted_rows,
     apply_types,
     reject_entries,
+    repair_types,
 )
 from landfall.plans.steps import Step, run_steps
 from landfall.sources.catalog import Extract, Source, stage_catalog, staging_table
@@ -54,6 +61,14 @@ class TableRule:
     partition: str | None = None
 
 
+#: Beside the tables taken in, the typed table notes the rule that all its rejects have met.
+RULE_NOTE = "#rule"
+
+
+def rule_version(rule: TableRule) -> str:
+    return sha256(repr(rule.specs).encode()).hexdigest()[:16]
+
+
 def typed_table(source: str, table: str) -> str:
     return f"{source}_tf.{table}__typed"
 
@@ -64,6 +79,9 @@ def transformed_table(source: str, table: str) -> str:
 
 def _typed_load(store: TableStore, source: str, rule: TableRule, staged: DataFrame, mode: str, upto: str) -> LoadResult:
     typed = apply_types(staged, rule.specs)
+    note = {staging_table(source, rule.table): upto}
+    if mode == "refresh":  # rejects of earlier increments have not met this rule
+        note[RULE_NOTE] = rule_version(rule)
     return store.publish(
         typed,
         typed_table(source, rule.table),
@@ -76,7 +94,7 @@ def _typed_load(store: TableStore, source: str, rule: TableRule, staged: DataFra
             "rows_rejected": F.sum(F.col(REJECTED).cast("long")),
             "reject_entries": F.sum(F.size(REJECTS).cast("long")),
         },
-        consumed={staging_table(source, rule.table): upto},
+        consumed=note,
     )
 
 
@@ -117,6 +135,36 @@ def rejects(store: TableStore, source: str, rule: TableRule) -> DataFrame:
     return reject_entries(_side(store, source, rule.table, True), rule.keys)
 
 
+def repair_rejects(store: TableStore, source: str, rule: TableRule) -> LoadResult | None:
+    """Type the rejects again under a changed ``rule``; None if all of them have met it.
+
+    Neither staged text nor accepted rows are read. ``rows_read`` are the rejects
+    of before, ``rows_rejected`` those that stay, so what was repaired is the
+    difference. For rules that accept more than before: accepted rows keep their
+    values. :func:`merge_increment` takes the repaired rows in.
+    """
+    table = typed_table(source, rule.table)
+    if store.consumed(table).get(RULE_NOTE) == rule_version(rule):
+        return None
+    bad = _side(store, source, rule.table, True)
+    return store.publish(
+        lambda: repair_types(bad, rule.specs),
+        table,
+        "replace_partitions",
+        source=source,
+        layer="tf",
+        partition_by=[REJECTED],
+        gather=False,
+        replaces=["true"],
+        adds=["false"],
+        observe={
+            "rows_rejected": F.coalesce(F.sum(F.col(REJECTED).cast("long")), F.lit(0)),
+            "reject_entries": F.coalesce(F.sum(F.size(REJECTS).cast("long")), F.lit(0)),
+        },
+        consumed={RULE_NOTE: rule_version(rule)},
+    )
+
+
 def dedup_table(store: TableStore, source: str, rule: TableRule, typed: LoadResult) -> LoadResult:
     """Latest row per key of the accepted rows.
 

@@ -48,6 +48,8 @@ def _parse(raw: str, type_name: str, formats: tuple[str, ...]) -> str:
                 parts.append(f"try_cast({text} as timestamp)")
             elif f == "dd.MM.yyyy":
                 parts.append(f"try_strptime({text}, '%d.%m.%Y')")
+            elif f == "MM/dd/yyyy":
+                parts.append(f"try_strptime({text}, '%m/%d/%Y')")
             else:
                 raise ValueError(f)
         return f"coalesce({', '.join(parts)})" if len(parts) > 1 else parts[0]
@@ -277,6 +279,18 @@ acc as (select {', '.join(LINEITEM_COLUMNS)} from typed where not rejected)
 {_latest_lines('acc', money=False)}
 """
 
+REPAIRED_REJECTS = f"""
+with {_dirty_cte()},
+slashed as (
+  select * replace (case when cast(l_orderkey as bigint) % 5 = 2
+                         then coalesce(strftime(try_cast(l_shipdate as timestamp), '%m/%d/%Y'), l_shipdate)
+                         else l_shipdate end as l_shipdate) from dirty
+),
+{_typed_ctes(fx.REPAIRED_RULE, "slashed")},
+acc as (select {', '.join(LINEITEM_COLUMNS)} from typed where not rejected)
+{_latest_lines('acc', money=False)}
+"""
+
 SNAPSHOT_DIFF = """
 with before as (select * from orders where o_orderkey % 997 <> 1),
 after as (select * replace (case when o_orderkey % 983 = 3 then 'X' else o_orderstatus end as o_orderstatus,
@@ -435,6 +449,7 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_latest": UPSERT_LATEST,
     "upsert_unkeyed": UPSERT_UNKEYED,
     "incremental_transform": INCREMENTAL_TRANSFORM,
+    "repaired_rejects": REPAIRED_REJECTS,
     "snapshot_diff": SNAPSHOT_DIFF,
     "content_check": CONTENT_CHECK,
     "report_deltas": REPORT_DELTAS,

@@ -24,7 +24,9 @@ from landfall.plans import fixtures as fx
 from landfall.plans.early_facts import Side, load_lines, parked_lines, place_parked, placed_lines
 from landfall.plans.layers import (
     accepted,
+    merge_increment,
     rejects,
+    repair_rejects,
     run_pipeline,
     transform_increment,
     transform_source,
@@ -274,6 +276,18 @@ def incremental_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(transformed_table("dirty", "lineitem"))
 
 
+def repaired_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines staged in two loads; between them the rule learns a date format and the rejects are typed again."""
+    store = _store(spark, "repaired_rejects")
+    dirty = fx.lines_with_slashed_dates(_dirty(spark, sf_dir)).withColumn("_load", fx.load_of_line())
+    for rule, load in ((fx.LINEITEM_RULE, "_load < 2"), (fx.REPAIRED_RULE, "_load = 2")):
+        store.append(dirty.filter(load).drop("_load"), staging_table("dirty", "lineitem"), source="dirty", layer="stg")
+        transform_increment(store, "dirty", rule)
+    repair_rejects(store, "dirty", fx.REPAIRED_RULE)
+    merge_increment(store, "dirty", fx.REPAIRED_RULE)
+    return store.read(transformed_table("dirty", "lineitem"))
+
+
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_t(spark, sf_dir, "documents"), "text", "doc_id")
 
@@ -538,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "typed_accepted": typed_accepted,
     "reject_rows": reject_rows,
     "incremental_transform": incremental_transform,
+    "repaired_rejects": repaired_rejects,
     "dedup_exact": dedup_exact,
     "dedup_latest": dedup_latest,
     "reconcile": reconcile,

@@ -10,7 +10,8 @@ for readers; the previous version stays readable. Row counts come from an
 
 A table written with one partition column can also take ``replace_partitions``
 versions: they hold only the partitions a change set touched, and hide those
-partitions in every earlier visible version. An upsert then rewrites only the
+partitions in every earlier visible version. Rows of partitions that they add to
+(``adds``) stand beside those of earlier versions. An upsert then rewrites only the
 touched partitions instead of the whole table.
 
 A load that is made from the versions of another table can note the newest of
@@ -112,6 +113,7 @@ class TableStore:
         high_water: str | None = None,
         consumed: Mapping[str, str] | None = None,
         replaces: Sequence | None = None,
+        adds: Sequence = (),
         comment: str = OK_COMMENT,
         raise_on_error: bool = True,
     ) -> LoadResult:
@@ -139,7 +141,7 @@ class TableStore:
         partitions = None
         try:
             vis = self._visible(table) if mode in ("append", "replace_partitions") else []
-            partition_by, partitions = self._layout(table, mode, partition_by, replaces, vis)
+            partition_by, partitions = self._layout(table, mode, partition_by, replaces, vis, adds)
             df = data() if callable(data) else data
             if mode == "append" and vis:
                 self._check_append_schema(table, df, vis)
@@ -192,7 +194,7 @@ class TableStore:
             raise ValueError(f"append to {table}: columns {got} do not match the table's {want}")
 
     def _layout(
-        self, table: str, mode: str, partition_by: Sequence[str], replaces, vis: list
+        self, table: str, mode: str, partition_by: Sequence[str], replaces, vis: list, adds: Sequence = ()
     ) -> tuple[list[str], str | None]:
         """Partition columns for this version and the audit's ``partitions`` text."""
         partition_by = list(partition_by)
@@ -205,7 +207,7 @@ class TableStore:
         if mode == "replace_partitions":
             if len(partition_by) != 1 or replaces is None:
                 raise ValueError("replace_partitions needs one partition column and the replaced values")
-            info = {"columns": partition_by, "column": partition_by[0], "values": list(replaces)}
+            info = {"columns": partition_by, "column": partition_by[0], "values": list(replaces), "adds": list(adds)}
             return partition_by, json.dumps(info, default=str)
         if partition_by:
             info = {"columns": partition_by}
@@ -353,10 +355,11 @@ class TableStore:
             here = F.col("load_id") == load_id
             if mode == "replace_partitions":
                 own = [v for v in info["values"] if v not in replaced]
+                held = own + [v for v in info.get("adds", []) if v not in replaced]
                 replaced.update(own)
-                if not own:
+                if not held:
                     continue
-                here &= partition_in(column, own)
+                here &= partition_in(column, held)
             elif replaced:
                 here &= ~partition_in(column, list(replaced))
             live.append(load_id)
