@@ -103,6 +103,9 @@ def dirty_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*cols)
 
 
+# Date formats that a profile looks for.
+PROFILE_FORMATS = ("iso", "dd.MM.yyyy", "MM/dd/yyyy")
+
 #: The lines' rule once a third date format is known.
 REPAIRED_RULE = replace(
     LINEITEM_RULE,

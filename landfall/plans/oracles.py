@@ -279,18 +279,55 @@ acc as (select {', '.join(LINEITEM_COLUMNS)} from typed where not rejected)
 {_latest_lines('acc', money=False)}
 """
 
-REPAIRED_REJECTS = f"""
-with {_dirty_cte()},
+_SLASHED_CTE = f"""{_dirty_cte()},
 slashed as (
   select * replace (case when cast(l_orderkey as bigint) % 5 = 2
                          then coalesce(strftime(try_cast(l_shipdate as timestamp), '%m/%d/%Y'), l_shipdate)
                          else l_shipdate end as l_shipdate) from dirty
-),
+)"""
+
+REPAIRED_REJECTS = f"""
+with {_SLASHED_CTE},
 {_typed_ctes(fx.REPAIRED_RULE, "slashed")},
 acc as (select {', '.join(LINEITEM_COLUMNS)} from typed where not rejected)
 {_latest_lines('acc', money=False)}
 """
 
+def _profile_of(c: str) -> str:
+    text = f"trim({c})"
+    iso = f"(regexp_matches({text}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') and try_cast({text} as timestamp) is not null)"
+    dotted, slashed = (f"try_strptime({text}, '{f}') is not null" for f in ("%d.%m.%Y", "%m/%d/%Y"))
+    number = "'^[+-]?([0-9]+)([.]([0-9]+))?$'"
+    whole = f"regexp_replace(regexp_extract({text}, {number}, 1), '^0+', '')"
+    return f"""
+select '{c}' as column_name, count(*) as row_count, count(*) filter (where {_blank(c)}) as blanks,
+       count({_parse(c, 'int', ())}) as ints, count({_parse(c, 'bigint', ())}) as bigints,
+       count(*) filter (where regexp_matches({text}, {number})) as decimals,
+       count(*) filter (where regexp_matches({text}, '^[+-]?0[0-9]')) as led_by_zero,
+       count(*) filter (where lower({text}) in ({_words((*TRUE_WORDS, *FALSE_WORDS))})) as booleans,
+       count(*) filter (where {iso} or {dotted} or {slashed}) as timestamps,
+       coalesce(max(length({whole})) filter (where regexp_matches({text}, {number})), 0) as whole_digits,
+       coalesce(max(length(regexp_extract({text}, {number}, 3))) filter (where regexp_matches({text}, {number})), 0) as scale,
+       coalesce(max(length({c})), 0) as longest,
+       count(*) filter (where {iso}) as format_0, count(*) filter (where {dotted}) as format_1,
+       count(*) filter (where {slashed}) as format_2
+from slashed"""
+
+
+TYPE_PROFILE = f"""
+with {_SLASHED_CTE},
+states as ({" union all ".join(_profile_of(c) for c in LINEITEM_COLUMNS)})
+select *, case when row_count = blanks then 'string'
+               when ints = row_count - blanks and led_by_zero = 0 then 'int'
+               when bigints = row_count - blanks and led_by_zero = 0 then 'bigint'
+               when decimals = row_count - blanks and not (scale = 0 and led_by_zero > 0)
+                    and greatest(whole_digits, 1) + scale <= 38
+               then 'decimal(' || (greatest(whole_digits, 1) + scale) || ',' || scale || ')'
+               when booleans = row_count - blanks then 'boolean'
+               when timestamps = row_count - blanks then 'timestamp' else 'string' end as proposed
+from states
+"""
+
 SNAPSHOT_DIFF = """
 with before as (select * from orders where o_orderkey % 997 <> 1),
 after as (select * replace (case when o_orderkey % 983 = 3 then 'X' else o_orderstatus end as o_orderstatus,
@@ -450,6 +487,7 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_unkeyed": UPSERT_UNKEYED,
     "incremental_transform": INCREMENTAL_TRANSFORM,
     "repaired_rejects": REPAIRED_REJECTS,
+    "type_profile": TYPE_PROFILE,
     "snapshot_diff": SNAPSHOT_DIFF,
     "content_check": CONTENT_CHECK,
     "report_deltas": REPORT_DELTAS,

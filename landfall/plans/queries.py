@@ -19,6 +19,7 @@ from landfall.operators.dedup import duplicate_groups, keep_latest
 from landfall.operators.diff import content_differences
 from landfall.operators.entities import MatchRule, match_entities, surviving_records
 from landfall.operators.history import as_of, close_and_open, validity
+from landfall.operators.profile import merge_profiles, profile_text, proposed_type
 from landfall.operators.staging import spread, to_text
 from landfall.plans import fixtures as fx
 from landfall.plans.early_facts import Side, load_lines, parked_lines, place_parked, placed_lines
@@ -288,6 +289,16 @@ def repaired_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(transformed_table("dirty", "lineitem"))
 
 
+def type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty lines profiled in three parts, merged, with the type each column fits."""
+    dirty = fx.lines_with_slashed_dates(_dirty(spark, sf_dir))
+    parts = [profile_text(dirty.filter(fx.load_of_line() == load), fx.PROFILE_FORMATS) for load in range(3)]
+    merged = merge_profiles(parts[2].union(parts[0]).union(parts[1]), fx.PROFILE_FORMATS)
+    return merged.withColumn("proposed", proposed_type()).select(
+        "*", *[F.get("by_format", F.lit(i)).alias(f"format_{i}") for i in range(len(fx.PROFILE_FORMATS))]
+    ).drop("by_format")
+
+
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_t(spark, sf_dir, "documents"), "text", "doc_id")
 
@@ -553,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "reject_rows": reject_rows,
     "incremental_transform": incremental_transform,
     "repaired_rejects": repaired_rejects,
+    "type_profile": type_profile,
     "dedup_exact": dedup_exact,
     "dedup_latest": dedup_latest,
     "reconcile": reconcile,
