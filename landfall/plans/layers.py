@@ -144,7 +144,7 @@ def repair_rejects(store: TableStore, source: str, rule: TableRule) -> LoadResul
     values. :func:`merge_increment` takes the repaired rows in.
     """
     table = typed_table(source, rule.table)
-    if store.consumed(table).get(RULE_NOTE) == rule_version(rule):
+    if store.notes(table).get(RULE_NOTE) == rule_version(rule):
         return None
     bad = _side(store, source, rule.table, True)
     return store.publish(

@@ -379,6 +379,10 @@ class TableStore:
     # -- versions as a queue -------------------------------------------
     def consumed(self, table: str) -> dict[str, str]:
         """Of each table that loads of ``table`` were made from, the newest version taken in."""
+        return {name: value for name, value in self.notes(table).items() if not name.startswith("#")}
+
+    def notes(self, table: str) -> dict[str, str]:
+        """All that loads of ``table`` noted: versions taken in, and notes of their own (``#name``)."""
         rows = self._recent_ok_rows(table)
         start = max((r["load_id"] for r in rows if r["mode"] in FULL_MODES), default="")
         out: dict[str, str] = {}
@@ -429,7 +433,7 @@ class TableStore:
     def compact(self, table: str, **kw) -> LoadResult:
         """Fold the visible versions (a refresh plus many appends) into one refresh; layout and marks stay."""
         current = self.read(table)
-        kw.setdefault("consumed", {**self.consumed(table), table: self.visible_load_ids(table)[-1]})
+        kw.setdefault("consumed", {**self.notes(table), table: self.visible_load_ids(table)[-1]})
         kw.setdefault("partition_by", self.partition_columns(table) or [])
         kw.setdefault("high_water", self.high_water(table))
         return self.publish(current, table, "refresh", comment="compaction", **kw)
@@ -468,7 +472,7 @@ class TableStore:
         changes = self.spark.read.schema(changes.schema).parquet(path)
         if "high_water" not in (kw.get("observe") or {}):
             kw.setdefault("high_water", self.high_water(table))
-        kw["consumed"] = {**self.consumed(table), **(kw.get("consumed") or {})}
+        kw["consumed"] = {**self.notes(table), **(kw.get("consumed") or {})}
         current = self.read(table)
         if partition_column and self.partition_column(table) == partition_column:
             value = F.col(partition_column).cast("string")
