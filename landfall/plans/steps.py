@@ -7,22 +7,30 @@ failure or a lost executor never recomputes earlier steps.
 
 On a failing step its audit row gets status 0, earlier steps stay published,
 and later steps do not run (the exception is re-raised as :class:`StepFailed`).
+A step whose name is that of a view that no step made (a source's table) leaves
+that view alone; it is then found as ``<prefix>_<step>`` (``erp_a_tf_orders``), as
+every step is. If a later step uses the bare name, which of the two it means is
+not known, and the step fails before it writes anything.
 """
 
 from __future__ import annotations
 
 import logging
 import os
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from landfall.sources.jdbc import clean_query
 from landfall.tables.store import LoadResult, TableStore
 
 log = logging.getLogger(__name__)
 
+#: (application, view) of the views that steps made; a step may replace these.
+_step_views: set[tuple[str, str]] = set()
+
 
 @dataclass(frozen=True)
 class Step:
@@ -64,14 +72,30 @@ def run_steps(
     prefix: str = "",
 ) -> list[LoadResult]:
     done: list[LoadResult] = []
-    for step in steps:
-        table = f"{prefix}{step.name}"
+    steps = list(steps)
+    for i, step in enumerate(steps):
+        table, name = f"{prefix}{step.name}", view_name(step.name)
+        taken = (spark.sparkContext.applicationId, name) not in _step_views and spark.catalog.tableExists(name)
+        users = [s.name for s in steps[i + 1 :] if taken and uses(s, name)]
+
+        def rows(step: Step = step, name: str = name, users: Sequence[str] = users) -> DataFrame:
+            if users:
+                raise ValueError(f"{name!r} is a view already, and {users} use the name: rename the step")
+            return spark.sql(clean_query(step.sql))
+
         try:
-            result = store.publish(
-                lambda s=step: spark.sql(clean_query(s.sql)), table, "refresh", layer=layer, source=source
-            )
+            result = store.publish(rows, table, "refresh", layer=layer, source=source)
         except Exception as exc:
             raise StepFailed(step.name, done, exc) from exc
-        store.read(table).createOrReplaceTempView(view_name(step.name))
+        published = store.read(table)
+        published.createOrReplaceTempView(view_name(table))
+        if not taken:
+            published.createOrReplaceTempView(name)
+            _step_views.add((spark.sparkContext.applicationId, name))
         done.append(result)
     return done
+
+
+def uses(step: Step, name: str) -> bool:
+    """Whether a step's text has the bare name as a word."""
+    return re.search(rf"(?<![\w.`]){re.escape(name)}(?!\w)", step.sql, re.IGNORECASE) is not None

@@ -38,3 +38,21 @@ def test_steps_from_dir_sorted_and_semicolon(tmp_path, spark, store):
 
 def test_empty_dir_gives_no_steps(tmp_path):
     assert steps_from_dir(str(tmp_path)) == []
+
+
+def test_a_step_never_hides_a_view_it_did_not_make(spark, store):
+    spark.range(3).createOrReplaceTempView("bought")
+    steps = [Step("first", "select 1 as n"), Step("bought", "select 2 as n"), Step("after", "select * from Bought")]
+    with pytest.raises(StepFailed, match="rename the step") as err:
+        run_steps(spark, store, steps, prefix="x.")
+    assert [r.table for r in err.value.done] == ["x.first"] and not store.exists("x.bought")
+    run_steps(spark, store, [*steps[:2], Step("after", "select * from x_bought")], prefix="x.")
+    assert spark.table("bought").count() == 3 and store.read("x.after").first().n == 2
+    run_steps(spark, store, steps[:1])
+    run_steps(spark, store, steps[:1])  # a step's own view of before may be replaced
+
+
+def test_an_empty_step_is_logged_as_failed(spark, store):
+    with pytest.raises(StepFailed):
+        run_steps(spark, store, [Step("empty_step", " ; ")])
+    assert [r["status"] for r in store.audit("empty_step").collect()] == [0]
