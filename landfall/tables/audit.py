@@ -7,6 +7,11 @@ last version of other tables that the load has taken in). Rows are appended as o
 each, under a folder per table and month
 (``<audit>/<table>/<YYYYMM>/<load_id>-s<status>``), so concurrent loads never
 share an output folder and a table's readers list only its own recent loads.
+
+Past months can be folded (:func:`fold_audit`): a copy of a month's rows in one
+file beside the log, named by their number. Readers take it as long as the month
+has that many entries, so a row that comes late is never missed: it only makes
+them read the entries themselves until the month is folded again.
 """
 
 from __future__ import annotations
@@ -14,7 +19,6 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,30 +128,58 @@ def append_audit(spark: SparkSession, path: str, row: Row) -> None:
 def read_audit(
     spark: SparkSession, path: str, table: str | None = None, month: str | None = None
 ) -> DataFrame:
-    """The whole log, the rows of one ``table``, or of one table and ``month``."""
-    if table is None:
-        pattern = f"{path}/*/*/*"
-    elif month is None:
-        pattern = f"{path}/{table}/*/*"
-    else:
-        pattern = f"{path}/{table}/{month}/*"
-    try:
-        df = spark.read.schema(AUDIT_SCHEMA).parquet(pattern)
-    except AnalysisException as exc:  # nothing logged (in that month) yet
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], AUDIT_SCHEMA)
-        raise
+    """The whole log, the rows of one ``table``, or of one table and ``month``; folded months from their one file."""
+    paths = []
+    for name in _children(spark, path) if table is None else [table]:
+        for m in logged_months(spark, path, name) if month is None else [month]:
+            entries = len(_children(spark, f"{path}/{name}/{m}"))
+            fold = _fold_path(path, name, m, entries)
+            if entries:
+                paths.append(fold if _children(spark, fold, "_SUCCESS") else f"{path}/{name}/{m}/*")
+    if not paths:  # nothing logged (in that month) yet
+        return spark.createDataFrame([], AUDIT_SCHEMA)
+    df = spark.read.schema(AUDIT_SCHEMA).parquet(*paths)
     return df if table is None else df.filter(F.col("table_name") == table)
 
 
-def logged_months(spark: SparkSession, path: str, table: str) -> list[str]:
-    """The months in which ``table`` has log rows, newest first (one folder per month, whatever the clock says)."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{table}")
+def _children(spark: SparkSession, path: str, only: str | None = None) -> list[str]:
+    """Names below a folder (those named ``only``); none if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         return []
     names = [f.getPath().getName() for f in fs.listStatus(folder)]
-    return sorted((n for n in names if n.isdigit()), reverse=True)
+    return [n for n in names if only is None or n == only]
+
+
+def logged_months(spark: SparkSession, path: str, table: str) -> list[str]:
+    """The months in which ``table`` has log rows, newest first (one folder per month, whatever the clock says)."""
+    return sorted((n for n in _children(spark, f"{path}/{table}") if n.isdigit()), reverse=True)
+
+
+def _fold_path(path: str, table: str, month: str, entries: int) -> str:
+    return f"{path}_folded/{table}/{month}/of-{entries}"
+
+
+def fold_audit(spark: SparkSession, path: str, table: str, before: str) -> list[str]:
+    """Copy each month of ``table``'s log before the month ``before`` into one file; the months folded now.
+
+    A month with an entry that is not committed (yet) is left as it is. The log
+    itself stays, nothing is deleted. A fold that a lost driver left unfinished
+    has no success mark: readers pass it over and the next call writes it again.
+    """
+    folded = []
+    for month in logged_months(spark, path, table):
+        entries = len(_children(spark, f"{path}/{table}/{month}"))
+        target = _fold_path(path, table, month, entries)
+        if month >= before or not entries or _children(spark, target, "_SUCCESS"):
+            continue
+        rows = spark.read.schema(AUDIT_SCHEMA).parquet(f"{path}/{table}/{month}/*")
+        if rows.count() != entries:
+            continue
+        rows.coalesce(1).write.mode("overwrite").parquet(target)
+        folded.append(month)
+    return folded
 
 
 def reconcile(audit: DataFrame) -> DataFrame:

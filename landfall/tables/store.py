@@ -41,7 +41,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from landfall.operators.dedup import keep_latest
 from landfall.operators.upsert import merge_latest
 from landfall.session import scratch_dir
-from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, logged_months, read_audit
+from landfall.tables.audit import STATUS_FAILED, STATUS_OK, append_audit, audit_row, fold_audit, logged_months, month_of, read_audit
 
 # The load log's comment for a successful load, and the prefix
 # of a failed load's comment (followed by the error and its traceback).
@@ -96,6 +96,10 @@ class TableStore:
     def audit(self, table: str | None = None) -> DataFrame:
         return read_audit(self.spark, self.audit_path, table)
 
+    def fold_log(self, table: str) -> list[str]:
+        """Fold the past months of ``table``'s log, so that a read of it opens one file a month."""
+        return fold_audit(self.spark, self.audit_path, table, month_of(new_load_id()))
+
     # -- writing -------------------------------------------------------
     def publish(
         self,
