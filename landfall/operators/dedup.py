@@ -36,7 +36,8 @@ def order_spec(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list
         named.add(name)
         cols.append(F.col(name).desc_nulls_last() if o.startswith("-") else F.col(name).asc_nulls_last())
     rest = [c for c in df.columns if c not in keys and c not in named]
-    return cols + [F.col(c).asc_nulls_last() for c in rest]
+    cols += [F.col(c).asc_nulls_last() for c in rest]
+    return cols or [F.col(keys[0])]  # a table of keys alone: rows of one key are equal
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

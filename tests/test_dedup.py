@@ -44,3 +44,9 @@ def test_drop_exact(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
     assert drop_exact(df).count() == 2
     assert drop_exact(drop_exact(df)).count() == 2
+
+
+def test_keep_latest_of_a_table_of_keys_alone(spark):
+    df = spark.sql("select * from values (1, 2), (1, 2), (1, 3), (null, 3), (null, 3) as t(a, b)")
+    got = sorted(map(tuple, keep_latest(df, ["a", "b"], []).collect()), key=str)
+    assert got == [(1, 2), (1, 3), (None, 3), (None, 3)]
