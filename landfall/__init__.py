@@ -24,9 +24,9 @@ from landfall.plans.layers import TableRule, run_layer, run_pipeline
 from landfall.plans.steps import Step, run_steps, steps_from_dir
 from landfall.sources.catalog import Extract, catalog_from_dir, stage_catalog
 from landfall.sources.incremental import load_increment
-from landfall.sources.jdbc import JdbcPartitioning, JdbcSource, load_table
+from landfall.sources.jdbc import JdbcPartitioning, JdbcSource, load_table, load_table_once
 from landfall.sources.lake import ParquetSource
-from landfall.streaming.landing import load_landed_files
+from landfall.streaming.landing import Landing, load_landed_files
 from landfall.tables.audit import AUDIT_SCHEMA, reconcile
 from landfall.tables.store import LoadResult, TableStore
 
@@ -36,6 +36,7 @@ __all__ = [
     "Extract",
     "JdbcPartitioning",
     "JdbcSource",
+    "Landing",
     "LoadResult",
     "ParquetSource",
     "Step",
@@ -45,6 +46,7 @@ __all__ = [
     "load_increment",
     "load_landed_files",
     "load_table",
+    "load_table_once",
     "run_layer",
     "run_pipeline",
     "run_steps",

@@ -46,6 +46,7 @@ from landfall.operators.typed import (
 )
 from landfall.plans.steps import Step, run_steps
 from landfall.sources.catalog import Extract, Source, stage_catalog, staging_table
+from landfall.streaming.landing import Landing
 from landfall.tables.store import LoadResult, TableStore
 
 
@@ -248,7 +249,7 @@ def run_pipeline(
     store: TableStore,
     *,
     sources: Sequence[Source] = (),
-    catalogs: Mapping[str, Mapping[str, str | Extract]] | None = None,
+    catalogs: Mapping[str, Mapping[str, str | Extract | Landing]] | None = None,
     rules: Mapping[str, Sequence[TableRule]] | None = None,
     tf_steps: Mapping[str, Sequence[Step]] | None = None,
     dwh_steps: Sequence[Step] = (),
@@ -259,7 +260,8 @@ def run_pipeline(
     """Run the layers in order; a layer starts only if the one before succeeded.
 
     * ``stg``: every source's catalog of extracts, landed as text; in full, or by
-      increments where the entry says so (:class:`Extract`).
+      increments where the entry says so (:class:`Extract`), or what landed in a
+      folder since the last run (:class:`Landing`).
     * ``tf``: per source, typing rules (:class:`TableRule`) and/or a folder of
       SQL steps (published as ``<source>_tf.<step>``). With ``increments`` the
       rules take in only what was staged since their last run.

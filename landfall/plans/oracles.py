@@ -486,6 +486,7 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_latest": UPSERT_LATEST,
     "upsert_unkeyed": UPSERT_UNKEYED,
     "incremental_transform": INCREMENTAL_TRANSFORM,
+    "landed_pipeline": INCREMENTAL_TRANSFORM,
     "repaired_rejects": REPAIRED_REJECTS,
     "type_profile": TYPE_PROFILE,
     "snapshot_diff": SNAPSHOT_DIFF,

@@ -10,6 +10,8 @@ from landfall.sources.jdbc import (
     key_strides,
     load,
     load_table,
+    load_table_once,
+    snapshot_query,
     target_rows,
     text_column_types,
     wrap_query,
@@ -31,8 +33,10 @@ __all__ = [
     "load",
     "load_increment",
     "load_table",
+    "load_table_once",
     "read_table",
     "since_filter",
+    "snapshot_query",
     "stage_catalog",
     "staging_table",
     "target_rows",

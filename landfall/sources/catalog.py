@@ -2,7 +2,7 @@
 
 A catalog is an ordered mapping ``table name → query text``, or
 :class:`Extract` where a table is loaded by increments or read in parallel
-strides of a key. It can be read
+strides of a key, or :class:`Landing` where its files land in a folder. It can be read
 from a folder of ``*.sql`` files (stem = table name), always in sorted order
 so that runs are repeatable. Query texts are small files read on the driver;
 the data never is.
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from landfall.operators.staging import spread, stage
 from landfall.sources.incremental import load_increment
+from landfall.streaming.landing import Landing, stage_landing
 from landfall.tables.store import LoadResult, TableStore
 
 log = logging.getLogger(__name__)
@@ -29,14 +30,15 @@ log = logging.getLogger(__name__)
 class Source(Protocol):
     name: str
 
-    def extract(self, spark: SparkSession, query: str) -> DataFrame: ...
+    def extract(self, spark: SparkSession, query: str, **options) -> DataFrame: ...
 
 
 @dataclass(frozen=True)
 class Extract:
     """One catalog entry. With ``column`` (its high-water column) and ``keys`` it is
     loaded by increments, see :func:`load_increment`; ``read_by`` is the column in
-    whose strides a JDBC source reads it."""
+    whose strides a JDBC source reads it, ``changed_at`` its column of the last change,
+    for strides of one moment (:func:`landfall.sources.jdbc.snapshot_query`)."""
 
     query: str
     column: str | None = None
@@ -46,6 +48,7 @@ class Extract:
     merge: str = "insert_new"
     count_late: bool = False
     read_by: str | None = None
+    changed_at: str | None = None
 
     def __post_init__(self) -> None:
         if (self.column is None) != (not self.keys):
@@ -72,7 +75,7 @@ def stage_catalog(
     spark: SparkSession,
     store: TableStore,
     source: Source,
-    catalog: Mapping[str, str | Extract],
+    catalog: Mapping[str, str | Extract | Landing],
     *,
     mode: str = "refresh",
     as_text: bool = True,
@@ -80,6 +83,7 @@ def stage_catalog(
 ) -> list[LoadResult]:
     """Extract every query and publish it as a staging table.
 
+    Landing folders append what landed since the last run, a load for each batch.
     Each load writes its own audit row (status 1 with the observed row count,
     or status 0 with the error). Loads run as concurrent Spark jobs (at most
     ``max_workers``); a failure stops loads not yet started and is re-raised.
@@ -90,11 +94,18 @@ def stage_catalog(
     if prepare is not None:
         prepare(spark)
 
-    def load(table: str, entry: str | Extract) -> LoadResult:
-        entry = Extract(entry) if isinstance(entry, str) else entry
+    def load(table: str, entry: str | Extract | Landing) -> list[LoadResult]:
+        if isinstance(entry, Landing):
+            name = staging_table(source.name, table)
+            return stage_landing(spark, store, entry, name, source=source.name, as_text=as_text)
+        return [load_query(table, Extract(entry) if isinstance(entry, str) else entry)]
+
+    def load_query(table: str, entry: Extract) -> LoadResult:
         options = {"registered": True} if prepare else {}
         if entry.read_by:
             options["partition_column"] = entry.read_by
+        if entry.changed_at:
+            options["changed_at"] = entry.changed_at
         name = staging_table(source.name, table)
 
         def extract() -> DataFrame:
@@ -117,4 +128,5 @@ def stage_catalog(
 
         return store.publish(frame, name, mode, source=source.name, layer="stg")
 
-    return run_all([lambda t=t, e=e: load(t, e) for t, e in catalog.items()], max_workers)
+    loads = run_all([lambda t=t, e=e: load(t, e) for t, e in catalog.items()], max_workers)
+    return [one for batches in loads for one in batches]

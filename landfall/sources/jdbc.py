@@ -9,7 +9,8 @@ query. Credentials come as ``properties``, of the source or of a call, and
 never show in a source's ``repr``.
 
 :func:`load` only writes; :func:`load_table` also checks the columns, counts
-the rows as they are written and logs the load.
+the rows as they are written and logs the load. :func:`load_table_once` does so
+through a side table and one transaction, for loads that survive lost tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from landfall.operators.dedup import keep_latest
+from landfall.session import scratch_dir
 from landfall.tables.store import LoadResult, TableStore
 
 
@@ -53,8 +57,13 @@ class JdbcSource:
         opts.update(properties or {})
         return opts
 
-    def extract(self, spark: SparkSession, query: str, partition_column: str | None = None) -> DataFrame:
-        """Rows of ``query``; in parallel strides of ``partition_column``, if the query has one."""
+    def extract(
+        self, spark: SparkSession, query: str, partition_column: str | None = None, changed_at: str | None = None
+    ) -> DataFrame:
+        """Rows of ``query``; in parallel strides of ``partition_column``, if the query has one, and
+        as of one moment, if it has a column ``changed_at``."""
+        if changed_at:
+            query = snapshot_query(spark, self, query, changed_at)
         parts = None
         if partition_column and self.balanced:
             strides = key_strides(spark, self, query, partition_column, self.num_partitions)
@@ -192,6 +201,27 @@ def key_strides(
     return [f"{column} < {edges[0]} or {column} is null", *between, f"{column} >= {edges[-1]}"]
 
 
+def snapshot_query(
+    spark: SparkSession,
+    source: JdbcSource,
+    query: str,
+    changed_at: str,
+    properties: Mapping[str, str] | None = None,
+) -> str:
+    """``query`` without the rows that change after now, by its column of the last change.
+
+    Strides are read by separate statements. A row whose key changes in between
+    could come in two of them, or in none; with this condition it comes at most
+    once, and if it is passed over, an increment by ``changed_at`` reads it next
+    time, since the high-water mark is not above the moment taken here.
+    """
+    latest = f"select max({changed_at}) as hi from {wrap_query(query, 'b')}"
+    row = extract(spark, source, latest, properties=properties).first()
+    if row is None or row["hi"] is None:
+        return query
+    return f"select * from {wrap_query(query, 's')} where {changed_at} <= {sql_literal(row['hi'])} or {changed_at} is null"
+
+
 def write_options(
     target: JdbcSource,
     table: str,
@@ -253,7 +283,7 @@ def load_table(
     An append is refused, and logged as failed, if ``df`` has a column that
     the target lacks. JDBC tasks commit one by one: a task that is lost after
     its commit writes its rows again, and only a key in the database keeps
-    them out. ``target_rows`` counts what arrived.
+    them out (:func:`load_table_once` needs none). ``target_rows`` counts what arrived.
     """
 
     def write(observed: DataFrame) -> None:
@@ -265,6 +295,140 @@ def load_table(
     return store.log_write(df, f"{target.name}_jdbc.{table}", write, f"jdbc_{mode}", source=target.name, layer=layer)
 
 
+#: Run once in a target database whose loads are named (``load_key``); fixed names.
+LOADS_TABLE = "landfall_loads"
+LOADS_TABLE_DDL = f"create table {LOADS_TABLE} (load_key varchar(200) not null primary key, rows_loaded bigint)"
+
+ROW = "landfall_row"
+ONCE_MODES = ("append", "overwrite", "upsert")
+
+
+def load_table_once(
+    store: TableStore,
+    df: DataFrame,
+    target: JdbcSource,
+    table: str,
+    mode: str = "append",
+    *,
+    keys: Sequence[str] = (),
+    order: Sequence[str] = (),
+    load_key: str | None = None,
+    side_table: str | None = None,
+    layer: str | None = None,
+    properties: Mapping[str, str] | None = None,
+    **kw,
+) -> LoadResult | None:
+    """Load ``df`` into an existing ``table`` so that every row arrives once and all of them become visible together.
+
+    JDBC tasks commit one by one, so tasks write numbered rows into a side table
+    (``<table>_load``, made anew). A task that is lost after its commit writes the
+    same numbers again, since they are given to a written copy of ``df``. Then
+    one transaction in the database empties the target (``overwrite``) or
+    deletes the rows of the keys that come (``upsert``, the latest row per key under ``order``; rows
+    with a NULL key are added), takes one row of each number, and rolls back unless their count is that of the rows written.
+
+    ``load_key`` names the load in :data:`LOADS_TABLE` within that transaction:
+    a run that crashed before its log row can be repeated, and gives None if
+    the load is there already. One job at a time may load a table.
+    """
+    if mode not in ONCE_MODES or (mode == "upsert") != bool(keys):
+        raise ValueError(f"mode must be one of {ONCE_MODES}, with keys for an upsert")
+    spark, side = store.spark, side_table or f"{table}_load"
+    if load_key is not None:
+        done = f"select rows_loaded from {LOADS_TABLE} where load_key = {sql_literal(load_key)}"
+        if extract(spark, target, done, properties=properties).first() is not None:
+            return None
+
+    def write(observed: DataFrame) -> None:
+        columns = extract(spark, target, f"select * from {table} where 1 = 0", properties=properties).columns
+        check_append_schema(observed, columns)
+        path = scratch_dir(spark, "jdbc")
+        observed.write.parquet(path)
+        rows = spark.read.schema(observed.schema).parquet(path)
+        expected = rows.count()
+        load(rows.withColumn(ROW, F.monotonically_increasing_id()), target, side, "overwrite", properties=properties, **kw)
+        own = {c.lower(): c for c in columns}
+        quoted = {c: quote(spark, target, c) for c in observed.columns}
+        into = {c: quote(spark, target, own[c.lower()]) for c in observed.columns}
+        statements = merge_statements(table, side, quoted, into, quote(spark, target, ROW), mode, keys, expected)
+        if load_key is not None:
+            statements.append((f"insert into {LOADS_TABLE} (load_key, rows_loaded) values ({sql_literal(load_key)}, {expected})", 1))
+        in_one_transaction(spark, target, statements, properties)
+        in_one_transaction(spark, target, [(f"drop table {side}", None)], properties)
+
+    rows = keep_latest(df, keys, order) if keys else df
+    return store.log_write(rows, f"{target.name}_jdbc.{table}", write, f"jdbc_{mode}", source=target.name, layer=layer)
+
+
+def merge_statements(
+    table: str,
+    side: str,
+    quoted: Mapping[str, str],
+    into: Mapping[str, str],
+    row: str,
+    mode: str,
+    keys: Sequence[str],
+    expected: int,
+) -> list[tuple[str, int | None]]:
+    """Statements that take the numbered rows of ``side`` into ``table``, with the rows each must change (None: any).
+
+    ``quoted`` and ``into`` are the columns as the side table and the target name them.
+    """
+    statements: list[tuple[str, int | None]] = []
+    if mode == "overwrite":
+        statements.append((f"delete from {table}", None))
+    if mode == "upsert":
+        same = " and ".join(f"s.{quoted[k]} = {table}.{into[k]}" for k in keys)
+        statements.append((f"delete from {table} where exists (select 1 from {side} s where {same})", None))
+    names = ", ".join(quoted.values())
+    copies = f"select {names}, row_number() over (partition by {row} order by {row}) as landfall_copy from {side}"
+    insert = f"insert into {table} ({', '.join(into.values())}) select {names} from ({copies}) s where landfall_copy = 1"
+    return [*statements, (insert, expected)]
+
+
+def quote(spark: SparkSession, target: JdbcSource, column: str) -> str:
+    """A column name as the target's dialect quotes it (as Spark does where it makes a table)."""
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(target.jdbc_url()).quoteIdentifier(column)
+
+
+def in_one_transaction(
+    spark: SparkSession,
+    target: JdbcSource,
+    statements: Sequence[tuple[str, int | None]],
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Run statements in the database over one connection of the driver: all of them, or none.
+
+    A statement that must change a number of rows and changes another ends the transaction.
+    """
+    opts = target.reader_options(properties)
+    jvm, url = spark._jvm, opts.pop("url")
+    if "driver" in opts:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(opts.pop("driver"))
+    given = jvm.java.util.Properties()
+    for name, value in opts.items():
+        given.setProperty(name, str(value))
+    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        connection.setAutoCommit(False)
+        for sql, expected in statements:
+            statement = connection.createStatement()
+            large = expected is not None and expected > 2**31 - 1
+            changed = statement.executeLargeUpdate(sql) if large else statement.executeUpdate(sql)
+            check_changed(sql, changed, expected)
+        connection.commit()
+    except BaseException:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def check_changed(sql: str, changed: int, expected: int | None) -> None:
+    if expected is not None and changed != expected:
+        raise RuntimeError(f"{changed} rows changed where {expected} were written: {sql}")
+
+
 def target_rows(
     spark: SparkSession, target: JdbcSource, table: str, properties: Mapping[str, str] | None = None
 ) -> int:

@@ -1,8 +1,11 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from landfall.operators.typed import ColumnSpec
+from landfall.plans.layers import TableRule, run_pipeline
 from landfall.session import scratch_dir
-from landfall.streaming.landing import load_landed_files
+from landfall.sources.lake import ParquetSource
+from landfall.streaming.landing import Landing, batch_done, load_landed_files, stream_note
 from landfall.tables.store import TableStore
 
 
@@ -83,3 +86,52 @@ def test_compact_after_folds_batches(spark):
     assert len(store.visible_load_ids("s.ev")) == 1
     got = store.read("s.ev")
     assert got.count() == ev.count() and got.exceptAll(ev).count() == 0
+
+
+def test_a_batch_reads_neither_its_own_files_nor_the_whole_log(spark, monkeypatch):
+    root = scratch_dir(spark, "stream-bounded")
+    store = TableStore(spark, f"{root}/wh")
+    _landed(spark, root, "a", 0, 10)
+    _load(spark, store, root, "a", "ck1")
+    whole = []
+    monkeypatch.setattr(TableStore, "ok_comments", lambda self, table: whole.append(table))
+    _landed(spark, root, "a", 10, 20)
+    assert _load(spark, store, root, "a", "ck1") == 1
+    assert _ids(store) == list(range(20)) and whole == []
+
+
+def test_a_batch_of_before_its_commit_is_not_loaded_again(spark):
+    root = scratch_dir(spark, "stream-again")
+    store = TableStore(spark, f"{root}/wh")
+    _landed(spark, root, "a", 0, 10)
+    _load(spark, store, root, "a", "ck1")
+    note = store.notes("s.t")
+    (query_id,) = [n.removeprefix("#stream ") for n in note]
+    assert note == {stream_note(query_id): "0"}
+    assert batch_done(store, "s.t", query_id, 0) and not batch_done(store, "s.t", query_id, 1)
+    store.compact("s.t")
+    assert batch_done(store, "s.t", query_id, 0)
+    store.refresh(store.read("s.t"), "s.t")  # forgets the note; the log does not
+    assert batch_done(store, "s.t", query_id, 0) and not batch_done(store, "s.t", query_id, 1)
+
+
+def test_landing_folder_in_the_layered_pipeline(spark):
+    root = scratch_dir(spark, "stream-layers")
+    store = TableStore(spark, f"{root}/wh")
+    schema = spark.range(1).schema
+    zone = Landing(f"{root}/zone", schema, f"{root}/ck")
+    rule = TableRule("t", (ColumnSpec("id", "bigint", nullable=False),), ("id",))
+    spark.createDataFrame([], schema).write.parquet(zone.path)
+
+    def run():
+        kw = dict(sources=[ParquetSource("z")], catalogs={"z": {"t": zone}}, rules={"z": [rule]}, increments=True)
+        return run_pipeline(spark, store, **kw)
+
+    run()
+    assert store.read("z_tf.t").count() == 0 and store.read("z_stg.t").schema["id"].dataType.simpleString() == "string"
+    _landed(spark, root, "zone", 0, 5)
+    assert [r.rows_written for r in run()["tf"]] == [5, 5]
+    _landed(spark, root, "zone", 3, 8)
+    run()
+    assert run()["tf"] == []  # nothing landed since
+    assert sorted(r.id for r in store.read("z_tf.t").collect()) == list(range(8))
