@@ -129,3 +129,11 @@ def test_components_of_a_chain(spark):
     ids = [bytes([i]) for i in range(40)]
     links = spark.createDataFrame(list(zip(ids[1:], ids[:-1], strict=True)), "a binary, b binary")
     assert {bytes(r.root) for r in jaccard.components(spark, links).collect()} == {ids[0]}
+
+
+def test_texts_written_to_share_a_hash_do_not_link(spark):
+    # Their last words were sought so that plain xxh3 hashes of the words, mixed as shingles are, come out equal.
+    one, two = "this is one y1#jsv?l", "that was two x_`b`c%>"
+    df = spark.createDataFrame([(1, one), (2, two), (3, f"{one} {two}")], "id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicate_classes(df, "id", "text", 4, 85, 100).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (5, 3)}
