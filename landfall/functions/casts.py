@@ -8,6 +8,7 @@ present, not blank, and parses to NULL is a reject.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -25,6 +26,7 @@ _INTEGER_TEXT = r"^[+-]?[0-9]+$"
 # A full date, perhaps with a time; no bare years and no zone offsets, which a wall clock can't hold.
 _ISO_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]*)?)?)?$"
 _TIME_LETTERS = set("HhkKmsSaAnN")
+_NUMERIC_RUN = re.compile(r"(y+|M{1,2}|d+|H+|h+|m+|s+)$")
 
 
 def _col(c: Column | str) -> Column:
@@ -67,6 +69,29 @@ def _has_time(pattern: str) -> bool:
     return any(ch in _TIME_LETTERS for part in outside for ch in part)
 
 
+def _shape(pattern: str) -> str | None:
+    """A regular expression for how text must begin to fit a datetime pattern; None if any text may.
+
+    Spark's parser raises and catches an exception for every text that does not
+    fit, which costs far more than the look at its digits and separators.
+    """
+    if set(pattern) & set("'[]{}#p"):
+        return None
+    shape = ""
+    for run in re.findall(r"([A-Za-z])(\1*)|(.)", pattern, re.DOTALL):
+        letters, other = run[0] + run[1], run[2]
+        if other:
+            shape += re.escape(other)
+        else:
+            shape += r"\s*[+-]?[0-9]+" if _NUMERIC_RUN.match(letters) else "(?s:.*?)"
+    return r"^\s*" + shape
+
+
+def _in_shape(text: Column, pattern: str, parsed: Column) -> Column:
+    shape = _shape(pattern)
+    return parsed if shape is None else F.when(text.rlike(shape), parsed)
+
+
 def parse_timestamp(c: Column | str, formats: Sequence[str] = (ISO,)) -> Column:
     """First format that parses wins; result is ``timestamp_ntz`` (wall clock).
 
@@ -80,9 +105,9 @@ def parse_timestamp(c: Column | str, formats: Sequence[str] = (ISO,)) -> Column:
         if fmt == ISO:
             parsed.append(F.when(text.rlike(_ISO_TEXT), text.try_cast("timestamp_ntz")))
         elif _has_time(fmt):
-            parsed.append(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
+            parsed.append(_in_shape(text, fmt, F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")))
         else:
-            parsed.append(F.try_to_date(text, fmt).cast("timestamp_ntz"))
+            parsed.append(_in_shape(text, fmt, F.try_to_date(text, fmt).cast("timestamp_ntz")))
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 
@@ -93,7 +118,7 @@ def parse_date(c: Column | str, formats: Sequence[str] = (ISO,)) -> Column:
         if fmt == ISO:
             parsed.append(F.when(text.rlike(_ISO_TEXT), text.try_cast("date")))
         else:
-            parsed.append(F.try_to_date(text, fmt))
+            parsed.append(_in_shape(text, fmt, F.try_to_date(text, fmt)))
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 

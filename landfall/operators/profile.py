@@ -1,7 +1,9 @@
 """What staged text holds: one pass that counts, per column, which types its values fit, and proposes a typing rule.
 
 The state of a column is sums and maxima only, so states of parts of a table
-(days, sources, files) merge in any order to the state of the whole. The
+(days, sources, files) merge in any order to the state of the whole. Every
+value is a row of its column's group, so the plan does not grow with the
+columns. The
 proposal is the narrowest type that takes every value that is not blank::
 
     int < bigint < decimal(p,s) < string,   boolean < string,   timestamp < string
@@ -14,6 +16,7 @@ integers, since every such column fits both.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +34,13 @@ def _count(c: Column) -> Column:
     return F.count(F.when(c, 1))
 
 
-def _state(name: str, formats: Sequence[str]) -> Column:
-    raw = F.col(f"`{name}`").cast("string")
+def _state(raw: Column, formats: Sequence[str]) -> list[Column]:
     text = F.trim(raw)
     number = text.rlike(_NUMBER)
     whole = F.regexp_replace(F.regexp_extract(text, _NUMBER, 1), "^0+", "")
     parsed = [parse_timestamp(raw, (f,)).isNotNull() for f in formats]
-    any_date = parse_timestamp(raw, formats).isNotNull()
-    return F.struct(
-        F.lit(name).alias("column_name"),
+    any_date = reduce(lambda a, b: a | b, parsed)
+    return [
         F.count(F.lit(1)).alias("row_count"),
         _count(is_blank(raw)).alias("blanks"),
         _count(parse_int(raw, "int").isNotNull()).alias("ints"),
@@ -52,12 +53,24 @@ def _state(name: str, formats: Sequence[str]) -> Column:
         F.coalesce(F.max(F.when(number, F.length(F.regexp_extract(text, _NUMBER, 3)))), F.lit(0)).cast("bigint").alias("scale"),
         F.coalesce(F.max(F.length(raw)), F.lit(0)).cast("bigint").alias("longest"),
         F.array(*[_count(p) for p in parsed]).alias("by_format"),
-    )
+    ]
 
 
 def profile_text(staged: DataFrame, formats: Sequence[str] = (ISO,)) -> DataFrame:
     """One row per column of ``staged``: its state (:data:`SUMS`, :data:`MAXIMA`, ``by_format`` in the order of ``formats``)."""
-    return staged.agg(F.array(*[_state(c, formats) for c in staged.columns]).alias("s")).select(F.inline("s"))
+    names = staged.columns
+    values = staged.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in names])).alias("place", "raw"))
+    fields = (*SUMS, *MAXIMA, "by_format")
+    state = F.struct(*fields)
+    found = values.groupBy("place").agg(*_state(F.col("raw"), formats)).select("place", state.alias("state"))
+    held = F.map_from_entries(F.collect_list(F.struct("place", "state"))).alias("held")
+    zero = F.lit(0).cast("bigint")
+    none = F.struct(*[zero.alias(f) for f in fields[:-1]], F.array(*[zero] * len(formats)).alias("by_format"))
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col("held")[i], none).alias("state"))  # a table without rows
+        for i, c in enumerate(names)
+    ]
+    return found.agg(held).select(F.inline(F.array(*rows))).select("column_name", "state.*")
 
 
 def merge_profiles(states: DataFrame, formats: Sequence[str] = (ISO,)) -> DataFrame:

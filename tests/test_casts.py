@@ -60,3 +60,18 @@ def test_timestamp_without_pattern_rejects_dotted(spark):
 def test_timestamp_type_is_ntz(spark):
     df = spark.createDataFrame([("2024-01-05",)], "v string").select(parse_timestamp("v").alias("x"))
     assert df.schema["x"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_shapes_of_patterns_leave_out_nothing_that_parses(spark):
+    from landfall.functions import casts
+
+    patterns = ["dd.MM.yyyy", "d/M/yyyy", "yyyyMMdd", "dd MMM yyyy", "yyyy-MM-dd HH:mm:ss", "dd.MM.yyyy'T'HH:mm", "yyyy[-MM]-dd", "yyyy_MM%dd", "HH:mm dd.MM.yyyy"]
+    texts = ["01.02.2024", " 01.02.2024 ", "1/2/2024", "20240102", "02 Jan 2024", "02 jan 2024", "2024-01-02 03:04:05", "02.01.2024T03:04", "2024-01-02",
+             "2024_01%02", "03:04 02.01.2024", "31.02.2024", "99.99.9999", "1.25", "-100", "+12024.01.01", "01.02.+12024", "01.02.12024", "x", "", " ", "1,000", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for p in patterns:
+        text = F.trim("t")
+        plain = F.try_to_timestamp(text, F.lit(p)) if casts._has_time(p) else F.try_to_date(text, p)
+        pairs = df.select(casts.parse_timestamp("t", (p,)).cast("string"), plain.cast("timestamp_ntz").cast("string")).collect()
+        assert [a for a, _ in pairs] == [b for _, b in pairs], p
+    assert casts._shape("dd.MM.yyyy") and casts._shape("yyyy[-MM]") is None

@@ -43,6 +43,14 @@ def test_proposed_rules_reject_nothing(spark):
     assert {str(r.t)[:10] for r in typed.collect()} == {"2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"}
 
 
+def test_the_plan_of_a_profile_does_not_grow_with_its_columns(spark):
+    def aggregates(columns):
+        df = spark.createDataFrame([], ", ".join(f"c{i} string" for i in range(columns)))
+        return profile_text(df, FORMATS)._jdf.queryExecution().optimizedPlan().toString().count("count(")
+
+    assert aggregates(2) == aggregates(30)
+
+
 def test_an_empty_table_is_text(spark):
     profile = profile_text(spark.createDataFrame([], COLUMNS), FORMATS)
     assert {r.p for r in profile.select(proposed_type().alias("p")).collect()} == {"string"}
