@@ -14,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.operators.dedup import keep_latest
+from landfall.operators.dedup import keep_latest, order_spec
 from landfall.operators.fingerprint import row_hash
 
 
@@ -36,7 +36,8 @@ def merge_latest(
     ``fresh`` promises that the rows of ``changes`` were never merged before.
     Then every row with a NULL key is added, and ties are decided by the total
     order of :func:`keep_latest`: merging in parts gives the same table as
-    :func:`keep_latest` of all rows at once.
+    :func:`keep_latest` of all rows at once. The target is then read and
+    shuffled once, and the latest changes are made once.
     """
     keys = list(keys)
     changes = changes.select(*target.columns)
@@ -45,17 +46,27 @@ def merge_latest(
     if not fresh:
         unkeyed = _absent(target.filter(_unknown(keys)), unkeyed)
     latest = keep_latest(known, keys, order)
+    if fresh:
+        return _contested(target, latest, keys, order).unionByName(unkeyed)
     change_keys = latest.select(*keys)
     kept = target.join(change_keys, keys, "left_anti").unionByName(unkeyed)
-    if not order and not fresh:
+    if not order:
         return kept.unionByName(latest)
     contested = target.join(change_keys, keys, "left_semi")
-    if fresh:
-        return kept.unionByName(keep_latest(contested.unionByName(latest), keys, order))
     rivals = contested.withColumn("_change", F.lit(0)).unionByName(latest.withColumn("_change", F.lit(1)))
     return kept.unionByName(keep_latest(rivals, keys, [*order, "-_change"]).drop("_change"))
 
 
+def _contested(target: DataFrame, latest: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Target rows whose key has no change, and the first row of each key that has one; ``latest`` holds one a key."""
+    both = target.withColumn("_change", F.lit(0)).unionByName(latest.withColumn("_change", F.lit(1)))
+    alone = both.withColumn("_alone", F.when(_unknown(keys), F.monotonically_increasing_id()))
+    of_key = Window.partitionBy(*keys, "_alone")
+    ranked = alone.withColumn("_rn", F.row_number().over(of_key.orderBy(*order_spec(target, keys, order))))
+    changed = ranked.withColumn("_changed", F.max("_change").over(of_key))
+    return changed.filter((F.col("_changed") == 0) | (F.col("_rn") == 1)).select(*target.columns)
+
+
 def insert_new(
     target_window: DataFrame,
     batch: DataFrame,
