@@ -214,7 +214,7 @@ def merge_increment(store: TableStore, source: str, rule: TableRule) -> LoadResu
     if whole:
         part_by = [rule.partition] if rule.partition else []
         return store.publish(keep_latest(good, rule.keys, rule.order), target, "refresh", partition_by=part_by, **kw)
-    return store.upsert(good, target, rule.keys, rule.order, partition_column=rule.partition, fresh=True, **kw)
+    return store.upsert(good, target, rule.keys, rule.order, partition_column=rule.partition, fresh=True, published=True, **kw)
 
 
 def transform_increment(store: TableStore, source: str, rule: TableRule) -> list[LoadResult]:

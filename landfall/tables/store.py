@@ -450,6 +450,7 @@ class TableStore:
         order: Sequence[str] = (),
         partition_column: str | None = None,
         fresh: bool = False,
+        published: bool = False,
         **kw,
     ) -> LoadResult:
         """Merge ``changes`` into the visible table by key; the latest row per key under ``order`` stays.
@@ -458,7 +459,9 @@ class TableStore:
         (see :func:`merge_latest`).
 
         The change set is written once and merged from there, so a source that
-        changes meanwhile can't be read in two states. Without
+        changes meanwhile can't be read in two states; ``published`` says that
+        they are read from published versions, which never change, and need no
+        copy. Without
         ``partition_column`` the whole table is rewritten as a new version.
         With it (and a table published with that one partition column) only
         the partitions the change set touches, or that hold one of its keys
@@ -471,9 +474,10 @@ class TableStore:
             return self.publish(
                 lambda: keep_latest(changes, keys, order), table, "refresh", partition_by=part_by, **kw
             )
-        path = scratch_dir(self.spark, "changes")
-        changes.write.parquet(path)
-        changes = self.spark.read.schema(changes.schema).parquet(path)
+        if not published:
+            path = scratch_dir(self.spark, "changes")
+            changes.write.parquet(path)
+            changes = self.spark.read.schema(changes.schema).parquet(path)
         if "high_water" not in (kw.get("observe") or {}):
             kw.setdefault("high_water", self.high_water(table))
         kw["consumed"] = {**self.notes(table), **(kw.get("consumed") or {})}

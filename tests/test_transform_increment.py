@@ -147,3 +147,14 @@ def test_a_fresh_merge_reads_the_target_once_and_each_half_of_the_changes_once(s
     )
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 3
+
+
+def test_published_changes_are_not_copied(spark, store, monkeypatch):
+    import landfall.tables.store as tables
+
+    changes = spark.createDataFrame([(1, 1), (2, 1)], "k int, ts int")
+    store.upsert(changes, "t", ["k"], ["-ts"])
+    monkeypatch.setattr(tables, "scratch_dir", lambda *a: (_ for _ in ()).throw(AssertionError("copied")))
+    store.append(changes.withColumn("ts", F.col("ts") + 1), "c")
+    store.upsert(store.read("c"), "t", ["k"], ["-ts"], fresh=True, published=True)
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, 2), (2, 2)]
