@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -137,3 +138,69 @@ def test_texts_written_to_share_a_hash_do_not_link(spark):
     df = spark.createDataFrame([(1, one), (2, two), (3, f"{one} {two}")], "id bigint, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicate_classes(df, "id", "text", 4, 85, 100).collect()}
     assert got == {1: (1, 1), 2: (1, 2), 3: (5, 3)}
+
+
+def owner_rows(sets, num, den, batch=7):
+    """What ``_owners`` makes of the prefixes of ``sets`` under the tokens' own order, a set's number as its key."""
+    rows = []
+    for key, s in enumerate(sets):
+        prefix = sorted(s)[: jaccard.prefix_length(len(s), num, den)]
+        rows += [(t, len(s), key, len(s) * 8 + i * 8 // len(prefix)) for i, t in enumerate(prefix)]
+    rows.sort()
+    table = {n: [r[i] for r in rows] for i, n in enumerate(("token", "size", "key", "place"))}
+    kinds = [("token", pa.int64()), ("size", pa.int32()), ("key", pa.int64()), ("place", pa.int32())]
+    batches = pa.Table.from_pydict(table, pa.schema(kinds)).to_batches(max_chunksize=batch)
+    return {(r["owner"], r["key"]) for b in jaccard._owners(num, den)(iter(batches)) for r in b.to_pylist()}
+
+
+@pytest.mark.parametrize("window", [2, 64])
+def test_sets_that_link_have_an_owner_in_common(monkeypatch, window):
+    monkeypatch.setattr(jaccard, "WINDOW", window, raising=False)
+    rng = random.Random(window)
+    for num, den in [(85, 100), (1, 2), (1, 1)] * 20:
+        sets = [set(rng.sample(range(30), rng.randrange(1, 20))) for _ in range(30)]
+        sets += [s - {rng.randrange(30)} or s for s in sets for _ in range(2)]
+        met = {}
+        for owner, key in owner_rows(sets, num, den):
+            met.setdefault(key, set()).add(owner)
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if den * len(a & sets[j]) >= num * len(a | sets[j]):
+                    assert met.get(i, set()) & met.get(j, set())
+
+
+def test_sets_whose_common_token_comes_too_late_do_not_meet():
+    # 100 tokens each; the only common one is the 15th, after which too few are left for a similarity of 0.85.
+    sets = [{1000} | {i + j * 50 for i in range(14)} | {2000 + i + j * 100 for i in range(85)} for j in range(2)]
+    assert owner_rows(sets, 85, 100) == set()
+
+
+def test_a_small_set_does_not_blur_the_bitmaps_of_larger_ones():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n, np.uint64) for n in [40] + [600] * 30]
+    n = len(sets)
+    columns = {
+        "owner": [0] * n, "low": [0] * n, "high": [0] * n, "sid": [bytes([i]) for i in range(n)], "side": [0] * n,
+        "size": [len(s) for s in sets], "bits": [jaccard.bitmap(s) for s in sets],
+    }
+    batch = pa.RecordBatch.from_pydict(columns)
+    assert sum(b.num_rows for b in jaccard._survivors(85, 100)(iter([batch]))) == 0
+
+
+def test_common_shingles_stand_out_of_a_full_sketch(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 8)
+    rng, key = random.Random(4), b"k" * 16
+    texts = [" ".join(f"{rng.random()}" for _ in range(100)) for _ in range(300)] + ["very common"] * 60
+    classes = jaccard.frequency_classes(spark.createDataFrame([(t,) for t in texts], "text string"), 2, key)
+    common = classes[int(jaccard.shingle_set("very common", 2, key)[0]) >> 56]
+    assert common > np.median(classes) and (classes < common).mean() > 0.9
+
+
+def test_texts_without_a_partner_are_not_fetched(spark):
+    ids = spark.range(0, 5000).selectExpr("if(id = 7, null, id) as id", "cast(id as string) as text")
+    few = ids.filter("id < 3 or id is null")
+    bitmap = jaccard.filled(few)
+    asked = ids.select("id", "text", jaccard._spot("id").alias("spot")).mapInArrow(jaccard._at_spots(bitmap), ids.schema)
+    got = [r.id for r in asked.collect()]
+    assert {0, 1, 2, None} <= set(got) and len(got) < 50
+    assert not jaccard.filled(ids.limit(0)).any()
